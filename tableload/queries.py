@@ -12,7 +12,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .functions.casts import day_start, end_of_day, from_epoch, length_violations, link_param, to_epoch, to_int
+from .operators.flatten import conform_columns, record_explode, record_flatten, union_pages
+from .operators.window import daily_window, since_start
 from .operators.merge import (
     merge_insert_unmatched,
     merge_update_matched,
@@ -153,3 +157,188 @@ def q_merge_null_keys(spark, sf_dir):
         "o_orderkey", F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).otherwise(F.col("o_orderkey"))
     )
     return merge_upsert(t, d, "o_orderkey")
+
+
+# --------------------------------------------------------------------------
+# Shapes: conform, union, flatten, explode
+# --------------------------------------------------------------------------
+
+
+@register(
+    "conform_columns",
+    """
+SELECT c_name, c_custkey, c_acctbal, c_mktsegment, CAST(NULL AS VARCHAR) AS c_phone FROM customer
+""",
+)
+def q_conform_columns(spark, sf_dir):
+    # reorder, drop c_nationkey, add an absent c_phone as a typed null
+    target = T.StructType(
+        [
+            T.StructField("c_name", T.StringType()),
+            T.StructField("c_custkey", T.LongType()),
+            T.StructField("c_acctbal", T.DoubleType()),
+            T.StructField("c_mktsegment", T.StringType()),
+            T.StructField("c_phone", T.StringType()),
+        ]
+    )
+    return conform_columns(table(spark, sf_dir, "customer"), target)
+
+
+@register(
+    "union_pages",
+    """
+SELECT c_custkey AS id, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal,
+       c_mktsegment AS mktsegment FROM customer
+UNION ALL
+SELECT s_suppkey AS id, s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal,
+       CAST(NULL AS VARCHAR) AS mktsegment FROM supplier
+""",
+)
+def q_union_pages(spark, sf_dir):
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nationkey"),
+        F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("mktsegment"),
+    )
+    supp = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nationkey"),
+        F.col("s_acctbal").alias("acctbal"),
+    )
+    return union_pages([cust, supp])
+
+
+_EVENTS_FLAT_SQL = """
+SELECT event_id, ts, event_type AS "actor.type", user_id AS "actor.user.id", value,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS "props.k", CAST(NULL AS VARCHAR) AS "props.note"
+FROM events
+"""
+
+
+@register("record_flatten", _EVENTS_FLAT_SQL)
+def q_record_flatten(spark, sf_dir):
+    # nested records: actor{type, user{id}}, props parsed from its JSON text;
+    # props.note is a key no record carries (conformed to null)
+    ev = table(spark, sf_dir, "events")
+    nested = ev.select(
+        "event_id",
+        "ts",
+        F.struct(F.col("event_type").alias("type"), F.struct(F.col("user_id").alias("id")).alias("user")).alias("actor"),
+        "value",
+        F.from_json("props", "k bigint, note string").alias("props"),
+    )
+    flat = record_flatten(nested)
+    return conform_columns(
+        flat, ["event_id", "ts", "actor.type", "actor.user.id", "value", "props.k", "props.note"]
+    ).withColumn("props.note", F.col("`props.note`").cast("string"))
+
+
+@register("record_explode", "SELECT conv_id, turn, role, text FROM conversations")
+def q_record_explode(spark, sf_dir):
+    # turns nested into pages of at most 64 turns per conversation (bounded
+    # groups even for a very long conversation), then exploded again
+    conv = table(spark, sf_dir, "conversations")
+    pages = conv.groupBy("conv_id", F.floor(F.col("turn") / 64).alias("part")).agg(
+        F.collect_list(F.struct("turn", "role", "text")).alias("turns")
+    )
+    return record_explode(pages, "turns", keep=["conv_id"])
+
+
+# --------------------------------------------------------------------------
+# Time windows and epoch rules on events
+# --------------------------------------------------------------------------
+
+EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
+
+
+@register(
+    "daily_window",
+    f"SELECT {EVENT_COLS} FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'",
+)
+def q_daily_window(spark, sf_dir):
+    return daily_window(table(spark, sf_dir, "events"), "ts", "2024-01-15")
+
+
+@register("since_start", f"SELECT {EVENT_COLS} FROM events WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'")
+def q_since_start(spark, sf_dir):
+    return since_start(table(spark, sf_dir, "events"), "ts", "2024-01-20")
+
+
+@register(
+    "to_epoch",
+    """
+SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS epoch_s,
+       CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS day_start_s
+FROM events
+""",
+)
+def q_to_epoch(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        to_epoch(F.col("ts")).alias("epoch_s"),
+        to_epoch(day_start(F.date_format("ts", "yyyy-MM-dd"))).alias("day_start_s"),
+    )
+
+
+@register("from_epoch", "SELECT event_id, date_trunc('second', ts) AS ts_s FROM events")
+def q_from_epoch(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", from_epoch(to_epoch(F.col("ts"))).alias("ts_s"))
+
+
+@register(
+    "day_bounds",
+    """
+SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS ds,
+       CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS start_unix,
+       CAST(epoch(date_trunc('day', ts)) AS BIGINT) + 86399 AS end_unix
+FROM events
+""",
+)
+def q_day_bounds(spark, sf_dir):
+    # the request bounds of each day that has events: first and last whole second
+    days = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("ds")).distinct()
+    return days.select(
+        "ds",
+        to_int(to_epoch(day_start(F.col("ds")))).alias("start_unix"),
+        (to_int(to_epoch(end_of_day(F.col("ds")))) - 1).alias("end_unix"),
+    )
+
+
+@register(
+    "link_param",
+    """
+SELECT page_id,
+       regexp_extract(url, '^[A-Za-z]+://([^/?#]+)', 1) AS host,
+       replace(url, regexp_extract(url, '^[A-Za-z]+://[^/?#]+', 0), '') AS path,
+       NULLIF(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page_param
+FROM pages
+""",
+)
+def q_link_param(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    host = F.try_parse_url("url", F.lit("HOST"))
+    prefix = F.concat(F.try_parse_url("url", F.lit("PROTOCOL")), F.lit("://"), host)
+    return pages.select(
+        "page_id",
+        host.alias("host"),
+        F.replace(F.col("url"), prefix, F.lit("")).alias("path"),
+        link_param(F.col("url"), "page").alias("page_param"),
+    )
+
+
+@register(
+    "length_rule",
+    """
+SELECT 'text' AS column_name, CAST(20000 AS BIGINT) AS max_len,
+       CAST(count(*) FILTER (WHERE length(text) > 20000) AS BIGINT) AS n_over,
+       CAST(max(length(text)) AS BIGINT) AS longest FROM documents
+UNION ALL
+SELECT 'lang', CAST(2 AS BIGINT), CAST(count(*) FILTER (WHERE length(lang) > 2) AS BIGINT),
+       CAST(max(length(lang)) AS BIGINT) FROM documents
+UNION ALL
+SELECT 'source', CAST(64 AS BIGINT), CAST(count(*) FILTER (WHERE length(source) > 64) AS BIGINT),
+       CAST(max(length(source)) AS BIGINT) FROM documents
+""",
+)
+def q_length_rule(spark, sf_dir):
+    return length_violations(table(spark, sf_dir, "documents"), {"text": 20000, "lang": 2, "source": 64})

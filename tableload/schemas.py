@@ -81,7 +81,7 @@ class ObjectSpec:
     name: str
     columns: tuple[Col, ...]
     key: str = "id"
-    time_column: str = "updated_at"
+    time_column: str | None = "updated_at"
     link_field: str = "next_page"
     extra_wire: tuple[tuple[str, T.DataType], ...] = field(default_factory=tuple)
 

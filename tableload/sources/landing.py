@@ -1,0 +1,84 @@
+"""Write records as landed page documents (the API side, for fixtures and replays).
+
+Fetching pages over HTTP is outside this package; pages arrive as files. This
+writer produces the same envelope from a DataFrame so the load path can be
+driven from tables. Each page groups the records whose ``page_of`` value is
+equal; the caller picks an expression with a bounded page size by
+construction (``floor(id / 1000)`` for unique ids), so no page grows with the
+data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.casts import c
+
+
+def nest(flat: DataFrame) -> DataFrame:
+    """Dotted top-level columns -> nested structs (inverse of ``record_flatten``)."""
+    tree: dict = {}
+    for name in flat.columns:
+        node = tree
+        parts = name.split(".")
+        for p in parts[:-1]:
+            node = node.setdefault(p, {})
+            if not isinstance(node, dict):
+                raise ValueError(f"{name!r} nests under a leaf column")
+        node[parts[-1]] = name
+
+    def build(node: dict) -> list[Column]:
+        out = []
+        for key, child in node.items():
+            if isinstance(child, dict):
+                out.append(F.struct(*build(child)).alias(key))
+            else:
+                out.append(c(child).alias(key))
+        return out
+
+    return flat.select(*build(tree))
+
+
+def to_wire_text_times(df: DataFrame) -> DataFrame:
+    """Timestamps as ISO text (lossless micros), as an API would send them."""
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
+            cols.append(F.date_format(c(f.name), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(f.name))
+        else:
+            cols.append(c(f.name))
+    return df.select(*cols)
+
+
+def land_pages(
+    records: DataFrame,
+    array_field: str,
+    out_dir: str,
+    page_of: Column,
+    link_field: str = "next_page",
+    link_base: str = "https://example.invalid/api/v2/incremental?start_time=",
+    stop_page: int | None = None,
+) -> str:
+    """Group records into pages and write one JSON document per page (JSON lines).
+
+    ``end_of_stream`` is set on the last page, and also on ``stop_page`` when
+    given (pages after it then model a later, stale fetch).
+    """
+    rec = F.struct(*[c(n) for n in records.columns])
+    pages = records.groupBy(page_of.alias("page")).agg(F.collect_list(rec).alias(array_field))
+    last = records.select(F.max(page_of)).scalar()
+    eos = F.col("page") == last
+    if stop_page is not None:
+        eos = eos | (F.col("page") == F.lit(stop_page))
+    pages = pages.select(
+        array_field,
+        F.when(eos, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit(link_base), (F.col("page") + 1).cast("string")))
+        .alias(link_field),
+        eos.alias("end_of_stream"),
+        "page",
+    )
+    pages.write.mode("errorifexists").json(out_dir)
+    return out_dir
