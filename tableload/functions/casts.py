@@ -133,6 +133,8 @@ def typed_value(x: Column, kind: str, label: str, max_len: int | None = None) ->
     """Stage text -> declared type (``typed_load`` for one column)."""
     if kind == "bigint":
         out = int_text(x)
+    elif kind == "int":
+        out = int_text(x).cast("int")
     elif kind == "double":
         out = x.cast("double")
     elif kind == "boolean":
@@ -150,6 +152,19 @@ def typed_value(x: Column, kind: str, label: str, max_len: int | None = None) ->
     return out
 
 
+def wire_value(x: Column, kind: str) -> Column:
+    """Wire value (page JSON) -> declared type, without a stage in between."""
+    if kind == "ntz":
+        return x.cast("timestamp_ntz")
+    if kind == "epoch":
+        return from_epoch(x)
+    return x
+
+
+def table_columns_from_wire(spec: ObjectSpec) -> list[Column]:
+    return [wire_value(c(col.name), col.kind).alias(col.name) for col in spec.columns]
+
+
 def typed_columns(spec: ObjectSpec) -> list[Column]:
     """Select list that casts an all-text frame to the declared table schema."""
     return [typed_value(c(col.name), col.kind, col.name, col.max_len).alias(col.name) for col in spec.columns]

@@ -129,7 +129,8 @@ def demo_statements(ds: str, params: dict | None = None, extra: list[tuple[str,
 
 
 def script_load(spark: SparkSession, ds: str, table: str, root: str, params: dict | None = None,
-                extra: list[tuple[str, dict]] | None = None) -> DataFrame:
+                extra: list[tuple[str, dict]] | None = None,
+                sources: dict[str, DataFrame] | None = None) -> DataFrame:
     """Drop, create, insert literal and bound rows, commit once."""
-    script_commit(spark, demo_statements(ds, params, extra), table, root)
+    script_commit(spark, demo_statements(ds, params, extra), table, root, sources)
     return spark.table(table)

@@ -88,12 +88,19 @@ def insert_rows(frames: list[DataFrame], columns: list[str] | tuple[str, ...]) -
     return out
 
 
-def script_commit(spark: SparkSession, statements: list[tuple[str, dict]], name: str, root: str) -> str:
+def script_commit(spark: SparkSession, statements: list[tuple[str, dict]], name: str, root: str,
+                  sources: dict[str, DataFrame] | None = None) -> str:
     """Run every row-producing statement, then publish all rows with one write.
 
-    Each statement is ``(sql, args)``; nothing is visible until the single
-    publish at the end, so a failing statement leaves the table as it was.
+    Each statement is ``(sql, args)`` with ``:name`` markers bound from
+    ``args``; ``{name}`` in the text refers to a frame in ``sources``. Nothing
+    is visible until the single publish at the end, so a failing statement
+    leaves the table as it was.
     """
-    frames = [spark.sql(sql, args=args or None) for sql, args in statements]
+    sources = sources or {}
+    frames = []
+    for sql, args in statements:
+        used = {k: v for k, v in sources.items() if "{" + k + "}" in sql}
+        frames.append(spark.sql(sql, args=args or None, **used))
     columns = frames[0].columns
     return publish(spark, insert_rows(frames, columns), name, root)

@@ -8,15 +8,34 @@ Output columns are scalar (lists as JSON text) so value hashes are exact.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .functions.casts import day_start, end_of_day, from_epoch, length_violations, link_param, to_epoch, to_int
+from .functions.casts import (
+    c,
+    day_start,
+    end_of_day,
+    from_epoch,
+    length_violations,
+    link_param,
+    table_columns_from_wire,
+    text_columns,
+    to_epoch,
+    to_int,
+)
 from .operators.flatten import conform_columns, record_explode, record_flatten, union_pages
 from .operators.window import daily_window, since_start
+from .plans.pipelines import LoadPaths, full_load, incremental_load, load_all_objects, load_with_fallback, script_load
+from .plans.tables import load_like, publish, table_like, table_recreate
+from .schemas import DEMO_PARAMS, ObjectSpec, parse_columns
+from .session import scratch_dir
+from .sources.landing import land_pages, nest, to_wire_text_times
+from .sources.pages import page_source, page_stop, wire_records
+from .sources.stage import csv_stage_scan, csv_stage_write, stage_and_load, stage_path, typed_load
 from .operators.merge import (
     merge_insert_unmatched,
     merge_update_matched,
@@ -342,3 +361,398 @@ SELECT 'source', CAST(64 AS BIGINT), CAST(count(*) FILTER (WHERE length(source)
 )
 def q_length_rule(spark, sf_dir):
     return length_violations(table(spark, sf_dir, "documents"), {"text": 20000, "lang": 2, "source": 64})
+
+
+# --------------------------------------------------------------------------
+# Specs of the driver tables loaded as objects. events is nested on the wire
+# (actor.type, actor.user.id) to carry dotted names through every step.
+# --------------------------------------------------------------------------
+
+EVENTS = ObjectSpec(
+    "events",
+    parse_columns(
+        """
+event_id bigint
+ts ntz
+actor.type string 64
+actor.user.id bigint
+value double
+props json 256
+"""
+    ),
+    key="event_id",
+    time_column="ts",
+)
+
+EVENTS_FLAT = ObjectSpec(
+    "events",
+    parse_columns(
+        """
+event_id bigint
+ts ntz
+user_id bigint
+event_type string
+value double
+props string
+"""
+    ),
+    key="event_id",
+    time_column="ts",
+)
+
+CUSTOMER = ObjectSpec(
+    "customer",
+    parse_columns(
+        """
+c_custkey bigint
+c_name string 64
+c_nationkey int
+c_acctbal double
+c_mktsegment string 32
+"""
+    ),
+    key="c_custkey",
+    time_column=None,
+)
+
+SUPPLIER = ObjectSpec(
+    "supplier",
+    parse_columns(
+        """
+s_suppkey bigint
+s_name string 64
+s_nationkey int
+s_acctbal double
+"""
+    ),
+    key="s_suppkey",
+    time_column=None,
+)
+
+PART = ObjectSpec(
+    "part",
+    parse_columns(
+        """
+p_partkey bigint
+p_name string 128
+p_brand string 32
+p_type string 64
+p_size int
+p_retailprice double
+"""
+    ),
+    key="p_partkey",
+    time_column=None,
+)
+
+DOCUMENTS = ObjectSpec(
+    "documents",
+    parse_columns(
+        """
+doc_id bigint
+text string
+lang string 8
+source string 64
+n_chars bigint
+"""
+    ),
+    key="doc_id",
+    time_column=None,
+)
+
+ORDERS = ObjectSpec(
+    "orders",
+    parse_columns(
+        """
+o_orderkey bigint
+o_custkey bigint
+o_orderstatus string 1
+o_totalprice double
+o_orderdate ntz
+o_orderpriority string 15
+"""
+    ),
+    key="o_orderkey",
+    time_column="o_orderdate",
+)
+
+ORDER_LISTS = ObjectSpec(
+    "orders",
+    parse_columns(
+        """
+o_orderkey bigint
+ids array<bigint>
+tags array<string>
+"""
+    ),
+    key="o_orderkey",
+    time_column=None,
+)
+
+PAGE_SIZE = 1000
+
+
+def _events_nested_sql_cols() -> str:
+    return 'event_id, ts, event_type AS "actor.type", user_id AS "actor.user.id", value, props'
+
+
+def events_flat(spark, sf_dir) -> DataFrame:
+    """events with the wire's dotted names."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        "ts",
+        F.col("event_type").alias("actor.type"),
+        F.col("user_id").alias("actor.user.id"),
+        "value",
+        "props",
+    )
+
+
+def _land(records: DataFrame, spec: ObjectSpec, out_dir: str, stop_page: int | None = None) -> str:
+    """Land flat records as page documents of at most PAGE_SIZE ids each."""
+    wire = nest(to_wire_text_times(records))
+    return land_pages(
+        wire, spec.name, out_dir, F.floor(c(spec.key) / PAGE_SIZE), link_field=spec.link_field,
+        stop_page=stop_page,
+    )
+
+
+def _table_name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
+# --------------------------------------------------------------------------
+# Pages
+# --------------------------------------------------------------------------
+
+
+@register("page_source", f"SELECT {_events_nested_sql_cols()} FROM events")
+def q_page_source(spark, sf_dir):
+    root = _land(events_flat(spark, sf_dir), EVENTS, scratch_dir(spark, "pages"))
+    recs = wire_records(page_source(spark, EVENTS, root), EVENTS)
+    return recs.select(*table_columns_from_wire(EVENTS))
+
+
+@register(
+    "page_stop",
+    f"""
+SELECT {_events_nested_sql_cols()} FROM events
+WHERE floor(event_id / {PAGE_SIZE}) <= least(6, (SELECT max(floor(event_id / {PAGE_SIZE})) FROM events))
+""",
+)
+def q_page_stop(spark, sf_dir):
+    # page 6 was flagged end_of_stream; later pages belong to a stale fetch
+    root = _land(events_flat(spark, sf_dir), EVENTS, scratch_dir(spark, "pages"), stop_page=6)
+    recs = wire_records(page_stop(page_source(spark, EVENTS, root)), EVENTS)
+    return recs.select(*table_columns_from_wire(EVENTS))
+
+
+# --------------------------------------------------------------------------
+# CSV stage and typed load
+# --------------------------------------------------------------------------
+
+
+@register("csv_stage", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_csv_stage(spark, sf_dir):
+    # whole documents (newlines, quotes, commas) through the CSV stage and back
+    docs = conform_columns(table(spark, sf_dir, "documents"), DOCUMENTS.table_schema())
+    return stage_and_load(spark, docs, DOCUMENTS, scratch_dir(spark, "stage"))
+
+
+@register("typed_load", f"SELECT {ORDERS_COLS} FROM orders")
+def q_typed_load(spark, sf_dir):
+    # text as a pandas extract writes it: nullable ids as 123.0, ISO time with Z
+    o = table(spark, sf_dir, "orders")
+    text = o.select(
+        F.concat(F.col("o_orderkey").cast("string"), F.lit(".0")).alias("o_orderkey"),
+        F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias("o_custkey"),
+        "o_orderstatus",
+        F.col("o_totalprice").cast("string").alias("o_totalprice"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("o_orderdate"),
+        "o_orderpriority",
+    )
+    path = csv_stage_write(text, scratch_dir(spark, "stage"))
+    return typed_load(csv_stage_scan(spark, path, ORDERS.text_schema()), ORDERS)
+
+
+@register(
+    "array_text",
+    """
+SELECT o_orderkey, to_json([o_orderkey, o_custkey])::VARCHAR AS ids_json,
+       to_json([o_orderstatus, o_orderpriority])::VARCHAR AS tags_json,
+       CAST(2 AS INTEGER) AS n_ids, o_orderpriority AS priority
+FROM orders
+""",
+)
+def q_array_text(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    lists = o.select(
+        "o_orderkey",
+        F.array("o_orderkey", "o_custkey").alias("ids"),
+        F.array("o_orderstatus", "o_orderpriority").alias("tags"),
+    )
+    typed = stage_and_load(spark, lists, ORDER_LISTS, scratch_dir(spark, "stage"))
+    return typed.select(
+        "o_orderkey",
+        F.to_json("ids").alias("ids_json"),
+        F.to_json("tags").alias("tags_json"),
+        F.size("ids").alias("n_ids"),
+        F.element_at("tags", 2).alias("priority"),
+    )
+
+
+@register(
+    "dated_stage_path",
+    f"SELECT {EVENT_COLS} FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'",
+)
+def q_dated_stage_path(spark, sf_dir):
+    # stage every day of events under ds=..., read back one day by partition filter
+    ev = table(spark, sf_dir, "events")
+    root = scratch_dir(spark, "stage")
+    text = ev.select(*text_columns(EVENTS_FLAT), F.date_format("ts", "yyyy-MM-dd").alias("ds"))
+    csv_stage_write(text, root, partition_by=["ds"])
+    schema = EVENTS_FLAT.text_schema().add("ds", T.StringType())
+    day = csv_stage_scan(spark, root, schema).where(F.col("ds") == "2024-01-15")
+    return typed_load(day, EVENTS_FLAT)
+
+
+# --------------------------------------------------------------------------
+# Tables and pipelines
+# --------------------------------------------------------------------------
+
+CUSTOMER_COLS = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
+
+
+def _paths(spark) -> LoadPaths:
+    root = scratch_dir(spark, "run")
+    return LoadPaths(landing=f"{root}/landing", stage=f"{root}/stage", tables=f"{root}/tables")
+
+
+@register("full_refresh", f"SELECT {CUSTOMER_COLS} FROM customer")
+def q_full_refresh(spark, sf_dir):
+    # an older extract is the current table; the new extract replaces it
+    paths, name = _paths(spark), _table_name("customer")
+    cust = table(spark, sf_dir, "customer")
+    older = cust.withColumn("c_acctbal", F.col("c_acctbal") - 1)
+    publish(spark, older, name, paths.table_root(name))
+    fresh = stage_and_load(spark, cust, CUSTOMER, stage_path(paths.stage, "customer"))
+    publish(spark, fresh, name, paths.table_root(name))
+    return spark.table(name)
+
+
+@register("table_like", f"SELECT {CUSTOMER_COLS} FROM customer")
+def q_table_like(spark, sf_dir):
+    # the day table takes the target's schema; staged rows load into it
+    paths, name = _paths(spark), _table_name("customer")
+    cust = table(spark, sf_dir, "customer")
+    table_recreate(spark, name, CUSTOMER.table_schema(), paths.table_root(name))
+    schema = table_like(spark, name)
+    typed = stage_and_load(spark, cust, CUSTOMER, stage_path(paths.stage, "customer", "2024-01-16"))
+    return load_like(typed, schema)
+
+
+@register("full_load", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
+def q_full_load(spark, sf_dir):
+    paths, name = _paths(spark), _table_name("part")
+    _land(table(spark, sf_dir, "part"), PART, paths.landing_full("part"))
+    full_load(spark, PART, paths, name)
+    return spark.table(name)
+
+
+_INCR_DAY = "2024-01-16"
+
+
+@register(
+    "incremental_load",
+    f"""
+SELECT {_events_nested_sql_cols()} FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'
+UNION ALL
+SELECT event_id, ts + INTERVAL 1 DAY AS ts, event_type AS "actor.type", user_id AS "actor.user.id",
+       value + 1 AS value, props
+FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'
+UNION ALL
+SELECT {_events_nested_sql_cols()} FROM events
+WHERE ts >= TIMESTAMP '2024-01-16 00:00:00' AND ts < TIMESTAMP '2024-01-17 00:00:00'
+""",
+)
+def q_incremental_load(spark, sf_dir):
+    # full extract of everything before the day; then the day's pages: new
+    # events of 2024-01-16 plus the previous day's events re-sent on the day
+    # with value + 1 (same ids -> updated in place)
+    paths, name = _paths(spark), _table_name("events")
+    flat = events_flat(spark, sf_dir)
+    before = flat.where(F.col("ts") < day_start(_INCR_DAY))
+    _land(before, EVENTS, paths.landing_full("events"))
+    full_load(spark, EVENTS, paths, name)
+    new = daily_window(flat, "ts", _INCR_DAY)
+    resent = daily_window(flat, "ts", "2024-01-15").select(
+        "event_id",
+        F.timestamp_add("DAY", F.lit(1), F.col("ts")).alias("ts"),
+        "`actor.type`",
+        "`actor.user.id`",
+        (F.col("value") + 1).alias("value"),
+        "props",
+    )
+    _land(new.unionByName(resent), EVENTS, paths.landing_day("events", _INCR_DAY))
+    res = incremental_load(spark, EVENTS, _INCR_DAY, paths, name)
+    assert res.branch == "daily"
+    return spark.table(name)
+
+
+@register("load_with_fallback", f"SELECT {CUSTOMER_COLS}, 'full' AS branch FROM customer")
+def q_load_with_fallback(spark, sf_dir):
+    # first run: no target table, so the daily merge fails and the full load builds it
+    paths, name = _paths(spark), _table_name("customer")
+    _land(table(spark, sf_dir, "customer"), CUSTOMER, paths.landing_full("customer"))
+    res = load_with_fallback(spark, CUSTOMER, _INCR_DAY, paths, name)
+    return spark.table(name).withColumn("branch", F.lit(res.branch))
+
+
+@register(
+    "load_all_objects",
+    """
+SELECT 'customer' AS object, count(*) AS n_rows FROM customer
+UNION ALL SELECT 'supplier' AS object, count(*) AS n_rows FROM supplier
+UNION ALL SELECT 'part' AS object, count(*) AS n_rows FROM part
+""",
+)
+def q_load_all_objects(spark, sf_dir):
+    paths = _paths(spark)
+    specs = [CUSTOMER, SUPPLIER, PART]
+    for spec in specs:
+        _land(table(spark, sf_dir, spec.name), spec, paths.landing_full(spec.name))
+    names = {spec.name: _table_name(spec.name) for spec in specs}
+    results = load_all_objects(spark, specs, _INCR_DAY, paths, table_of=lambda s: names[s.name])
+    failed = {k: r.error for k, r in results.items() if r.branch == "failed"}
+    if failed:
+        raise RuntimeError(f"loads failed: {failed}")
+    counts = [
+        spark.table(names[s.name]).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(s.name).alias("object"), "n_rows"
+        )
+        for s in specs
+    ]
+    return union_pages(counts)
+
+
+@register(
+    "script_load",
+    f"""
+SELECT * FROM (VALUES ('hard-coded-value-1', 'hard-coded-value-2', 'hard-coded-value-3'),
+                      ('hard-coded-value-4', 'hard-coded-value-5', 'hard-coded-value-6'),
+                      ('hard-coded-value-7', 'hard-coded-value-8', 'hard-coded-value-9'),
+                      ('parameter-value-1', 'parameter-value-2', '{_INCR_DAY}')) AS t(col_1, col_2, col_3)
+UNION ALL
+SELECT c_name AS col_1, 'parameter-value-1' AS col_2, '{_INCR_DAY}' AS col_3 FROM customer
+""",
+)
+def q_script_load(spark, sf_dir):
+    # the demo script, plus one bound INSERT ... SELECT over customer so the
+    # statement list reads a driver table (values bound, never spliced)
+    root = scratch_dir(spark, "tables")
+    name = _table_name("demo")
+    extra = [("SELECT c_name AS col_1, :value_1 AS col_2, :ds AS col_3 FROM {customer}",
+              {"value_1": DEMO_PARAMS["value_1"], "ds": _INCR_DAY})]
+    return script_load(spark, _INCR_DAY, name, root, extra=extra,
+                       sources={"customer": table(spark, sf_dir, "customer")})

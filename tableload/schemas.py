@@ -10,6 +10,7 @@ A spec is an ordered list of flat (possibly dotted) column names, each with a
 Kinds:
 
 ``bigint``   ids and counts; wire bigint, text may be ``123`` or ``123.0``
+``int``      32-bit whole numbers, same text rule
 ``double``   wire double
 ``string``   text, optional length rule
 ``json``     a list of objects kept as its JSON text (wire string: Spark keeps
@@ -28,6 +29,7 @@ from pyspark.sql import types as T
 
 KINDS = (
     "bigint",
+    "int",
     "double",
     "string",
     "json",
@@ -40,6 +42,7 @@ KINDS = (
 
 _WIRE = {
     "bigint": T.LongType(),
+    "int": T.IntegerType(),
     "double": T.DoubleType(),
     "string": T.StringType(),
     "json": T.StringType(),
@@ -52,6 +55,7 @@ _WIRE = {
 
 _TABLE = {
     "bigint": T.LongType(),
+    "int": T.IntegerType(),
     "double": T.DoubleType(),
     "string": T.StringType(),
     "json": T.StringType(),
