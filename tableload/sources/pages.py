@@ -86,12 +86,17 @@ def day_bounds(ds: str, zone: str = "UTC") -> tuple[Column, Column]:
 
 def full_source(spark: SparkSession, spec: ObjectSpec, path: str, since: str = "1970-01-01",
                 multi_line: bool = False) -> DataFrame:
-    """Full extract: pages up to end of stream, records from ``since`` on."""
+    """Full extract: pages up to end of stream, records from ``since`` on.
+
+    A record without a clock value cannot be placed in time; a full load
+    keeps it rather than dropping it silently.
+    """
     pages = page_stop(page_source(spark, spec, path, multi_line))
     recs = wire_records(pages, spec)
     if spec.time_column is None:
         return recs
-    return recs.where(record_time(spec) >= day_start(since))
+    t = record_time(spec)
+    return recs.where(t.isNull() | (t >= day_start(since)))
 
 
 def daily_source(spark: SparkSession, spec: ObjectSpec, path: str, ds: str, zone: str = "UTC",

@@ -1,0 +1,150 @@
+"""Pages -> records -> flat conformed columns, on hand-made pages (FIXTURES.md §3)."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from conftest import write_pages
+from tableload.functions.casts import table_columns_from_wire
+from tableload.plans.pipelines import LOAD_ERRORS
+from tableload.operators.flatten import conform_columns, record_explode, record_flatten, union_pages
+from tableload.schemas import ORGANIZATIONS, TICKETS, USERS, object_spec
+from tableload.sources.pages import daily_source, full_source, page_source, page_stop, wire_records
+
+
+def user(i, updated="2024-01-16T10:00:00Z", **kw):
+    r = {"id": i, "name": f"user {i}", "updated_at": updated, "created_at": "2021-08-18T16:50:10Z"}
+    r.update(kw)
+    return r
+
+
+def test_object_guard():
+    assert object_spec("users") is USERS
+    with pytest.raises(ValueError, match="object not defined"):
+        object_spec("groups")
+
+
+def test_contract_sizes_and_order():
+    assert len(TICKETS.columns) == 49 and len(ORGANIZATIONS.columns) == 21 and len(USERS.columns) == 50
+    assert TICKETS.names[:3] == ["url", "id", "external_id"]
+    assert USERS.names[-2:] == ["photo", "permanently_deleted"]
+
+
+def test_null_object_and_object_in_one_page(spark, tmp_root):
+    pages = [
+        {
+            "users": [
+                user(1, photo=None),
+                user(2, photo={"url": "https://p/2.png", "id": 7, "thumbnails": [{"id": 8, "url": "t"}],
+                               "inline": False}),
+            ],
+            "next_page": None, "end_of_stream": True, "page": 1,
+        }
+    ]
+    path = write_pages(tmp_root, "users", pages)
+    recs = wire_records(page_source(spark, USERS, path), USERS)
+    assert recs.columns == USERS.names
+    got = {r["id"]: r for r in recs.collect()}
+    assert got[1]["photo.url"] is None and got[1]["photo"] is None
+    assert got[2]["photo.url"] == "https://p/2.png" and got[2]["photo.id"] == 7
+    assert got[2]["photo.thumbnails"] == '[{"id": 8, "url": "t"}]'
+    assert got[2]["photo"] is None  # parent and child names: the flat parent stays null
+
+
+def test_missing_and_extra_keys_and_depth_three(spark, tmp_root):
+    t = {
+        "id": 10, "subject": "hi", "unknown_field": {"x": 1}, "tags": ["a", "b"],
+        "via": {"channel": "email", "source": {"from": {"name": "Ann", "address": "a@x"}, "rel": None}},
+        "custom_fields": [{"id": 1, "value": None}], "generated_timestamp": 1629305410,
+        "updated_at": "2024-01-16T00:00:00Z",
+    }
+    path = write_pages(tmp_root, "tickets", [{"tickets": [t], "after_cursor": "c1", "end_of_stream": True, "page": 1}])
+    recs = wire_records(page_source(spark, TICKETS, path), TICKETS)
+    assert recs.columns == TICKETS.names  # extra key dropped, order fixed
+    r = recs.collect()[0]
+    assert r["via.source.from.name"] == "Ann" and r["via.channel"] == "email"
+    assert r["via.source.to.name"] is None  # missing -> null
+    assert r["custom_fields"] == '[{"id": 1, "value": null}]'
+    typed = recs.select(*table_columns_from_wire(TICKETS)).collect()[0]
+    assert str(typed["generated_timestamp"]) == "2021-08-18 16:50:10"
+
+
+def test_empty_page_gives_no_rows(spark, tmp_root):
+    path = write_pages(tmp_root, "orgs", [{"organizations": [], "next_page": None, "end_of_stream": True, "page": 1}])
+    assert wire_records(page_source(spark, ORGANIZATIONS, path), ORGANIZATIONS).count() == 0
+
+
+def test_pages_after_end_of_stream_ignored(spark, tmp_root):
+    pages = [
+        {"users": [user(1)], "next_page": "https://h/api?start_time=2", "end_of_stream": False, "page": 1},
+        {"users": [user(2), user(1)], "next_page": "https://h/api?start_time=3", "end_of_stream": True, "page": 2},
+        {"users": [user(3)], "next_page": None, "end_of_stream": True, "page": 3},
+    ]
+    path = write_pages(tmp_root, "users", pages)
+    recs = wire_records(page_stop(page_source(spark, USERS, path)), USERS)
+    # same id on two pages is kept (no silent dedupe); page 3 dropped
+    assert sorted(r["id"] for r in recs.collect()) == [1, 1, 2]
+
+
+def test_no_flagged_page_keeps_all(spark, tmp_root):
+    pages = [{"users": [user(i)], "next_page": "n", "end_of_stream": False, "page": i} for i in range(3)]
+    path = write_pages(tmp_root, "users", pages)
+    assert page_stop(page_source(spark, USERS, path)).count() == 3
+
+
+def test_thirteen_digit_ids(spark, tmp_root):
+    big = 1234567890123
+    path = write_pages(tmp_root, "users", [{"users": [user(big, organization_id=big + 1)], "end_of_stream": True, "page": 1}])
+    r = wire_records(page_source(spark, USERS, path), USERS).collect()[0]
+    assert r["id"] == big and r["organization_id"] == big + 1
+
+
+def test_missing_record_array_fails(spark, tmp_root):
+    path = write_pages(tmp_root, "users", [{"error": "Unauthorized", "page": 1}])
+    with pytest.raises(PySparkException, match="page without 'users' records"):
+        wire_records(page_source(spark, USERS, path), USERS).collect()
+
+
+def test_wrong_typed_field_fails(spark, tmp_root):
+    path = write_pages(tmp_root, "users", [{"users": [user("not-a-number")], "end_of_stream": True, "page": 1}])
+    with pytest.raises(LOAD_ERRORS):
+        wire_records(page_source(spark, USERS, path), USERS).collect()
+
+
+def test_daily_source_window_and_all_pages(spark, tmp_root):
+    pages = [
+        {"users": [user(1, updated="2024-01-15T23:59:59.5Z"), user(2, updated="2024-01-16T00:00:00Z")],
+         "next_page": "n", "end_of_stream": False, "page": 1},
+        {"users": [user(3, updated="2024-01-16T23:59:59.999Z"), user(4, updated="2024-01-17T00:00:00Z")],
+         "next_page": None, "end_of_stream": True, "page": 2},
+    ]
+    path = write_pages(tmp_root, "users", pages)
+    day = daily_source(spark, USERS, path, "2024-01-16")
+    assert sorted(r["id"] for r in day.collect()) == [2, 3]  # both pages read
+    # the same day in New York runs 05:00Z to 05:00Z next day
+    ny = daily_source(spark, USERS, path, "2024-01-15", zone="America/New_York")
+    assert sorted(r["id"] for r in ny.collect()) == [1, 2]
+    assert full_source(spark, USERS, path, since="2024-01-16").count() == 3
+
+
+def test_flatten_and_conform_generic(spark):
+    df = spark.createDataFrame(
+        [(1, ("a", (2, "n")), [(1, "x")])],
+        "id bigint, via struct<channel: string, source: struct<id: bigint, name: string>>, "
+        "lst array<struct<k: bigint, v: string>>",
+    )
+    flat = record_flatten(df)
+    assert flat.columns == ["id", "via.channel", "via.source.id", "via.source.name", "lst"]
+    assert flat.collect()[0]["lst"] == '[{"k":1,"v":"x"}]'
+    conf = conform_columns(flat, ["via.source.name", "id", "missing"])
+    assert conf.columns == ["via.source.name", "id", "missing"]
+    assert tuple(conf.collect()[0]) == ("n", 1, None)
+
+
+def test_explode_and_union(spark):
+    pages = spark.createDataFrame([(1, [(1, "a"), (2, "b")]), (2, [])], "p bigint, recs array<struct<id: bigint, s: string>>")
+    assert record_explode(pages, "recs", keep=["p"]).count() == 2
+    a = spark.createDataFrame([(1, "x")], "id bigint, a string")
+    b = spark.createDataFrame([(2, 3.0)], "id bigint, b double")
+    u = union_pages([a, b])
+    assert sorted(map(tuple, u.collect()), key=repr) == sorted([(1, "x", None), (2, None, 3.0)], key=repr)

@@ -1,0 +1,146 @@
+"""Whole loads on hand-made pages: fallback, daily merge, failures, all objects, script."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import write_pages
+from tableload.plans.pipelines import (
+    LOAD_ERRORS,
+    LoadPaths,
+    full_load,
+    incremental_load,
+    load_all_objects,
+    load_with_fallback,
+    script_load,
+)
+from tableload.plans.tables import publish, table_location
+from tableload.schemas import ORGANIZATIONS, TICKETS, USERS
+
+
+def paths_under(root):
+    return LoadPaths(landing=f"{root}/landing", stage=f"{root}/stage", tables=f"{root}/tables")
+
+
+def ticket(i, updated, **kw):
+    r = {"id": i, "subject": f"ticket {i}", "status": "open", "updated_at": updated,
+         "via": {"channel": "web", "source": {"from": {"name": "A"}}}, "tags": ["t"],
+         "collaborator_ids": [1, 2], "generated_timestamp": 1705363200}
+    r.update(kw)
+    return r
+
+
+def name():
+    return f"tickets_{uuid.uuid4().hex[:10]}"
+
+
+def land_full(root, pages):
+    return write_pages(f"{root}/landing/tickets", "full", pages)
+
+
+def land_day(root, ds, pages):
+    return write_pages(f"{root}/landing/tickets", f"ds={ds}", pages)
+
+
+def test_first_run_falls_back_then_daily_merges(spark, tmp_root):
+    p, t = paths_under(tmp_root), name()
+    land_full(tmp_root, [
+        {"tickets": [ticket(1, "2024-01-10T00:00:00Z"), ticket(2, "2024-01-11T00:00:00Z")],
+         "after_cursor": "c1", "end_of_stream": False, "page": 1},
+        {"tickets": [ticket(3, "2024-01-12T00:00:00Z", status="solved")],
+         "after_cursor": "c2", "end_of_stream": True, "page": 2},
+    ])
+    res = load_with_fallback(spark, TICKETS, "2024-01-16", p, t)
+    assert res.branch == "full" and "TABLE_OR_VIEW_NOT_FOUND" in res.error
+    assert spark.table(t).count() == 3 and spark.table(t).schema == TICKETS.table_schema()
+
+    land_day(tmp_root, "2024-01-16", [
+        {"tickets": [ticket(2, "2024-01-16T08:00:00Z", status=None, subject="changed"),
+                     ticket(4, "2024-01-16T09:00:00Z")], "after_cursor": "c3", "end_of_stream": False, "page": 1},
+        {"tickets": [ticket(5, "2024-01-16T23:59:59.5Z"), ticket(6, "2024-01-17T00:00:00Z")],
+         "after_cursor": "c4", "end_of_stream": True, "page": 2},
+    ])
+    res = load_with_fallback(spark, TICKETS, "2024-01-16", p, t)
+    assert res.branch == "daily" and res.error is None
+    got = {r["id"]: r for r in spark.table(t).collect()}
+    assert sorted(got) == [1, 2, 3, 4, 5]  # 6 is the next day
+    assert got[2]["status"] is None and got[2]["subject"] == "changed"  # null overwrites
+    assert got[3]["status"] == "solved"
+    assert got[4]["collaborator_ids"] == [1, 2] and got[4]["via.source.from.name"] == "A"
+    assert str(got[4]["generated_timestamp"]) == "2024-01-16 00:00:00"
+
+
+def test_bad_day_value_resets_from_full(spark, tmp_root):
+    p, t = paths_under(tmp_root), name()
+    land_full(tmp_root, [{"tickets": [ticket(1, "2024-01-10T00:00:00Z")], "after_cursor": "c",
+                          "end_of_stream": True, "page": 1}])
+    full_load(spark, TICKETS, p, t)
+    land_day(tmp_root, "2024-01-16", [{"tickets": [ticket(2, "2024-01-16T01:00:00Z", subject="s" * 300)],
+                                       "after_cursor": "c", "end_of_stream": True, "page": 1}])
+    res = load_with_fallback(spark, TICKETS, "2024-01-16", p, t)
+    assert res.branch == "full" and "value too long for subject" in res.error
+    assert [r["id"] for r in spark.table(t).collect()] == [1]
+
+
+def test_duplicate_day_ids_fail_daily(spark, tmp_root):
+    p, t = paths_under(tmp_root), name()
+    land_full(tmp_root, [{"tickets": [ticket(1, "2024-01-10T00:00:00Z")], "after_cursor": "c",
+                          "end_of_stream": True, "page": 1}])
+    full_load(spark, TICKETS, p, t)
+    land_day(tmp_root, "2024-01-16", [{"tickets": [ticket(7, "2024-01-16T01:00:00Z"), ticket(7, "2024-01-16T02:00:00Z")],
+                                       "after_cursor": "c", "end_of_stream": True, "page": 1}])
+    with pytest.raises(ValueError, match="duplicate id"):
+        incremental_load(spark, TICKETS, "2024-01-16", p, t)
+
+
+def test_schema_drift_resets_table(spark, tmp_root):
+    p, t = paths_under(tmp_root), name()
+    old = spark.createDataFrame([(1, "x")], "id bigint, subject string")
+    publish(spark, old, t, p.table_root(t))
+    land_full(tmp_root, [{"tickets": [ticket(9, "2024-01-10T00:00:00Z")], "after_cursor": "c",
+                          "end_of_stream": True, "page": 1}])
+    res = load_with_fallback(spark, TICKETS, "2024-01-16", p, t)
+    assert res.branch == "full" and "schema differs" in res.error
+    assert spark.table(t).schema == TICKETS.table_schema()
+
+
+def test_failed_publish_keeps_old_version(spark, tmp_root):
+    t = name()
+    root = f"{tmp_root}/tables/{t}"
+    publish(spark, spark.createDataFrame([(1, "a")], "id bigint, s string"), t, root)
+    before = table_location(spark, t)
+    bad = spark.createDataFrame([(2, "b")], "id bigint, s string").withColumn(
+        "s", F.raise_error(F.lit("extract broke")).cast("string")
+    )
+    with pytest.raises(LOAD_ERRORS):
+        publish(spark, bad, t, root)
+    assert table_location(spark, t) == before
+    assert [tuple(r) for r in spark.table(t).collect()] == [(1, "a")]
+
+
+def test_load_all_objects(spark, tmp_root):
+    p = paths_under(tmp_root)
+    write_pages(f"{tmp_root}/landing/tickets", "full",
+                [{"tickets": [ticket(1, "2024-01-10T00:00:00Z")], "after_cursor": "c", "end_of_stream": True, "page": 1}])
+    write_pages(f"{tmp_root}/landing/organizations", "full",
+                [{"organizations": [{"id": 5, "name": "Org", "domain_names": ["a.io"],
+                                     "organization_fields": {"support_level": "gold"}}],
+                  "next_page": None, "end_of_stream": True, "page": 1}])
+    # users: no pages landed at all -> that object fails, others still load
+    names = {s.name: f"{s.name}_{uuid.uuid4().hex[:8]}" for s in (TICKETS, ORGANIZATIONS, USERS)}
+    res = load_all_objects(spark, [TICKETS, ORGANIZATIONS, USERS], "2024-01-16", p, table_of=lambda s: names[s.name])
+    assert res["tickets"].branch == "full" and res["organizations"].branch == "full"
+    assert res["users"].branch == "failed"
+    org = spark.table(names["organizations"]).collect()[0]
+    assert org["organization_fields.support_level"] == "gold" and org["domain_names"] == ["a.io"]
+
+
+def test_script_load(spark, tmp_root):
+    t = f"demo_{uuid.uuid4().hex[:8]}"
+    got = script_load(spark, "2024-01-16", t, f"{tmp_root}/tables/{t}",
+                      params={"value_1": "it's bound", "value_2": "v2"})
+    rows = sorted(tuple(r) for r in got.collect())
+    assert len(rows) == 4
+    assert ("it's bound", "v2", "2024-01-16") in rows
+    assert ("hard-coded-value-1", "hard-coded-value-2", "hard-coded-value-3") in rows
