@@ -18,7 +18,7 @@ from ..operators.merge import assert_unique_keys, merge_upsert
 from ..schemas import DEMO_COLUMNS, DEMO_LITERAL_ROWS, DEMO_PARAMS, ObjectSpec
 from ..sources.pages import daily_source, full_source
 from ..sources.stage import stage_and_load, stage_path
-from .tables import load_like, publish, script_commit, table_like, version_path
+from .tables import load_like, publish, same_shape, script_commit, table_like, version_path
 
 try:  # errors raised from the JVM that are not mapped to a Python class
     from py4j.protocol import Py4JJavaError
@@ -62,7 +62,7 @@ def incremental_load(spark: SparkSession, spec: ObjectSpec, ds: str, paths: Load
                      zone: str = "UTC") -> LoadResult:
     """Merge one day's records into ``table`` (fails if the table is missing)."""
     schema = table_like(spark, table)  # missing target -> TABLE_OR_VIEW_NOT_FOUND
-    if schema != spec.table_schema():
+    if not same_shape(schema, spec.table_schema()):
         raise ValueError(f"{table} schema differs from the {spec.name} contract")
     wire = daily_source(spark, spec, paths.landing_day(spec.name, ds), ds, zone)
     typed = stage_and_load(spark, wire, spec, stage_path(paths.stage, spec.name, ds))

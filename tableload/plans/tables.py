@@ -41,16 +41,28 @@ def publish(spark: SparkSession, df: DataFrame, name: str, root: str) -> str:
     """
     path = version_path(root)
     df.write.mode("errorifexists").parquet(path)
+    schema = as_nullable(df.schema)  # what Parquet stores; no footer re-read, no inference job
     if spark.catalog.tableExists(name):
-        if spark.table(name).schema == spark.read.parquet(path).schema:
+        if same_shape(spark.table(name).schema, schema):
             spark.sql("ALTER TABLE IDENTIFIER(:t) SET LOCATION :loc", args={"t": name, "loc": path})
             spark.catalog.refreshTable(name)
             return path
         spark.sql("DROP TABLE IDENTIFIER(:t)", args={"t": name})
-    spark.catalog.createTable(name, path=path, source="parquet")
+    spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
     return path
 
 
+def as_nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
+def same_shape(a: T.StructType, b: T.StructType) -> bool:
+    """Same names, order and types (nullability aside)."""
+    return [(f.name, f.dataType.simpleString()) for f in a.fields] == [
+        (f.name, f.dataType.simpleString()) for f in b.fields
+    ]
+
+
 def table_recreate(spark: SparkSession, name: str, schema: T.StructType, root: str) -> str:
     """Empty table with the declared schema (``drop``; ``create table (...)``)."""
     return publish(spark, spark.createDataFrame([], schema), name, root)
