@@ -66,13 +66,27 @@ def incremental_load(spark: SparkSession, spec: ObjectSpec, ds: str, paths: Load
         raise ValueError(f"{table} schema differs from the {spec.name} contract")
     wire = daily_source(spark, spec, paths.landing_day(spec.name, ds), ds, zone)
     typed = stage_and_load(spark, wire, spec, stage_path(paths.stage, spec.name, ds))
+    apply_day(spark, spec, load_like(typed, schema), paths, table)
+    return LoadResult(table, "daily")
+
+
+def apply_day(spark: SparkSession, spec: ObjectSpec, typed_day: DataFrame, paths: LoadPaths, table: str,
+              create_if_missing: bool = False) -> None:
+    """Materialise the typed day, check its keys, merge it into ``table``, publish.
+
+    Writing the day once as Parquet runs the casts and checks a single time
+    and cuts the lineage: the merge below re-reads files on shared storage,
+    not the pages and stage behind them.
+    """
     day_path = version_path(paths.table_root(f"{table}_daily"))
-    load_like(typed, schema).write.mode("errorifexists").parquet(day_path)  # casts and checks run here
+    typed_day.write.mode("errorifexists").parquet(day_path)
     day = spark.read.parquet(day_path)
     assert_unique_keys(day, spec.key)
+    if create_if_missing and not spark.catalog.tableExists(table):
+        publish(spark, day, table, paths.table_root(table))
+        return
     merged = merge_upsert(spark.table(table), day, spec.key, check_unique=False)
     publish(spark, merged, table, paths.table_root(table))
-    return LoadResult(table, "daily")
 
 
 def full_load(spark: SparkSession, spec: ObjectSpec, paths: LoadPaths, table: str,

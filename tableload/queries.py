@@ -33,6 +33,7 @@ from .plans.pipelines import LoadPaths, full_load, incremental_load, load_all_ob
 from .plans.tables import load_like, publish, table_like, table_recreate
 from .schemas import DEMO_PARAMS, ObjectSpec, parse_columns
 from .session import scratch_dir
+from .streaming.landing import drain, stream_load
 from .sources.landing import land_pages, nest, to_wire_text_times
 from .sources.pages import page_source, page_stop, wire_records
 from .sources.stage import csv_stage_scan, csv_stage_write, stage_and_load, stage_path, typed_load
@@ -756,3 +757,31 @@ def q_script_load(spark, sf_dir):
               {"value_1": DEMO_PARAMS["value_1"], "ds": _INCR_DAY})]
     return script_load(spark, _INCR_DAY, name, root, extra=extra,
                        sources={"customer": table(spark, sf_dir, "customer")})
+
+
+@register("incremental_stream", ORACLE["incremental_load"])
+def q_incremental_stream(spark, sf_dir):
+    # three fetches land one after the other in a watched folder: everything
+    # before 2024-01-15, then the 15th, then the 16th with the 15th re-sent
+    # (value + 1). The stream merges them fetch by fetch, in landing order.
+    paths, name = _paths(spark), _table_name("events")
+    watched = f"{paths.landing}/events/stream"
+    flat = events_flat(spark, sf_dir)
+    fetches = [
+        flat.where(F.col("ts") < day_start("2024-01-15")),
+        daily_window(flat, "ts", "2024-01-15"),
+        daily_window(flat, "ts", _INCR_DAY).unionByName(
+            daily_window(flat, "ts", "2024-01-15").select(
+                "event_id",
+                F.timestamp_add("DAY", F.lit(1), F.col("ts")).alias("ts"),
+                "`actor.type`",
+                "`actor.user.id`",
+                (F.col("value") + 1).alias("value"),
+                "props",
+            )
+        ),
+    ]
+    for i, recs in enumerate(fetches):
+        wire = nest(to_wire_text_times(recs))
+        land_pages(wire, EVENTS.name, f"{watched}/fetch={i:06d}", F.floor(c(EVENTS.key) / PAGE_SIZE), files=1)
+    return drain(spark, stream_load(spark, EVENTS, watched, paths, name), name)

@@ -60,11 +60,13 @@ def land_pages(
     link_field: str = "next_page",
     link_base: str = "https://example.invalid/api/v2/incremental?start_time=",
     stop_page: int | None = None,
+    files: int | None = None,
 ) -> str:
     """Group records into pages and write one JSON document per page (JSON lines).
 
     ``end_of_stream`` is set on the last page, and also on ``stop_page`` when
-    given (pages after it then model a later, stale fetch).
+    given (pages after it then model a later, stale fetch). ``files`` caps
+    the number of files written (one file per fetch for the stream loader).
     """
     rec = F.struct(*[c(n) for n in records.columns])
     pages = records.groupBy(page_of.alias("page")).agg(F.collect_list(rec).alias(array_field))
@@ -80,5 +82,7 @@ def land_pages(
         eos.alias("end_of_stream"),
         "page",
     )
+    if files:
+        pages = pages.coalesce(files)
     pages.write.mode("errorifexists").json(out_dir)
     return out_dir
