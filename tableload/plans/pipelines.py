@@ -14,10 +14,12 @@ from dataclasses import dataclass
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.casts import c
 from ..operators.merge import assert_unique_keys, merge_upsert
 from ..schemas import DEMO_COLUMNS, DEMO_LITERAL_ROWS, DEMO_PARAMS, ObjectSpec
 from ..sources.pages import daily_source, full_source
 from ..sources.stage import stage_and_load, stage_path
+from .partitions import partition_value, publish_partitioned, upsert_partitions
 from .tables import load_like, publish, same_shape, script_commit, table_like, version_path
 
 try:  # errors raised from the JVM that are not mapped to a Python class
@@ -62,14 +64,29 @@ def incremental_load(spark: SparkSession, spec: ObjectSpec, ds: str, paths: Load
                      zone: str = "UTC") -> LoadResult:
     """Merge one day's records into ``table`` (fails if the table is missing)."""
     schema = table_like(spark, table)  # missing target -> TABLE_OR_VIEW_NOT_FOUND
-    if not same_shape(schema, spec.table_schema()):
+    if not same_shape(schema, spec.stored_schema()):
         raise ValueError(f"{table} schema differs from the {spec.name} contract")
     wire = daily_source(spark, spec, paths.landing_day(spec.name, ds), ds, zone)
     typed = stage_and_load(spark, wire, spec, stage_path(paths.stage, spec.name, ds))
-    apply_day(spark, spec, load_like(typed, schema), paths, table)
+    apply_day(spark, spec, load_like(typed, spec.table_schema()), paths, table)
     return LoadResult(table, "daily")
 
 
+def with_partition_column(df: DataFrame, spec: ObjectSpec) -> DataFrame:
+    if not spec.partition:
+        return df
+    name, source, pattern = spec.partition
+    return df.withColumn(name, partition_value(c(source), pattern))
+
+
+def publish_spec(spark: SparkSession, spec: ObjectSpec, df: DataFrame, table: str, root: str) -> None:
+    """Publish all rows: one version folder, partitioned if the spec says so."""
+    if spec.partition:
+        publish_partitioned(spark, with_partition_column(df, spec), table, root, spec.partition[0])
+    else:
+        publish(spark, df, table, root)
+
+
 def apply_day(spark: SparkSession, spec: ObjectSpec, typed_day: DataFrame, paths: LoadPaths, table: str,
               create_if_missing: bool = False) -> None:
     """Materialise the typed day, check its keys, merge it into ``table``, publish.
@@ -79,14 +96,21 @@ def apply_day(spark: SparkSession, spec: ObjectSpec, typed_day: DataFrame, paths
     not the pages and stage behind them.
     """
     day_path = version_path(paths.table_root(f"{table}_daily"))
-    typed_day.write.mode("errorifexists").parquet(day_path)
+    with_partition_column(typed_day, spec).write.mode("errorifexists").parquet(day_path)
     day = spark.read.parquet(day_path)
     assert_unique_keys(day, spec.key)
+    root = paths.table_root(table)
     if create_if_missing and not spark.catalog.tableExists(table):
-        publish(spark, day, table, paths.table_root(table))
+        if spec.partition:
+            publish_partitioned(spark, day, table, root, spec.partition[0])
+        else:
+            publish(spark, day, table, root)
+        return
+    if spec.partition:
+        upsert_partitions(spark, table, day, spec.key, spec.partition[0], root)
         return
     merged = merge_upsert(spark.table(table), day, spec.key, check_unique=False)
-    publish(spark, merged, table, paths.table_root(table))
+    publish(spark, merged, table, root)
 
 
 def full_load(spark: SparkSession, spec: ObjectSpec, paths: LoadPaths, table: str,
@@ -94,7 +118,7 @@ def full_load(spark: SparkSession, spec: ObjectSpec, paths: LoadPaths, table: st
     """Reload ``table`` from the full extract's pages (creates or resets it)."""
     wire = full_source(spark, spec, paths.landing_full(spec.name), since)
     typed = stage_and_load(spark, wire, spec, stage_path(paths.stage, spec.name))
-    publish(spark, typed, table, paths.table_root(table))
+    publish_spec(spark, spec, typed, table, paths.table_root(table))
     return LoadResult(table, "full")
 
 

@@ -23,7 +23,7 @@ Kinds:
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -88,6 +88,10 @@ class ObjectSpec:
     time_column: str | None = "updated_at"
     link_field: str = "next_page"
     extra_wire: tuple[tuple[str, T.DataType], ...] = field(default_factory=tuple)
+    # optional storage partition: (column name, stable source column, date pattern),
+    # e.g. ("created_month", "created_at", "yyyy-MM"); the table then carries the
+    # derived column last and a daily merge rewrites only the partitions it touches
+    partition: tuple[str, str, str] | None = None
 
     @property
     def names(self) -> list[str]:
@@ -103,6 +107,18 @@ class ObjectSpec:
         """Flat declared schema, in contract order (the CSV is positional)."""
         return T.StructType([T.StructField(c.name, _TABLE[c.kind], True) for c in self.columns])
 
+    def stored_schema(self) -> T.StructType:
+        """Table schema as stored: the contract, plus the partition column if any."""
+        schema = self.table_schema()
+        if self.partition:
+            schema = schema.add(self.partition[0], T.StringType(), True)
+        return schema
+
+    def with_partition(self, name: str, source: str, pattern: str) -> "ObjectSpec":
+        if source not in self.names:
+            raise ValueError(f"partition source {source!r} is not a {self.name} column")
+        return replace(self, partition=(name, source, pattern))
+
     def text_schema(self) -> T.StructType:
         """All-text schema of the CSV stage, same order."""
         return T.StructType([T.StructField(c.name, T.StringType(), True) for c in self.columns])
