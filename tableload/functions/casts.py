@@ -73,9 +73,9 @@ def from_epoch(seconds: Column) -> Column:
 # ----------------------------------------------------------------- links
 
 
-def strip_prefix(url: Column, domain: str) -> Column:
-    """Remove the host part from a next-page link."""
-    return F.replace(url, F.lit(domain), F.lit(""))
+def strip_prefix(url: Column, domain: str | Column) -> Column:
+    """Remove the host part from a next-page link (a fixed domain or a per-row one)."""
+    return F.replace(url, domain if isinstance(domain, Column) else F.lit(domain), F.lit(""))
 
 
 def link_param(url: Column, name: str) -> Column:

@@ -22,6 +22,7 @@ from .functions.casts import (
     from_epoch,
     length_violations,
     link_param,
+    strip_prefix,
     table_columns_from_wire,
     text_columns,
     to_epoch,
@@ -36,7 +37,7 @@ from .schemas import DEMO_PARAMS, ObjectSpec, parse_columns
 from .session import scratch_dir
 from .streaming.landing import drain, stream_load
 from .sources.landing import land_pages, nest, to_wire_text_times
-from .sources.pages import page_source, page_stop, wire_records
+from .sources.pages import daily_source, page_source, page_stop, wire_records
 from .sources.stage import csv_stage_scan, csv_stage_write, stage_and_load, stage_path, typed_load
 from .operators.merge import (
     assert_unique_keys,
@@ -343,7 +344,7 @@ def q_link_param(spark, sf_dir):
     return pages.select(
         "page_id",
         host.alias("host"),
-        F.replace(F.col("url"), prefix, F.lit("")).alias("path"),
+        strip_prefix(F.col("url"), prefix).alias("path"),
         link_param(F.col("url"), "page").alias("page_param"),
     )
 
@@ -828,3 +829,16 @@ def q_incremental_load_partitioned(spark, sf_dir):
     res = incremental_load(spark, spec, _INCR_DAY, paths, name)
     assert res.branch == "daily"
     return spark.table(name).drop("ds")
+
+
+@register(
+    "daily_source",
+    f"""
+SELECT {_events_nested_sql_cols()} FROM events
+WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'
+""",
+)
+def q_daily_source(spark, sf_dir):
+    # every landed page is read; the day's records are kept by their clock
+    root = _land(events_flat(spark, sf_dir), EVENTS, scratch_dir(spark, "pages"))
+    return daily_source(spark, EVENTS, root, "2024-01-15").select(*table_columns_from_wire(EVENTS))
