@@ -19,6 +19,7 @@ from ..operators.merge import assert_unique_keys, merge_upsert
 from ..schemas import DEMO_COLUMNS, DEMO_LITERAL_ROWS, DEMO_PARAMS, ObjectSpec
 from ..sources.pages import daily_source, full_source
 from ..sources.stage import stage_and_load, stage_path
+from .buckets import publish_bucketed
 from .partitions import partition_value, publish_partitioned, upsert_partitions
 from .tables import load_like, publish, same_shape, script_commit, table_like, version_path
 
@@ -80,9 +81,13 @@ def with_partition_column(df: DataFrame, spec: ObjectSpec) -> DataFrame:
 
 
 def publish_spec(spark: SparkSession, spec: ObjectSpec, df: DataFrame, table: str, root: str) -> None:
-    """Publish all rows: one version folder, partitioned if the spec says so."""
+    """Publish all rows: one version folder, partitioned or bucketed if the spec says so."""
+    if spec.partition and spec.buckets:
+        raise ValueError(f"{spec.name}: choose a partition or buckets, not both")
     if spec.partition:
         publish_partitioned(spark, with_partition_column(df, spec), table, root, spec.partition[0])
+    elif spec.buckets:
+        publish_bucketed(spark, df, table, root, spec.key, spec.buckets)
     else:
         publish(spark, df, table, root)
 
@@ -104,13 +109,13 @@ def apply_day(spark: SparkSession, spec: ObjectSpec, typed_day: DataFrame, paths
         if spec.partition:
             publish_partitioned(spark, day, table, root, spec.partition[0])
         else:
-            publish(spark, day, table, root)
+            publish_spec(spark, spec, day, table, root)
         return
     if spec.partition:
         upsert_partitions(spark, table, day, spec.key, spec.partition[0], root)
         return
     merged = merge_upsert(spark.table(table), day, spec.key, check_unique=False)
-    publish(spark, merged, table, root)
+    publish_spec(spark, spec, merged, table, root)
 
 
 def full_load(spark: SparkSession, spec: ObjectSpec, paths: LoadPaths, table: str,

@@ -31,6 +31,7 @@ from .functions.casts import (
 from .operators.flatten import conform_columns, record_explode, record_flatten, union_pages
 from .operators.window import daily_window, since_start
 from .plans.pipelines import LoadPaths, full_load, incremental_load, load_all_objects, load_with_fallback, script_load
+from .plans.buckets import publish_bucketed
 from .plans.partitions import partition_value, publish_partitioned, upsert_partitions
 from .plans.tables import load_like, publish, table_like, table_recreate
 from .schemas import DEMO_PARAMS, ObjectSpec, parse_columns
@@ -842,3 +843,14 @@ def q_daily_source(spark, sf_dir):
     # every landed page is read; the day's records are kept by their clock
     root = _land(events_flat(spark, sf_dir), EVENTS, scratch_dir(spark, "pages"))
     return daily_source(spark, EVENTS, root, "2024-01-15").select(*table_columns_from_wire(EVENTS))
+
+
+@register("merge_bucketed", _MERGE_CTE + _MERGE_BODY)
+def q_merge_bucketed(spark, sf_dir):
+    # orders stored in 16 hash buckets of the key: a day too big to broadcast
+    # is shuffled into the target's buckets, the target itself is not
+    root, name = scratch_dir(spark, "tables"), _table_name("orders")
+    publish_bucketed(spark, _orders_target(spark, sf_dir), name, root, "o_orderkey", 16)
+    merged = merge_upsert(spark.table(name), _orders_day(spark, sf_dir), "o_orderkey")
+    publish_bucketed(spark, merged, name, root, "o_orderkey", 16)
+    return spark.table(name)

@@ -92,6 +92,9 @@ class ObjectSpec:
     # e.g. ("created_month", "created_at", "yyyy-MM"); the table then carries the
     # derived column last and a daily merge rewrites only the partitions it touches
     partition: tuple[str, str, str] | None = None
+    # optional storage bucketing by the key: a big day's merge then shuffles
+    # only the day, never the target
+    buckets: int | None = None
 
     @property
     def names(self) -> list[str]:
@@ -119,6 +122,11 @@ class ObjectSpec:
             raise ValueError(f"partition source {source!r} is not a {self.name} column")
         return replace(self, partition=(name, source, pattern))
 
+    def with_buckets(self, n: int) -> "ObjectSpec":
+        if n < 1:
+            raise ValueError("bucket count must be positive")
+        return replace(self, buckets=n)
+
     def text_schema(self) -> T.StructType:
         """All-text schema of the CSV stage, same order."""
         return T.StructType([T.StructField(c.name, T.StringType(), True) for c in self.columns])
