@@ -161,7 +161,7 @@ def demo_statements(ds: str, params: dict | None = None, extra: list[tuple[str,
     params = params or DEMO_PARAMS
     cols = ", ".join(DEMO_COLUMNS)
     stmts = [
-        (f"SELECT * FROM VALUES ('{a}', '{b}', '{c}') AS t({cols})", {})
+        (f"SELECT * FROM VALUES (:a, :b, :c) AS t({cols})", {"a": a, "b": b, "c": c})
         for a, b, c in DEMO_LITERAL_ROWS
     ]
     stmts.append(

@@ -22,8 +22,15 @@ from ..schemas import ObjectSpec, _WIRE
 
 
 def envelope_guard(pages: DataFrame, array_field: str) -> DataFrame:
-    """Fail the load on a page without its record array (a bad response)."""
-    return pages.withColumn(
+    """Fail the load on a page without its record array (a bad response) or
+    without its sequence number (it could not be ordered against the stop page,
+    and would otherwise be dropped silently)."""
+    # guard the columns themselves: a filter on ``page`` (page_stop) then still
+    # sees the check, even when Catalyst moves the filter below this projection
+    page = F.when(F.col("page").isNull(), F.raise_error(F.lit("page without a sequence number"))).otherwise(
+        F.col("page")
+    )
+    return pages.withColumn("page", page).withColumn(
         array_field,
         F.when(
             c(array_field).isNull(),

@@ -148,3 +148,12 @@ def test_explode_and_union(spark):
     b = spark.createDataFrame([(2, 3.0)], "id bigint, b double")
     u = union_pages([a, b])
     assert sorted(map(tuple, u.collect()), key=repr) == sorted([(1, "x", None), (2, None, 3.0)], key=repr)
+
+
+def test_page_without_sequence_number_fails(spark, tmp_root):
+    path = write_pages(tmp_root, "users", [
+        {"users": [user(1)], "next_page": "n", "end_of_stream": True, "page": 1},
+        {"users": [user(2)], "next_page": None, "end_of_stream": False},
+    ])
+    with pytest.raises(LOAD_ERRORS, match="page without a sequence number"):
+        wire_records(page_stop(page_source(spark, USERS, path)), USERS).collect()
