@@ -71,3 +71,13 @@ def test_length_violations(spark):
     df = spark.createDataFrame([("abc",), ("abcdef",), (None,)], "s string")
     r = length_violations(df, {"s": 4}).collect()[0]
     assert (r["column_name"], r["max_len"], r["n_over"], r["longest"]) == ("s", 4, 1, 6)
+
+
+def test_literal_and_bound_rows(spark):
+    from tableload.schemas import DEMO_COLUMNS, DEMO_LITERAL_ROWS
+    from tableload.sources.literal import bound_rows, literal_source
+
+    lit_rows = literal_source(spark, DEMO_LITERAL_ROWS, DEMO_COLUMNS)
+    assert lit_rows.columns == list(DEMO_COLUMNS) and lit_rows.count() == 3
+    got = bound_rows(spark, "SELECT :v AS col_1, :ds AS col_3", {"v": "it's; DROP TABLE x", "ds": "2024-01-16"})
+    assert tuple(got.collect()[0]) == ("it's; DROP TABLE x", "2024-01-16")  # a quote is data, not SQL
