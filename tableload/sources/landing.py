@@ -2,10 +2,12 @@
 
 Fetching pages over HTTP is outside this package; pages arrive as files. This
 writer produces the same envelope from a DataFrame so the load path can be
-driven from tables. Each page groups the records whose ``page_of`` value is
-equal; the caller picks an expression with a bounded page size by
-construction (``floor(id / 1000)`` for unique ids), so no page grows with the
-data.
+driven from tables. A page holds the records whose ``page_of`` value is
+equal (``floor(id / 1000)`` for pages of 1,000 ids). A page may arrive as
+several documents with the same page number, link and stop flag: records are
+cut into runs of at most ``max_records`` consecutive rows of one input
+partition, so no document grows with the data, even when one key holds a
+third of all rows. The cut needs no count and no extra pass.
 """
 
 from __future__ import annotations
@@ -61,15 +63,27 @@ def land_pages(
     link_base: str = "https://example.invalid/api/v2/incremental?start_time=",
     stop_page: int | None = None,
     files: int | None = None,
+    max_records: int = 1000,
 ) -> str:
-    """Group records into pages and write one JSON document per page (JSON lines).
+    """Group records into pages and write them as JSON documents (JSON lines).
 
     ``end_of_stream`` is set on the last page, and also on ``stop_page`` when
     given (pages after it then model a later, stale fetch). ``files`` caps
     the number of files written (one file per fetch for the stream loader).
+    Each document holds at most ``max_records`` records: the row id of
+    ``monotonically_increasing_id`` is the input partition in its high bits
+    and the row's position in it below, so ``id div max_records`` names
+    runs of at most ``max_records`` rows that never span two partitions.
     """
+    if max_records < 1:
+        raise ValueError("max_records must be positive")
     rec = F.struct(*[c(n) for n in records.columns])
-    pages = records.groupBy(page_of.alias("page")).agg(F.collect_list(rec).alias(array_field))
+    run = F.expr(f"monotonically_increasing_id() div {int(max_records)}")
+    pages = (
+        records.select(page_of.alias("page"), run.alias("__tl_run"), rec.alias("__tl_rec"))
+        .groupBy("page", "__tl_run")
+        .agg(F.collect_list("__tl_rec").alias(array_field))
+    )
     last = records.select(F.max(page_of)).scalar()
     eos = F.col("page") == last
     if stop_page is not None:

@@ -45,9 +45,13 @@ def test_pages_bounded_and_flagged(spark, tmp_root):
     flat = flat_rows(spark, 2500)
     land_pages(nest(to_wire_text_times(flat)), "items", tmp_root, F.floor(F.col("id") / 1000), stop_page=1)
     pages = page_source(spark, SPEC, tmp_root)
-    info = sorted((r["page"], r["n"], r["end_of_stream"]) for r in
-                  pages.select("page", F.size("items").alias("n"), "end_of_stream").collect())
-    assert info == [(0, 1000, False), (1, 1000, True), (2, 500, True)]
+    docs = pages.select("page", F.size("items").alias("n"), "end_of_stream", "next_page")
+    assert docs.agg(F.max("n")).first()[0] <= 1000
+    # a page may arrive as several documents; all carry the page's flag and link
+    info = sorted(tuple(r) for r in docs.groupBy("page").agg(
+        F.sum("n"), F.collect_set("end_of_stream"), F.collect_set("next_page")).collect())
+    assert [(p, n, list(e)) for p, n, e, _ in info] == [(0, 1000, [False]), (1, 1000, [True]), (2, 500, [True])]
+    assert [len(links) for *_, links in info] == [1, 0, 0] and info[0][3][0].endswith("start_time=1")
     recs = wire_records(page_stop(pages), SPEC)
     assert recs.count() == 2000
     r = recs.where("id = 7").collect()[0]
@@ -68,3 +72,19 @@ def test_load_paths_layout():
     assert p.landing_full("users") == "s3a://b/landing/users/full"
     assert p.landing_day("users", "2024-01-16") == "s3a://b/landing/users/ds=2024-01-16"
     assert p.table_root("users") == "s3a://b/tables/users"
+
+
+def test_hot_key_page_is_split_into_bounded_documents(spark, tmp_root):
+    # a third of the records share one id, so floor(id / 1000) puts them on one
+    # page; it lands as several documents of at most 1,000 records each
+    base = flat_rows(spark, 3000)
+    hot = base.where("id < 1500").withColumn("id", F.lit(42).cast("bigint"))
+    flat = base.unionByName(hot).repartition(3)
+    land_pages(nest(to_wire_text_times(flat)), "items", tmp_root, F.floor(F.col("id") / 1000))
+    pages = page_source(spark, SPEC, tmp_root)
+    sizes = pages.select("page", F.size("items").alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] <= 1000
+    per_page = {r["page"]: r["n"] for r in sizes.groupBy("page").agg(F.sum("n").alias("n")).collect()}
+    assert per_page == {0: 2500, 1: 1000, 2: 1000}
+    recs = wire_records(page_stop(pages), SPEC)
+    assert recs.count() == 4500 and recs.where("id = 42").count() == 1501
