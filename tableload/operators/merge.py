@@ -52,6 +52,18 @@ def assert_unique_keys(day: DataFrame, key: str) -> None:
         raise ValueError(f"duplicate {key} in the day's rows: {dups}")
 
 
+def merge_match(target: DataFrame, day: DataFrame, key: str) -> DataFrame:
+    """The pairs the merge updates: each target row with the day row of its key.
+
+    Plain ``=``, so null keys never pair. Columns: struct ``target`` and struct
+    ``day``, each with the rows' own column names. An inner join; Spark
+    broadcasts a small day by its own size check, else sort-merges.
+    """
+    t = target.select(F.struct(*[c(n) for n in target.columns]).alias("target"))
+    d = day.select(F.struct(*[c(n) for n in day.columns]).alias("day"))
+    return t.join(d, F.col("target").getField(key) == F.col("day").getField(key), "inner")
+
+
 def merge_update_matched(target: DataFrame, day: DataFrame, key: str) -> DataFrame:
     """Every target row; matched ones carry the day row's values."""
     cols = target.columns

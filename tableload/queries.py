@@ -33,16 +33,18 @@ from .operators.window import daily_window, since_start
 from .plans.pipelines import LoadPaths, full_load, incremental_load, load_all_objects, load_with_fallback, script_load
 from .plans.buckets import publish_bucketed
 from .plans.partitions import partition_value, publish_partitioned, upsert_partitions
-from .plans.tables import load_like, publish, table_like, table_recreate
-from .schemas import DEMO_PARAMS, ObjectSpec, parse_columns
+from .plans.tables import insert_rows, load_like, publish, table_like, table_recreate
+from .schemas import DEMO_COLUMNS, DEMO_PARAMS, ObjectSpec, parse_columns
 from .session import scratch_dir
 from .streaming.landing import drain, stream_load
 from .sources.landing import land_pages, nest, to_wire_text_times
+from .sources.literal import bound_rows
 from .sources.pages import daily_source, page_source, page_stop, wire_records
 from .sources.stage import csv_stage_scan, csv_stage_write, stage_and_load, stage_path, typed_load
 from .operators.merge import (
     assert_unique_keys,
     merge_insert_unmatched,
+    merge_match,
     merge_update_matched,
     merge_upsert,
 )
@@ -854,3 +856,177 @@ def q_merge_bucketed(spark, sf_dir):
     merged = merge_upsert(spark.table(name), _orders_day(spark, sf_dir), "o_orderkey")
     publish_bucketed(spark, merged, name, root, "o_orderkey", 16)
     return spark.table(name)
+
+
+# --------------------------------------------------------------------------
+# One query per remaining inventory item that the composed queries above
+# only use in passing.
+# --------------------------------------------------------------------------
+
+_NULL_KEY_CTE = """
+WITH t AS (SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS o_orderkey,
+                  o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+           FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-01 00:00:00'),
+d AS (SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderkey END AS o_orderkey,
+             o_custkey, CAST(NULL AS VARCHAR) AS o_orderstatus,
+             o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
+      FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-15 00:00:00')
+"""
+
+
+@register(
+    "merge_match",
+    _NULL_KEY_CTE
+    + """
+SELECT t.o_orderkey AS o_orderkey, t.o_orderstatus AS old_status, d.o_orderstatus AS new_status,
+       t.o_totalprice AS old_totalprice, d.o_totalprice AS new_totalprice
+FROM t JOIN d ON t.o_orderkey = d.o_orderkey
+""",
+)
+def q_merge_match(spark, sf_dir):
+    # the pairs the merge updates, with null keys on both sides (never paired)
+    t = _orders_target(spark, sf_dir).withColumn(
+        "o_orderkey", F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_orderkey"))
+    )
+    d = _orders_day(spark, sf_dir).withColumn(
+        "o_orderkey", F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).otherwise(F.col("o_orderkey"))
+    )
+    return merge_match(t, d, "o_orderkey").select(
+        F.col("target.o_orderkey").alias("o_orderkey"),
+        F.col("target.o_orderstatus").alias("old_status"),
+        F.col("day.o_orderstatus").alias("new_status"),
+        F.col("target.o_totalprice").alias("old_totalprice"),
+        F.col("day.o_totalprice").alias("new_totalprice"),
+    )
+
+
+@register(
+    "int_text",
+    f"""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS o_custkey,
+       o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders
+""",
+)
+def q_int_text(spark, sf_dir):
+    # a nullable integer column as a pandas extract stages it: floats, so
+    # 123.0, and an empty field for null; the key has no nulls and stays 123
+    o = table(spark, sf_dir, "orders")
+    cust = F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_custkey"))
+    text = o.select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.concat(cust.cast("string"), F.lit(".0")).alias("o_custkey"),
+        "o_orderstatus",
+        F.col("o_totalprice").cast("string").alias("o_totalprice"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"),
+        "o_orderpriority",
+    )
+    path = csv_stage_write(text, scratch_dir(spark, "stage"))
+    return typed_load(csv_stage_scan(spark, path, ORDERS.text_schema()), ORDERS)
+
+
+_BIND_NOTE = "it's bound; DROP TABLE orders --"
+
+
+@register(
+    "bind_params",
+    """
+SELECT o_orderkey, o_totalprice, 'it''s bound; DROP TABLE orders --' AS note, '2000-01-01' AS ds
+FROM orders
+WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '2000-01-01 00:00:00'
+""",
+)
+def q_bind_params(spark, sf_dir):
+    # values reach the statement as bound parameters: the quote and the
+    # statement text inside the note stay data
+    return bound_rows(
+        spark,
+        "SELECT o_orderkey, o_totalprice, :note AS note, :ds AS ds FROM {orders} "
+        "WHERE o_orderpriority = :priority AND o_orderdate >= CAST(:ds AS TIMESTAMP_NTZ)",
+        {"note": _BIND_NOTE, "priority": "1-URGENT", "ds": "2000-01-01"},
+        orders=table(spark, sf_dir, "orders"),
+    )
+
+
+@register(
+    "insert_rows",
+    """
+SELECT c_mktsegment AS col_1, CAST(c_custkey AS VARCHAR) AS col_2, c_name AS col_3 FROM customer
+UNION ALL
+SELECT CAST(s_nationkey AS VARCHAR) AS col_1, CAST(s_suppkey AS VARCHAR) AS col_2, s_name AS col_3 FROM supplier
+""",
+)
+def q_insert_rows(spark, sf_dir):
+    # an empty three-column table, then two inserts whose column lists are in
+    # another order than the table's; the rows are published with one write
+    root, name = scratch_dir(spark, "tables"), _table_name("demo")
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in DEMO_COLUMNS])
+    table_recreate(spark, name, schema, root)
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("col_3"), F.col("c_mktsegment").alias("col_1"),
+        F.col("c_custkey").cast("string").alias("col_2"),
+    )
+    supp = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("col_2"), F.col("s_name").alias("col_3"),
+        F.col("s_nationkey").cast("string").alias("col_1"),
+    )
+    publish(spark, insert_rows([spark.table(name), cust, supp], DEMO_COLUMNS), name, root)
+    return spark.table(name)
+
+
+@register("table_recreate", f"SELECT {CUSTOMER_COLS} FROM customer")
+def q_table_recreate(spark, sf_dir):
+    # the table was left in an older shape (two columns); it is dropped and
+    # created with the declared schema, then the extract is inserted
+    paths, name = _paths(spark), _table_name("customer")
+    root = paths.table_root(name)
+    cust = table(spark, sf_dir, "customer")
+    publish(spark, cust.select("c_custkey", "c_name"), name, root)
+    table_recreate(spark, name, CUSTOMER.table_schema(), root)
+    rows = conform_columns(cust, CUSTOMER.table_schema())
+    publish(spark, insert_rows([spark.table(name), rows], CUSTOMER.names), name, root)
+    return spark.table(name)
+
+
+@register(
+    "quoted_columns",
+    """
+SELECT event_id, event_type AS "actor.type", user_id AS "actor.user.id", value
+FROM events WHERE event_type = 'click' AND user_id < 50
+""",
+)
+def q_quoted_columns(spark, sf_dir):
+    # a stored table with dotted column names, filtered and projected by them;
+    # both filters reach the Parquet scan
+    root, name = scratch_dir(spark, "tables"), _table_name("events")
+    publish(spark, events_flat(spark, sf_dir), name, root)
+    ev = spark.table(name)
+    return ev.where((c("actor.type") == "click") & (c("actor.user.id") < 50)).select(
+        "event_id", c("actor.type"), c("actor.user.id"), "value"
+    )
+
+
+_LINK_HOST = "https://example.invalid"
+
+
+@register(
+    "strip_prefix",
+    f"""
+SELECT DISTINCT event_id // {PAGE_SIZE} AS page,
+       CASE WHEN event_id // {PAGE_SIZE} = (SELECT max(event_id // {PAGE_SIZE}) FROM events) THEN NULL
+            ELSE '/api/v2/incremental?start_time=' || CAST(event_id // {PAGE_SIZE} + 1 AS VARCHAR) END AS next_path,
+       CASE WHEN event_id // {PAGE_SIZE} = (SELECT max(event_id // {PAGE_SIZE}) FROM events) THEN NULL
+            ELSE event_id // {PAGE_SIZE} + 1 END AS start_time
+FROM events
+""",
+)
+def q_strip_prefix(spark, sf_dir):
+    # next links of landed pages, host removed (the request path), and the
+    # start time the link carries; the last page has no link
+    root = _land(events_flat(spark, sf_dir), EVENTS, scratch_dir(spark, "pages"))
+    pages = page_source(spark, EVENTS, root)
+    return pages.select(
+        "page",
+        strip_prefix(F.col("next_page"), _LINK_HOST).alias("next_path"),
+        link_param(F.col("next_page"), "start_time").cast("bigint").alias("start_time"),
+    ).distinct()

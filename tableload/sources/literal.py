@@ -14,6 +14,9 @@ def literal_source(spark: SparkSession, rows, columns: list[str] | tuple[str, ..
     return spark.createDataFrame([tuple(r) for r in rows], schema)
 
 
-def bound_rows(spark: SparkSession, sql: str, args: dict) -> DataFrame:
-    """Run SQL with named parameter markers (``:name``); a quote in a value is data."""
-    return spark.sql(sql, args=args)
+def bound_rows(spark: SparkSession, sql: str, args: dict, **sources: DataFrame) -> DataFrame:
+    """Run SQL with named parameter markers (``:name``); a quote in a value is data.
+
+    ``{name}`` in the text refers to a frame passed as ``name=frame``.
+    """
+    return spark.sql(sql, args=args or None, **sources)

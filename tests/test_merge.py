@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from tableload.operators.merge import (
     duplicate_keys,
     merge_insert_unmatched,
+    merge_match,
     merge_update_matched,
     merge_upsert,
 )
@@ -114,3 +115,10 @@ def test_properties(spark):
     assert rows(merge_upsert(t, empty, "id")) == rows(t)
     # empty target becomes the day
     assert rows(merge_upsert(empty, d, "id")) == rows(d)
+
+
+def test_match_pairs_every_duplicate_and_never_nulls(spark):
+    t = spark.createDataFrame([(1, "x", 1.0), (1, "x2", 1.5), (None, "n", 0.0), (2, "y", 2.0)], SCHEMA)
+    d = spark.createDataFrame([(1, "new", 9.0), (None, "m", 8.0), (3, "z", 3.0)], SCHEMA)
+    got = sorted((r["target"]["a"], r["day"]["a"]) for r in merge_match(t, d, "id").collect())
+    assert got == [("x", "new"), ("x2", "new")]

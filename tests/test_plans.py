@@ -59,6 +59,18 @@ def test_page_stop_subquery_reads_two_fields(spark):
     assert "PushedFilters: [IsNotNull(end_of_stream), EqualTo(end_of_stream,true)]" in plan
 
 
+def test_dotted_name_filters_reach_the_scan(spark):
+    plan = plan_of(q("quoted_columns")(spark, SF))
+    assert "EqualTo(`actor.type`,click)" in plan and "LessThan(`actor.user.id`,50)" in plan
+    read = re.search(r"ReadSchema: (struct<[^\n]*>)", plan).group(1)
+    assert "props" not in read and "ts" not in read
+
+
+def test_merge_match_broadcasts_day(spark):
+    plan = plan_of(q("merge_match")(spark, SF))
+    assert "BroadcastHashJoin Inner BuildRight" in plan and "Exchange" not in plan.replace("BroadcastExchange", "")
+
+
 @pytest.mark.parametrize("name", sorted(__import__("tableload.queries", fromlist=["QUERIES"]).QUERIES))
 def test_no_python_udf_in_any_query(spark, name):
     plan = plan_of(q(name)(spark, "/root/testdata/sf0.001"), "extended")
