@@ -1030,3 +1030,22 @@ def q_strip_prefix(spark, sf_dir):
         strip_prefix(F.col("next_page"), _LINK_HOST).alias("next_path"),
         link_param(F.col("next_page"), "start_time").cast("bigint").alias("start_time"),
     ).distinct()
+
+
+@register(
+    "envelope_guard",
+    f"""
+SELECT event_id // {PAGE_SIZE} AS page, count(*) AS n_records,
+       event_id // {PAGE_SIZE} = (SELECT max(event_id // {PAGE_SIZE}) FROM events) AS end_of_stream
+FROM events GROUP BY event_id // {PAGE_SIZE}
+""",
+)
+def q_envelope_guard(spark, sf_dir):
+    # every landed document passes the guard (record array present, page
+    # numbered); per page, the records its documents carry and its stop flag
+    root = _land(events_flat(spark, sf_dir), EVENTS, scratch_dir(spark, "pages"))
+    pages = page_source(spark, EVENTS, root)
+    return pages.groupBy("page").agg(
+        F.sum(F.size(EVENTS.name)).cast("bigint").alias("n_records"),
+        F.max("end_of_stream").alias("end_of_stream"),
+    )
