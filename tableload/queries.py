@@ -37,7 +37,7 @@ from .plans.tables import insert_rows, load_like, publish, table_like, table_rec
 from .schemas import DEMO_COLUMNS, DEMO_PARAMS, ObjectSpec, parse_columns
 from .session import scratch_dir
 from .streaming.landing import drain, stream_load
-from .sources.landing import land_pages, nest, to_wire_text_times
+from .sources.landing import land_pages, nest, row_run, to_wire_text_times
 from .sources.literal import bound_rows
 from .sources.pages import daily_source, page_source, page_stop, wire_records
 from .sources.stage import csv_stage_scan, csv_stage_write, stage_and_load, stage_path, typed_load
@@ -260,9 +260,10 @@ def q_record_flatten(spark, sf_dir):
 @register("record_explode", "SELECT conv_id, turn, role, text FROM conversations")
 def q_record_explode(spark, sf_dir):
     # turns nested into pages of at most 64 turns per conversation (bounded
-    # groups even for a very long conversation), then exploded again
+    # groups even for a very long conversation, or one whose turn numbers
+    # repeat: a page is also cut into runs of 64 rows), then exploded again
     conv = table(spark, sf_dir, "conversations")
-    pages = conv.groupBy("conv_id", F.floor(F.col("turn") / 64).alias("part")).agg(
+    pages = conv.groupBy("conv_id", F.floor(F.col("turn") / 64).alias("part"), row_run(64).alias("run")).agg(
         F.collect_list(F.struct("turn", "role", "text")).alias("turns")
     )
     return record_explode(pages, "turns", keep=["conv_id"])

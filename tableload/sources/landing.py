@@ -54,6 +54,19 @@ def to_wire_text_times(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def row_run(max_rows: int) -> Column:
+    """Label runs of at most ``max_rows`` consecutive rows of one input partition.
+
+    ``monotonically_increasing_id`` holds the partition in its high bits and
+    the row's position in it below, so ``id div max_rows`` never joins rows
+    of two partitions and never holds more than ``max_rows`` rows. Adding it
+    to a grouping key bounds every group without a count or an extra pass.
+    """
+    if max_rows < 1:
+        raise ValueError("max_rows must be positive")
+    return F.expr(f"monotonically_increasing_id() div {int(max_rows)}")
+
+
 def land_pages(
     records: DataFrame,
     array_field: str,
@@ -70,15 +83,10 @@ def land_pages(
     ``end_of_stream`` is set on the last page, and also on ``stop_page`` when
     given (pages after it then model a later, stale fetch). ``files`` caps
     the number of files written (one file per fetch for the stream loader).
-    Each document holds at most ``max_records`` records: the row id of
-    ``monotonically_increasing_id`` is the input partition in its high bits
-    and the row's position in it below, so ``id div max_records`` names
-    runs of at most ``max_records`` rows that never span two partitions.
+    Each document holds at most ``max_records`` records (``row_run``).
     """
-    if max_records < 1:
-        raise ValueError("max_records must be positive")
     rec = F.struct(*[c(n) for n in records.columns])
-    run = F.expr(f"monotonically_increasing_id() div {int(max_records)}")
+    run = row_run(max_records)
     pages = (
         records.select(page_of.alias("page"), run.alias("__tl_run"), rec.alias("__tl_rec"))
         .groupBy("page", "__tl_run")
