@@ -18,18 +18,41 @@ Plan (no shuffle of the target when the day is small):
 2. ``hit``  = target keys LEFT SEMI day keys, distinct. Reads only the key
    column; the partial aggregate collapses duplicates before any exchange,
    so what crosses the network is at most one row per day key per task.
+   When the day's row count shows its keys will not broadcast, the target
+   keys are shuffled to meet them; a map-side ``distinct`` then runs first,
+   so a key holding a third of the target crosses the network once per task,
+   not once per row (AQE cannot split that join: the ``distinct`` above it
+   needs its partitioning).
 3. ``ins``  = day LEFT ANTI hit.
 4. ``upd UNION ALL ins``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import c
 
 _MATCH = "__tl_matched"
+KEY_ROW_BYTES = 16  # one key in a broadcast relation: the value plus row overhead
+_UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def byte_size(text: str) -> int:
+    """A Spark size setting (``10485760``, ``10485760b``, ``10m``, ``-1``) in bytes."""
+    m = re.fullmatch(r"\s*(-?\d+)\s*([kmgtp]?)(?:i?b)?\s*", text.lower())
+    if not m:
+        raise ValueError(f"not a size: {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2)]
+
+
+def day_keys_broadcast(spark: SparkSession, day_rows: int) -> bool:
+    """Whether ``day_rows`` keys fit under the session's broadcast limit."""
+    limit = byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+    return limit > 0 and day_rows * KEY_ROW_BYTES <= limit
 
 
 def _day_columns(day: DataFrame, cols: list[str]) -> DataFrame:
@@ -75,27 +98,41 @@ def merge_update_matched(target: DataFrame, day: DataFrame, key: str) -> DataFra
     )
 
 
-def matched_keys(target: DataFrame, day: DataFrame, key: str) -> DataFrame:
-    """Distinct day keys that exist in the target (one column ``__tl_k``)."""
+def matched_keys(target: DataFrame, day: DataFrame, key: str, pre_aggregate: bool = False) -> DataFrame:
+    """Distinct day keys that exist in the target (one column ``__tl_k``).
+
+    ``pre_aggregate``: distinct target keys before they meet the day's (for a
+    day whose keys are shuffled, not broadcast).
+    """
     t_keys = target.select(c(key).alias("__tl_k"))
+    if pre_aggregate:
+        t_keys = t_keys.where(F.col("__tl_k").isNotNull()).distinct()
     d_keys = day.select(c(key).alias("__tl_k"))
     return t_keys.join(d_keys, "__tl_k", "left_semi").distinct()
 
 
-def merge_insert_unmatched(target: DataFrame, day: DataFrame, key: str) -> DataFrame:
+def merge_insert_unmatched(target: DataFrame, day: DataFrame, key: str, pre_aggregate: bool = False) -> DataFrame:
     """Day rows whose key has no match in the target (null keys included)."""
     cols = target.columns
-    hit = matched_keys(target, day, key)
+    hit = matched_keys(target, day, key, pre_aggregate)
     d = day.select(*[c(n) for n in cols])
     return d.join(hit, c(key) == F.col("__tl_k"), "left_anti")
 
 
-def merge_upsert(target: DataFrame, day: DataFrame, key: str, check_unique: bool = True) -> DataFrame:
-    """Target after ``MERGE INTO target USING day ON target.key = day.key``."""
+def merge_upsert(target: DataFrame, day: DataFrame, key: str, check_unique: bool = True,
+                 day_rows: int | None = None) -> DataFrame:
+    """Target after ``MERGE INTO target USING day ON target.key = day.key``.
+
+    ``day_rows`` (the day's row count, when known, e.g. from the written
+    day's metadata) picks the key-side plan: under the broadcast limit the
+    day's keys are broadcast; above it the target keys are pre-aggregated
+    before their shuffle.
+    """
     if key not in target.columns:
         raise ValueError(f"target has no key column {key!r}")
     if check_unique:
         assert_unique_keys(day, key)
+    big = day_rows is not None and not day_keys_broadcast(target.sparkSession, day_rows)
     upd = merge_update_matched(target, day, key)
-    ins = merge_insert_unmatched(target, day, key)
+    ins = merge_insert_unmatched(target, day, key, pre_aggregate=big)
     return upd.unionByName(ins)

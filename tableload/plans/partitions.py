@@ -102,7 +102,7 @@ def touched_partitions(target: DataFrame, day: DataFrame, key: str, part_col: st
 
 
 def upsert_partitions(spark: SparkSession, table: str, day: DataFrame, key: str, part_col: str,
-                      root: str) -> list[str]:
+                      root: str, day_rows: int | None = None) -> list[str]:
     """Merge ``day`` (which carries ``part_col``) into partitioned ``table``; rewrite touched partitions only."""
     target = spark.table(table)
     day = day.select(*[c(n) for n in target.columns])
@@ -111,7 +111,7 @@ def upsert_partitions(spark: SparkSession, table: str, day: DataFrame, key: str,
         return []
     _check_values(touched)
     old = target.where(c(part_col).isin(touched))
-    merged = _partition_order(merge_upsert(old, day, key, check_unique=False), part_col)
+    merged = _partition_order(merge_upsert(old, day, key, check_unique=False, day_rows=day_rows), part_col)
     path = version_path(root)
     merged.write.mode("errorifexists").partitionBy(part_col).parquet(path)
     written = _written(spark, path, part_col, as_nullable(merged.schema))

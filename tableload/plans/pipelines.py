@@ -104,6 +104,7 @@ def apply_day(spark: SparkSession, spec: ObjectSpec, typed_day: DataFrame, paths
     with_partition_column(typed_day, spec).write.mode("errorifexists").parquet(day_path)
     day = spark.read.parquet(day_path)
     assert_unique_keys(day, spec.key)
+    day_rows = day.count()  # from the Parquet footers; sizes the merge's key side
     root = paths.table_root(table)
     if create_if_missing and not spark.catalog.tableExists(table):
         if spec.partition:
@@ -112,9 +113,9 @@ def apply_day(spark: SparkSession, spec: ObjectSpec, typed_day: DataFrame, paths
             publish_spec(spark, spec, day, table, root)
         return
     if spec.partition:
-        upsert_partitions(spark, table, day, spec.key, spec.partition[0], root)
+        upsert_partitions(spark, table, day, spec.key, spec.partition[0], root, day_rows=day_rows)
         return
-    merged = merge_upsert(spark.table(table), day, spec.key, check_unique=False)
+    merged = merge_upsert(spark.table(table), day, spec.key, check_unique=False, day_rows=day_rows)
     publish_spec(spark, spec, merged, table, root)
 
 

@@ -1,5 +1,7 @@
 """merge_upsert: SQL MERGE semantics, checked against a plain Python model."""
 
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -122,3 +124,39 @@ def test_match_pairs_every_duplicate_and_never_nulls(spark):
     d = spark.createDataFrame([(1, "new", 9.0), (None, "m", 8.0), (3, "z", 3.0)], SCHEMA)
     got = sorted((r["target"]["a"], r["day"]["a"]) for r in merge_match(t, d, "id").collect())
     assert got == [("x", "new"), ("x2", "new")]
+
+
+def test_big_day_with_hot_target_key(spark):
+    # one key holds a third of the target; the day is too big to broadcast,
+    # so the target keys are pre-aggregated before their shuffle
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    from tableload.operators.merge import byte_size, day_keys_broadcast
+
+    assert byte_size("10485760b") == 10485760 and byte_size("10m") == 10 << 20 and byte_size("-1") == -1
+    t = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("id"),
+        F.col("id").cast("string").alias("a"), (F.col("id") * 1.0).alias("b"),
+    )
+    d = spark.range(0, 3500, 7).select("id", F.lit("new").alias("a"), F.lit(-1.0).alias("b"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not day_keys_broadcast(spark, 500)
+        m = merge_upsert(t, d, "id", day_rows=500)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            m.explain()
+        plan = buf.getvalue()
+        assert rows(m) == model_merge([tuple(r) for r in t.collect()], [tuple(r) for r in d.collect()])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    # target keys: partial aggregate -> exchange -> final aggregate -> semi join
+    semi = plan[plan.index("LeftSemi"):]
+    agg = r"HashAggregate\(keys=\[__tl_k#\d+L\], functions=\[\]\)"
+    assert re.search(agg + r"\s*\n[\s:]*\+- Exchange hashpartitioning[^\n]*\n[\s:]*\+- " + agg, semi)
+    assert day_keys_broadcast(spark, 500)
