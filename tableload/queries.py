@@ -993,7 +993,7 @@ def q_table_recreate(spark, sf_dir):
     "quoted_columns",
     """
 SELECT event_id, event_type AS "actor.type", user_id AS "actor.user.id", value
-FROM events WHERE event_type = 'click' AND user_id < 50
+FROM events WHERE event_type IN ('click', 'purchase') AND user_id IS NOT NULL
 """,
 )
 def q_quoted_columns(spark, sf_dir):
@@ -1002,7 +1002,7 @@ def q_quoted_columns(spark, sf_dir):
     root, name = scratch_dir(spark, "tables"), _table_name("events")
     publish(spark, events_flat(spark, sf_dir), name, root)
     ev = spark.table(name)
-    return ev.where((c("actor.type") == "click") & (c("actor.user.id") < 50)).select(
+    return ev.where(c("actor.type").isin("click", "purchase") & c("actor.user.id").isNotNull()).select(
         "event_id", c("actor.type"), c("actor.user.id"), "value"
     )
 
