@@ -6,7 +6,8 @@ header line, records may span lines (text with newlines). Reading uses
 value fails instead of becoming null) and ``enforceSchema=False`` (the header
 must match the column contract, so swapped columns fail instead of loading
 into the wrong place). ``multiLine`` makes each file one task, so the writer
-caps rows per file to keep files, and so tasks, bounded.
+caps rows per file from the contract's row width (``stage_records_per_file``)
+to keep files, and so tasks, bounded.
 
 An empty string and a null both read back as null (the staged CSV cannot
 tell them apart).
@@ -22,6 +23,22 @@ from ..schemas import ObjectSpec
 
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
 MAX_RECORDS_PER_FILE = 500_000
+MIN_RECORDS_PER_FILE = 1_000
+STAGE_FILE_BYTES = 512 << 20
+# bytes one value of a kind takes in the CSV text, at most (unsized text: a guess)
+_TEXT_WIDTH = {"bigint": 21, "int": 12, "double": 25, "boolean": 6, "ntz": 28, "epoch": 21,
+               "array<bigint>": 512, "array<string>": 512, "string": 4096, "json": 4096}
+
+
+def stage_records_per_file(spec: ObjectSpec, target_bytes: int = STAGE_FILE_BYTES) -> int:
+    """Rows per stage file so a file stays near ``target_bytes`` or below.
+
+    A ``multiLine`` CSV file is read by one task, so file size is task size.
+    The row width is an upper bound from the declared lengths (a sized text
+    column counts its limit), so real files come out smaller, never larger.
+    """
+    width = sum((col.max_len or _TEXT_WIDTH[col.kind]) + 3 for col in spec.columns)
+    return max(MIN_RECORDS_PER_FILE, min(MAX_RECORDS_PER_FILE, target_bytes // max(1, width)))
 
 
 def stage_path(root: str, obj: str, ds: str | None = None) -> str:
@@ -62,5 +79,5 @@ def typed_load(text: DataFrame, spec: ObjectSpec) -> DataFrame:
 
 def stage_and_load(spark: SparkSession, conformed: DataFrame, spec: ObjectSpec, path: str) -> DataFrame:
     """Conformed frame -> CSV stage at ``path`` -> typed frame read back."""
-    csv_stage_write(to_stage_text(conformed, spec), path)
+    csv_stage_write(to_stage_text(conformed, spec), path, max_records_per_file=stage_records_per_file(spec))
     return typed_load(csv_stage_scan(spark, path, spec.text_schema()), spec)
