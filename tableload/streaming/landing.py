@@ -1,52 +1,122 @@
 """Merge landed page fetches into a table as they arrive (Structured Streaming).
 
 The batch loader merges one calendar day on request. Here the same steps run
-per micro-batch of a file stream over the landing folder: each newly landed
-fetch (one pagination run written as one JSON-lines file, e.g. under
-``fetch=000123/``) is exploded, flattened, conformed, staged as CSV, typed,
-checked and merged into the table, then published as a new version. The
-stream checkpoint records which fetch files were merged, so a restart
-continues where it stopped; re-running a batch after a failure is safe
-because merging the same rows twice equals merging them once.
-
-One fetch per micro-batch (``maxFilesPerTrigger=1``) keeps fetches in landing
-order and lets ``page_stop`` apply to one fetch at a time. The first fetch
-creates the table when it does not exist yet.
+per micro-batch of a file stream over the landing folder. Each fetch (one
+pagination run) lands as one JSON-lines file, e.g. under ``fetch=000123/``.
+A micro-batch takes every fetch landed since the previous one (up to
+``max_fetches``) and merges them **once**: each fetch is cut at its own
+end-of-stream page, then the fetches are folded into one day of rows, the
+latest fetch winning per key, which equals merging them one after the other:
+
+* a key in several fetches takes the latest fetch's row (landing order: file
+  modification time, then path, the order the file stream itself uses);
+* a key twice in one fetch fails the batch (the daily rule);
+* null keys never match, so null-key rows of every fetch are inserted.
+
+One merge per batch rather than per fetch matters at scale: every merge
+publishes a new table version (the whole table, or the touched partitions),
+so a burst of small fetches costs one rewrite, not one each. A key appears at
+most once per fetch, so a fold group holds at most ``max_fetches`` rows, and
+its aggregates combine map-side.
+
+The stream checkpoint records which fetch files were merged, so a restart
+continues where it stopped; re-running a batch after a failure is safe because
+merging the same rows twice equals merging them once. The first batch creates
+the table when it does not exist yet.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.casts import c
+from ..operators.flatten import conform_columns, record_explode, record_flatten
 from ..plans.pipelines import LoadPaths, apply_day
 from ..schemas import ObjectSpec
-from ..sources.pages import envelope_guard, page_stop, wire_records
+from ..sources.pages import envelope_guard, wire_schema
 from ..sources.stage import stage_and_load
 
+FETCH = "__tl_fetch"  # file path of the fetch a page came from
+LANDED = "__tl_landed"  # its modification time
+
+
+def fetch_stop(pages: DataFrame) -> DataFrame:
+    """Pages of each fetch up to and including that fetch's first end-of-stream page.
+
+    The stop table has one row per fetch in the batch, bounded by the
+    trigger's file cap, so it is broadcast: a shuffle on the fetch key would
+    put a whole fetch into one task.
+    """
+    stops = pages.where(F.col("end_of_stream")).groupBy(FETCH).agg(F.min("page").alias("__tl_stop"))
+    kept = pages.join(F.broadcast(stops), FETCH, "left")
+    return kept.where(F.col("__tl_stop").isNull() | (F.col("page") <= F.col("__tl_stop"))).drop("__tl_stop")
+
+
+def fold_fetches(records: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Records of several fetches -> the rows one merge must apply (latest fetch per key)."""
+    rec = F.struct(*[c(n) for n in columns])
+    folded = (
+        records.where(c(key).isNotNull())
+        .groupBy(c(key).alias("__tl_k"))
+        .agg(
+            F.count(F.lit(1)).alias("__tl_n"),
+            F.count_distinct(FETCH).alias("__tl_nf"),
+            F.max_by(rec, F.struct(LANDED, FETCH)).alias("__tl_r"),
+        )
+    )
+    checked = folded.select(
+        F.when(
+            F.col("__tl_n") > F.col("__tl_nf"),
+            F.raise_error(F.concat(F.lit(f"duplicate {key} in one fetch: "), F.col("__tl_k").cast("string"))),
+        )
+        .otherwise(F.col("__tl_r"))
+        .alias("__tl_r")
+    ).select(*[F.col("__tl_r").getField(n).alias(n) for n in columns])
+    nulls = records.where(c(key).isNull()).select(*[c(n) for n in columns])
+    return checked.unionByName(nulls)
+
+
+def fetch_records(pages: DataFrame, spec: ObjectSpec) -> DataFrame:
+    """Guarded pages of several fetches -> flat wire records carrying their fetch."""
+    kept = fetch_stop(envelope_guard(pages, spec.name))
+    flat = record_flatten(record_explode(kept, spec.name, keep=[FETCH, LANDED]))
+    schema = T.StructType(
+        wire_schema(spec).fields
+        + [T.StructField(FETCH, T.StringType()), T.StructField(LANDED, T.TimestampType())]
+    )
+    return conform_columns(flat, schema)
+
 
-def merge_fetch(spark: SparkSession, spec: ObjectSpec, pages: DataFrame, paths: LoadPaths, table: str,
-                batch_id: int) -> None:
-    """One micro-batch: pages of one fetch -> merged table version."""
-    recs = wire_records(page_stop(envelope_guard(pages, spec.name)), spec)
+def merge_fetches(spark: SparkSession, spec: ObjectSpec, pages: DataFrame, paths: LoadPaths, table: str,
+                  batch_id: int) -> None:
+    """One micro-batch: pages of the fetches landed since the last one -> one merged version."""
+    day = fold_fetches(fetch_records(pages, spec), spec.key, spec.names)
     stage = f"{paths.stage}/{spec.name}/batch={batch_id:010d}"
-    typed = stage_and_load(spark, recs, spec, stage)
+    typed = stage_and_load(spark, day, spec, stage)
     apply_day(spark, spec, typed, paths, table, create_if_missing=True)
 
 
 def stream_load(spark: SparkSession, spec: ObjectSpec, landing_dir: str, paths: LoadPaths, table: str,
                 checkpoint: str | None = None, available_now: bool = True,
-                processing_time: str = "5 minutes") -> StreamingQuery:
+                processing_time: str = "5 minutes", max_fetches: int = 100) -> StreamingQuery:
     """Start the stream; with ``available_now`` it drains what has landed and stops."""
     checkpoint = checkpoint or f"{paths.tables}/_checkpoints/{table}"
     source = (
         spark.readStream.schema(spec.envelope_schema())
         .option("mode", "FAILFAST")
-        .option("maxFilesPerTrigger", 1)
+        .option("maxFilesPerTrigger", max_fetches)
         .json(landing_dir)
+        .select(
+            *[c(f.name) for f in spec.envelope_schema().fields],
+            F.col("_metadata.file_path").alias(FETCH),
+            F.col("_metadata.file_modification_time").alias(LANDED),
+        )
     )
     writer = source.writeStream.foreachBatch(
-        lambda batch, batch_id: merge_fetch(batch.sparkSession, spec, batch, paths, table, batch_id)
+        lambda batch, batch_id: merge_fetches(batch.sparkSession, spec, batch, paths, table, batch_id)
     ).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

@@ -39,3 +39,45 @@ def test_stream_merges_fetches_and_resumes(spark, tmp_root):
     versions_before = spark.table(table).inputFiles()
     got = run(spark, watched, paths, table, ckpt)  # nothing new: table untouched
     assert got.inputFiles() == versions_before
+
+
+def test_fetches_of_one_batch_fold_to_one_merge(spark, tmp_root):
+    # three fetches land before the stream runs: one batch, one merge, and the
+    # result equals merging them one after the other
+    paths = LoadPaths(landing=f"{tmp_root}/landing", stage=f"{tmp_root}/stage", tables=f"{tmp_root}/tables")
+    watched, table, ckpt = f"{tmp_root}/landing/users", f"users_{uuid.uuid4().hex[:8]}", f"{tmp_root}/ckpt"
+    write_pages(watched, "fetch=000000", [
+        {"users": [user(1, "a", "2024-01-10T00:00:00Z"), user(2, "b", "2024-01-10T00:00:00Z"),
+                   user(None, "n0", "2024-01-10T00:00:00Z")],
+         "next_page": None, "end_of_stream": True, "page": 1},
+        {"users": [user(98, "stale", "2024-01-10T00:00:00Z")], "next_page": None, "end_of_stream": True, "page": 2},
+    ])
+    write_pages(watched, "fetch=000001", [
+        {"users": [user(2, "b2", "2024-01-11T00:00:00Z"), user(3, "c", "2024-01-11T00:00:00Z")],
+         "next_page": "n", "end_of_stream": False, "page": 1},
+        {"users": [user(None, "n1", "2024-01-11T00:00:00Z")], "next_page": None, "end_of_stream": True, "page": 2},
+    ])
+    write_pages(watched, "fetch=000002", [
+        {"users": [user(3, "c3", "2024-01-12T00:00:00Z")], "next_page": None, "end_of_stream": True, "page": 1},
+    ])
+    q = stream_load(spark, USERS, watched, paths, table, checkpoint=ckpt)
+    got = drain(spark, q, table)
+    assert sorted(((r["id"] or 0), r["name"]) for r in got.collect()) == [
+        (0, "n0"), (0, "n1"), (1, "a"), (2, "b2"), (3, "c3")
+    ]
+    assert len(q.recentProgress) == 1  # one micro-batch for the three fetches
+
+
+def test_duplicate_key_in_one_fetch_fails_the_batch(spark, tmp_root):
+    import pytest
+
+    paths = LoadPaths(landing=f"{tmp_root}/landing", stage=f"{tmp_root}/stage", tables=f"{tmp_root}/tables")
+    watched, table, ckpt = f"{tmp_root}/landing/users", f"users_{uuid.uuid4().hex[:8]}", f"{tmp_root}/ckpt"
+    write_pages(watched, "fetch=000000", [
+        {"users": [user(1, "a", "2024-01-10T00:00:00Z")], "next_page": "n", "end_of_stream": False, "page": 1},
+        {"users": [user(1, "a2", "2024-01-10T00:00:00Z")], "next_page": None, "end_of_stream": True, "page": 2},
+    ])
+    from pyspark.errors import StreamingQueryException
+
+    with pytest.raises(StreamingQueryException, match="duplicate id in one fetch"):
+        run(spark, watched, paths, table, ckpt)
