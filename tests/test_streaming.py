@@ -81,3 +81,32 @@ def test_duplicate_key_in_one_fetch_fails_the_batch(spark, tmp_root):
 
     with pytest.raises(StreamingQueryException, match="duplicate id in one fetch"):
         run(spark, watched, paths, table, ckpt)
+
+
+# Folding fetches, then one merge == merging the fetches one after the other.
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+from test_merge import SCHEMA, model_merge, row, rows, unique_day  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(row, max_size=6), st.lists(st.lists(row, max_size=5).map(unique_day), min_size=1, max_size=3))
+def test_fold_then_merge_equals_sequential_merges(spark, target, fetches):
+    import datetime
+
+    from tableload.operators.merge import merge_upsert
+    from tableload.streaming.landing import FETCH, LANDED, fold_fetches
+
+    expected = target
+    for f in fetches:
+        expected = model_merge(expected, f)
+    base = datetime.datetime(2024, 1, 1)
+    tagged = [
+        r + (f"file:/landing/fetch={i:06d}/part-0.json", base + datetime.timedelta(seconds=i))
+        for i, f in enumerate(fetches) for r in f
+    ]
+    recs = spark.createDataFrame(tagged, SCHEMA + f", {FETCH} string, {LANDED} timestamp")
+    day = fold_fetches(recs, "id", ["id", "a", "b"])
+    got = merge_upsert(spark.createDataFrame(target, SCHEMA), day, "id")
+    assert rows(got) == sorted(expected, key=repr)
