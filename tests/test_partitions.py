@@ -58,3 +58,23 @@ def test_empty_day_touches_nothing(spark, tmp_root):
     publish_partitioned(spark, spark.createDataFrame([(1, "a", "x")], SCHEMA), t, tmp_root, "p")
     assert upsert_partitions(spark, t, spark.createDataFrame([], SCHEMA), "id", "p", tmp_root) == []
     assert [tuple(r) for r in spark.table(t).collect()] == [(1, "a", "x")]
+
+
+def test_big_day_with_hot_key_touches_the_same_partitions(spark, tmp_root):
+    # a third of the target shares key 1 (all in 2024-01); the day is big, so
+    # the (key, partition) pairs are pre-aggregated before their shuffle
+    t = f"pt_{uuid.uuid4().hex[:8]}"
+    rows = [(1, f"x{i}", "2024-01") for i in range(30)] + [(i, "y", f"2024-0{2 + i % 3}") for i in range(2, 62)]
+    publish_partitioned(spark, spark.createDataFrame(rows, SCHEMA), t, tmp_root, "p")
+    day = spark.createDataFrame([(1, "new", "2024-01"), (3, "Y", "2024-03"), (99, "z", "2024-09")], SCHEMA)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        touched = upsert_partitions(spark, t, day, "id", "p", tmp_root, day_rows=10**9)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert touched == ["2024-01", "2024-02", "2024-03", "2024-09"]  # key 3 moves out of 2024-02
+    got = spark.table(t)
+    assert got.where("id = 1").select("s").distinct().collect()[0][0] == "new"
+    assert got.where("id = 1").count() == 30 and got.count() == 91
+    assert got.where("id = 3").collect()[0]["s"] == "Y" and got.where("id = 99").count() == 1
