@@ -144,14 +144,23 @@ def load_all_objects(spark: SparkSession, specs: list[ObjectSpec], ds: str, path
     """The same fallback load for each object; objects are independent.
 
     Their Spark jobs are submitted from separate threads so the cluster runs
-    them side by side; one object's failure does not stop the others.
+    them side by side; one object's failure does not stop the others. Each
+    thread tags its jobs with a scheduler pool named after the object (used
+    when the cluster runs the FAIR scheduler, so one big object cannot hold
+    every executor) and a job description.
     """
+    sc = spark.sparkContext
 
     def one(spec: ObjectSpec):
+        sc.setLocalProperty("spark.scheduler.pool", f"load-{spec.name}")
+        sc.setJobDescription(f"load {spec.name} for {ds}")
         try:
             return spec.name, load_with_fallback(spark, spec, ds, paths, table_of(spec))
         except LOAD_ERRORS as e:
             return spec.name, LoadResult(table_of(spec), "failed", f"{type(e).__name__}: {e}")
+        finally:
+            sc.setLocalProperty("spark.scheduler.pool", None)
+            sc.setJobDescription(None)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return dict(pool.map(one, specs))
