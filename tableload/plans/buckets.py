@@ -15,7 +15,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.casts import q
+from ..functions.casts import c, q
 from .partitions import _ddl
 from .tables import as_nullable, same_shape, version_path
 
@@ -30,10 +30,21 @@ def table_buckets(spark: SparkSession, name: str) -> tuple[int, list[str]] | Non
     return int(info["Num Buckets"]), cols
 
 
-def publish_bucketed(spark: SparkSession, df: DataFrame, name: str, root: str, key: str, buckets: int) -> str:
-    """Write ``df`` bucketed by ``key`` as a new version and point table ``name`` at it."""
+def publish_bucketed(spark: SparkSession, df: DataFrame, name: str, root: str, key: str, buckets: int,
+                     cluster: bool = True) -> str:
+    """Write ``df`` bucketed by ``key`` as a new version and point table ``name`` at it.
+
+    ``cluster``: hash-partition the rows by ``key`` into ``buckets`` tasks
+    first (the same hash as the bucket id), so every task writes exactly one
+    bucket file; otherwise each task writes a file per bucket it holds,
+    tasks x buckets small files. A merge result is already partitioned by
+    bucket (the target side keeps its scan's bucketing), so the merge passes
+    ``cluster=False`` and its target is never shuffled.
+    """
     path = version_path(root)
     staging = f"{name}__w{uuid.uuid4().hex[:8]}"
+    if cluster:
+        df = df.repartition(int(buckets), c(key))
     (
         df.write.format("parquet")
         .bucketBy(buckets, key)

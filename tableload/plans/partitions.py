@@ -56,11 +56,23 @@ def _partition_order(df: DataFrame, part_col: str) -> DataFrame:
     return df.select(*[c(n) for n in df.columns if n != part_col], c(part_col))
 
 
+def _clustered(df: DataFrame, part_col: str) -> DataFrame:
+    """Rows grouped by partition value before a partitioned write.
+
+    Unclustered, every task writes a file into every partition it holds
+    (tasks x partitions small files). The ``rebalance`` hint shuffles by the
+    partition value and lets AQE coalesce small partitions and split a
+    partition holding a large share of the rows, so files come out near the
+    advisory size and no task writes a whole hot partition.
+    """
+    return df.hint("rebalance", part_col)
+
+
 def publish_partitioned(spark: SparkSession, df: DataFrame, name: str, root: str, part_col: str) -> str:
     """Write all rows as a new partitioned version and (re)create the table over it."""
     df = _partition_order(df, part_col)
     path = version_path(root)
-    df.write.mode("errorifexists").partitionBy(part_col).parquet(path)
+    _clustered(df, part_col).write.mode("errorifexists").partitionBy(part_col).parquet(path)
     args = {"t": name, "loc": path}
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": name})
     spark.sql(
@@ -119,7 +131,7 @@ def upsert_partitions(spark: SparkSession, table: str, day: DataFrame, key: str,
     old = target.where(c(part_col).isin(touched))
     merged = _partition_order(merge_upsert(old, day, key, check_unique=False, day_rows=day_rows), part_col)
     path = version_path(root)
-    merged.write.mode("errorifexists").partitionBy(part_col).parquet(path)
+    _clustered(merged, part_col).write.mode("errorifexists").partitionBy(part_col).parquet(path)
     written = _written(spark, path, part_col, as_nullable(merged.schema))
     existing = table_partitions(spark, table, part_col)
     for v in touched:

@@ -80,14 +80,19 @@ def with_partition_column(df: DataFrame, spec: ObjectSpec) -> DataFrame:
     return df.withColumn(name, partition_value(c(source), pattern))
 
 
-def publish_spec(spark: SparkSession, spec: ObjectSpec, df: DataFrame, table: str, root: str) -> None:
-    """Publish all rows: one version folder, partitioned or bucketed if the spec says so."""
+def publish_spec(spark: SparkSession, spec: ObjectSpec, df: DataFrame, table: str, root: str,
+                 merged: bool = False) -> None:
+    """Publish all rows: one version folder, partitioned or bucketed if the spec says so.
+
+    ``merged``: ``df`` is a merge over the bucketed table, already partitioned
+    by bucket, so it is written without another shuffle.
+    """
     if spec.partition and spec.buckets:
         raise ValueError(f"{spec.name}: choose a partition or buckets, not both")
     if spec.partition:
         publish_partitioned(spark, with_partition_column(df, spec), table, root, spec.partition[0])
     elif spec.buckets:
-        publish_bucketed(spark, df, table, root, spec.key, spec.buckets)
+        publish_bucketed(spark, df, table, root, spec.key, spec.buckets, cluster=not merged)
     else:
         publish(spark, df, table, root)
 
@@ -116,7 +121,7 @@ def apply_day(spark: SparkSession, spec: ObjectSpec, typed_day: DataFrame, paths
         upsert_partitions(spark, table, day, spec.key, spec.partition[0], root, day_rows=day_rows)
         return
     merged = merge_upsert(spark.table(table), day, spec.key, check_unique=False, day_rows=day_rows)
-    publish_spec(spark, spec, merged, table, root)
+    publish_spec(spark, spec, merged, table, root, merged=True)
 
 
 def full_load(spark: SparkSession, spec: ObjectSpec, paths: LoadPaths, table: str,

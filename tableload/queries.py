@@ -855,7 +855,7 @@ def q_merge_bucketed(spark, sf_dir):
     root, name = scratch_dir(spark, "tables"), _table_name("orders")
     publish_bucketed(spark, _orders_target(spark, sf_dir), name, root, "o_orderkey", 16)
     merged = merge_upsert(spark.table(name), _orders_day(spark, sf_dir), "o_orderkey")
-    publish_bucketed(spark, merged, name, root, "o_orderkey", 16)
+    publish_bucketed(spark, merged, name, root, "o_orderkey", 16, cluster=False)
     return spark.table(name)
 
 

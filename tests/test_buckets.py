@@ -60,3 +60,10 @@ def test_big_day_merge_does_not_shuffle_target(spark, tmp_root):
                 assert "Exchange" not in line, line
     counts = {r["s"]: r["count"] for r in got}
     assert counts["new"] == 1000 and sum(counts.values()) == 2500
+
+
+def test_bucketed_publish_writes_one_file_per_bucket(spark, tmp_root):
+    t = f"bt_{uuid.uuid4().hex[:8]}"
+    df = spark.range(4000).repartition(8).select("id", F.lit("x").alias("s"))
+    publish_bucketed(spark, df, t, tmp_root, "id", 4)
+    assert len(spark.table(t).inputFiles()) == 4 and spark.table(t).count() == 4000

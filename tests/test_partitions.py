@@ -78,3 +78,13 @@ def test_big_day_with_hot_key_touches_the_same_partitions(spark, tmp_root):
     assert got.where("id = 1").select("s").distinct().collect()[0][0] == "new"
     assert got.where("id = 1").count() == 30 and got.count() == 91
     assert got.where("id = 3").collect()[0]["s"] == "Y" and got.where("id = 99").count() == 1
+
+
+def test_partitioned_write_is_clustered(spark, tmp_root):
+    # rows of every partition spread over 8 tasks: still one file per (small) partition
+    t = f"pt_{uuid.uuid4().hex[:8]}"
+    df = spark.range(4000).repartition(8).select(
+        "id", F.lit("x").alias("s"), F.format_string("2024-%02d", (F.col("id") % 12 + 1).cast("int")).alias("p")
+    )
+    publish_partitioned(spark, df, t, tmp_root, "p")
+    assert len(spark.table(t).inputFiles()) == 12 and spark.table(t).count() == 4000
