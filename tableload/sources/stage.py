@@ -52,7 +52,14 @@ def to_stage_text(conformed: DataFrame, spec: ObjectSpec) -> DataFrame:
 
 def csv_stage_write(text: DataFrame, path: str, partition_by: list[str] | None = None,
                     max_records_per_file: int = MAX_RECORDS_PER_FILE) -> str:
-    """Write the stage, replacing what was there."""
+    """Write the stage, replacing what was there.
+
+    A stage split by ``partition_by`` (one folder per day) is first clustered
+    by those columns (``rebalance`` hint: AQE coalesces small days and splits a
+    big one), so each day gets a few files rather than one per task.
+    """
+    if partition_by:
+        text = text.hint("rebalance", *partition_by)
     w = text.write.mode("overwrite").options(**CSV_OPTIONS).option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
