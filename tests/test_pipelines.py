@@ -144,3 +144,34 @@ def test_script_load(spark, tmp_root):
     assert len(rows) == 4
     assert ("it's bound", "v2", "2024-01-16") in rows
     assert ("hard-coded-value-1", "hard-coded-value-2", "hard-coded-value-3") in rows
+
+
+def test_partitioned_tickets_rewrite_only_touched_months(spark, tmp_root):
+    # the README's big-table layout: tickets stored by creation month
+    spec = TICKETS.with_partition("created_month", "created_at", "yyyy-MM")
+    p, t = paths_under(tmp_root), name()
+    land_full(tmp_root, [
+        {"tickets": [ticket(1, "2024-01-10T00:00:00Z", created_at="2023-11-02T10:00:00Z"),
+                     ticket(2, "2024-01-11T00:00:00Z", created_at="2023-12-05T10:00:00Z"),
+                     ticket(3, "2024-01-12T00:00:00Z", created_at="2024-01-03T10:00:00Z")],
+         "after_cursor": "c1", "end_of_stream": True, "page": 1},
+    ])
+    res = load_with_fallback(spark, spec, "2024-01-16", p, t)
+    assert res.branch == "full"
+
+    def files(month):
+        return {f for f in spark.table(t).inputFiles() if f"created_month={month}" in f}
+
+    before = {m: files(m) for m in ("2023-11", "2023-12", "2024-01")}
+    land_day(tmp_root, "2024-01-16", [
+        {"tickets": [ticket(2, "2024-01-16T08:00:00Z", created_at="2023-12-05T10:00:00Z", subject="changed"),
+                     ticket(4, "2024-01-16T09:00:00Z", created_at="2024-01-16T09:00:00Z")],
+         "after_cursor": "c2", "end_of_stream": True, "page": 1},
+    ])
+    res = load_with_fallback(spark, spec, "2024-01-16", p, t)
+    assert res.branch == "daily" and res.error is None
+    got = {r["id"]: r for r in spark.table(t).collect()}
+    assert sorted(got) == [1, 2, 3, 4] and got[2]["subject"] == "changed"
+    assert got[4]["created_month"] == "2024-01"
+    assert files("2023-11") == before["2023-11"]  # untouched month keeps its files
+    assert files("2023-12") != before["2023-12"] and files("2024-01") != before["2024-01"]
