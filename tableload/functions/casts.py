@@ -86,12 +86,27 @@ def link_param(url: Column, name: str) -> Column:
 # ----------------------------------------------------------------- text forms
 
 
-def int_text(x: Column) -> Column:
+def strict_cast(x: Column, to: str, label: str) -> Column:
+    """Cast that fails the load on a value that does not convert.
+
+    ``try_cast`` parses by the ANSI rules and gives null instead of raising,
+    so a null out of a non-null value is a bad value: the check holds whether
+    or not the session runs in ANSI mode (where a plain cast with ANSI off
+    would turn ``12.5`` into 12 and ``abc`` into null, silently).
+    """
+    out = x.try_cast(to)
+    return F.when(
+        x.isNotNull() & out.isNull(),
+        F.raise_error(F.concat(F.lit(f"bad {to} value in {label}: "), F.substring(x.cast("string"), 1, 200))),
+    ).otherwise(out)
+
+
+def int_text(x: Column, label: str = "value", to: str = "bigint") -> Column:
     """Integer text, also as pandas writes nullable ints (``123.0``) -> bigint.
 
-    A value with a real fraction (``12.5``) still fails the ANSI cast.
+    A value with a real fraction (``12.5``) fails the load.
     """
-    return F.regexp_replace(x, r"\.0*$", "").cast("bigint")
+    return strict_cast(F.regexp_replace(x, r"\.0*$", ""), to, label)
 
 
 def array_text(x: Column) -> Column:
@@ -132,17 +147,17 @@ def stage_text(x: Column, kind: str) -> Column:
 def typed_value(x: Column, kind: str, label: str, max_len: int | None = None) -> Column:
     """Stage text -> declared type (``typed_load`` for one column)."""
     if kind == "bigint":
-        out = int_text(x)
+        out = int_text(x, label)
     elif kind == "int":
-        out = int_text(x).cast("int")
+        out = int_text(x, label, "int")
     elif kind == "double":
-        out = x.cast("double")
+        out = strict_cast(x, "double", label)
     elif kind == "boolean":
-        out = x.cast("boolean")
+        out = strict_cast(x, "boolean", label)
     elif kind == "ntz":
-        out = x.cast("timestamp_ntz")
+        out = strict_cast(x, "timestamp_ntz", label)
     elif kind == "epoch":
-        out = from_epoch(int_text(x))
+        out = from_epoch(int_text(x, label))
     elif kind.startswith("array<"):
         out = text_array(x, kind[len("array<") : -1], label)
     else:  # string, json
