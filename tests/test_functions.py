@@ -48,12 +48,12 @@ def test_day_bounds_and_from_epoch(spark):
 
 def test_links(spark):
     df = spark.createDataFrame(
-        [("https://acme.zendesk.com/api/v2/incremental/users.json?start_time=1629305410",),
-         ("https://acme.zendesk.com/api/v2/incremental/tickets/cursor.json?cursor=abc%3D",)],
+        [("https://acme.example.com/api/v2/incremental/users.json?start_time=1629305410",),
+         ("https://acme.example.com/api/v2/incremental/tickets/cursor.json?cursor=abc%3D",)],
         "url string",
     )
     got = df.select(
-        strip_prefix(F.col("url"), "https://acme.zendesk.com").alias("path"),
+        strip_prefix(F.col("url"), "https://acme.example.com").alias("path"),
         link_param(F.col("url"), "start_time").alias("st"),
         link_param(F.col("url"), "cursor").alias("cur"),
     ).collect()
