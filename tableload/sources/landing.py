@@ -57,9 +57,10 @@ def to_wire_text_times(df: DataFrame) -> DataFrame:
 def row_run(max_rows: int) -> Column:
     """Label runs of at most ``max_rows`` consecutive rows of one input partition.
 
-    ``monotonically_increasing_id`` holds the partition in its high bits and
-    the row's position in it below, so ``id div max_rows`` never joins rows
-    of two partitions and never holds more than ``max_rows`` rows. Adding it
+    ``monotonically_increasing_id`` gives distinct integers (the partition in
+    the high bits, the row's position in it below), so a block of
+    ``max_rows`` consecutive values, ``id div max_rows``, holds at most
+    ``max_rows`` rows, and in practice rows of one partition only. Adding it
     to a grouping key bounds every group without a count or an extra pass.
     """
     if max_rows < 1:
