@@ -49,8 +49,8 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tableload/{name}-{uuid.uuid4().hex}"
 
 
-def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
-    """Session used by tests and the bench (local mode, UI off, UTC)."""
+def local_session(cores: int = 8, shuffle_partitions: int = 8, extra: dict[str, str] | None = None) -> SparkSession:
+    """Session used by tests and the bench (local mode, UI off, UTC); ``extra`` adds settings."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tableload")
@@ -63,6 +63,8 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
