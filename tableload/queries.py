@@ -789,8 +789,10 @@ def q_incremental_stream(spark, sf_dir):
         ),
     ]
     for i, recs in enumerate(fetches):
+        # each writer task lands its own run of pages as one file, so no fetch
+        # passes through a single task; the last page's file carries the stop
         wire = nest(to_wire_text_times(recs))
-        land_pages(wire, EVENTS.name, f"{watched}/fetch={i:06d}", F.floor(c(EVENTS.key) / PAGE_SIZE), files=1)
+        land_pages(wire, EVENTS.name, f"{watched}/fetch={i:06d}", F.floor(c(EVENTS.key) / PAGE_SIZE))
     return drain(spark, stream_load(spark, EVENTS, watched, paths, name), name)
 
 

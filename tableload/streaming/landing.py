@@ -1,12 +1,14 @@
 """Merge landed page fetches into a table as they arrive (Structured Streaming).
 
 The batch loader merges one calendar day on request. Here the same steps run
-per micro-batch of a file stream over the landing folder. Each fetch (one
-pagination run) lands as one JSON-lines file, e.g. under ``fetch=000123/``.
-A micro-batch takes every fetch landed since the previous one (up to
-``max_fetches``) and merges them **once**: each fetch is cut at its own
-end-of-stream page, then the fetches are folded into one day of rows, the
-latest fetch winning per key, which equals merging them one after the other:
+per micro-batch of a file stream over the landing folder. Each landed
+JSON-lines file is one fetch, a pagination run, e.g. under ``fetch=000123/``
+(a fetcher may split a time range into several runs landed side by side, one
+file each, so no fetch has to pass through one writer). A micro-batch takes
+every file landed since the previous one (up to ``max_fetches``) and merges
+them **once**: each fetch is cut at its own end-of-stream page, then the
+fetches are folded into one day of rows, the latest fetch winning per key,
+which equals merging them one after the other:
 
 * a key in several fetches takes the latest fetch's row (landing order: file
   modification time, then path, the order the file stream itself uses);
