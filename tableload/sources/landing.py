@@ -76,15 +76,14 @@ def land_pages(
     link_field: str = "next_page",
     link_base: str = "https://example.invalid/api/v2/incremental?start_time=",
     stop_page: int | None = None,
-    files: int | None = None,
     max_records: int = 1000,
 ) -> str:
     """Group records into pages and write them as JSON documents (JSON lines).
 
     ``end_of_stream`` is set on the last page, and also on ``stop_page`` when
-    given (pages after it then model a later, stale fetch). ``files`` caps
-    the number of files written (one file per fetch for the stream loader).
-    Each document holds at most ``max_records`` records (``row_run``).
+    given (pages after it then model a later, stale fetch). Each writer task
+    lands its pages as one file. Each document holds at most ``max_records``
+    records (``row_run``).
     """
     rec = F.struct(*[c(n) for n in records.columns])
     run = row_run(max_records)
@@ -105,7 +104,5 @@ def land_pages(
         eos.alias("end_of_stream"),
         "page",
     )
-    if files:
-        pages = pages.coalesce(files)
     pages.write.mode("errorifexists").json(out_dir)
     return out_dir
