@@ -15,7 +15,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.casts import c, q
+from ..functions.casts import q
 from .partitions import _ddl
 from .tables import as_nullable, same_shape, version_path
 
@@ -34,17 +34,20 @@ def publish_bucketed(spark: SparkSession, df: DataFrame, name: str, root: str, k
                      cluster: bool = True) -> str:
     """Write ``df`` bucketed by ``key`` as a new version and point table ``name`` at it.
 
-    ``cluster``: hash-partition the rows by ``key`` into ``buckets`` tasks
-    first (the same hash as the bucket id), so every task writes exactly one
-    bucket file; otherwise each task writes a file per bucket it holds,
-    tasks x buckets small files. A merge result is already partitioned by
-    bucket (the target side keeps its scan's bucketing), so the merge passes
-    ``cluster=False`` and its target is never shuffled.
+    ``cluster``: hash-partition the rows by ``key`` into ``buckets``
+    partitions first (the same hash as the bucket id) with the ``rebalance``
+    hint, so a task writes the files of whole buckets rather than a file for
+    every bucket it happens to hold (tasks x buckets small files), and AQE
+    splits a bucket that holds a hot key over several tasks (a bucket may
+    have several files) instead of one task writing a third of the table.
+    A merge result is already partitioned by bucket (the target side keeps
+    its scan's bucketing), so the merge passes ``cluster=False`` and its
+    target is never shuffled.
     """
     path = version_path(root)
     staging = f"{name}__w{uuid.uuid4().hex[:8]}"
     if cluster:
-        df = df.repartition(int(buckets), c(key))
+        df = df.hint("rebalance", int(buckets), key)
     (
         df.write.format("parquet")
         .bucketBy(buckets, key)

@@ -67,3 +67,26 @@ def test_bucketed_publish_writes_one_file_per_bucket(spark, tmp_root):
     df = spark.range(4000).repartition(8).select("id", F.lit("x").alias("s"))
     publish_bucketed(spark, df, t, tmp_root, "id", 4)
     assert len(spark.table(t).inputFiles()) == 4 and spark.table(t).count() == 4000
+
+
+def test_hot_bucket_is_split_over_tasks(spark, tmp_root):
+    # a third of the rows share one key: its bucket gets several files (written
+    # by several tasks); the table still reads bucketed, with no exchange
+    t = f"bt_{uuid.uuid4().hex[:8]}"
+    df = spark.range(300000).repartition(8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("id"), F.lit("x" * 20).alias("s")
+    )
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        publish_bucketed(spark, df, t, tmp_root, "id", 4)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = spark.table(t).inputFiles()
+    buckets = [f.rsplit("_", 1)[-1].split(".")[0] for f in files]
+    assert len(set(buckets)) == 4 and len(files) > 4
+    assert spark.table(t).where("id = 7").count() == 100001  # 100,000 rewritten ids plus id 7 itself
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        spark.table(t).groupBy("id").count().explain()
+    assert "Exchange" not in buf.getvalue()
