@@ -65,7 +65,10 @@ def fold_fetches(records: DataFrame, key: str, columns: list[str]) -> DataFrame:
         .groupBy(c(key).alias("__tl_k"))
         .agg(
             F.count(F.lit(1)).alias("__tl_n"),
-            F.count_distinct(FETCH).alias("__tl_nf"),
+            # the fetches holding the key: at most one per file in the batch
+            # (bounded by max_fetches); one shuffle, where a distinct count
+            # would shuffle the records twice
+            F.size(F.collect_set(FETCH)).alias("__tl_nf"),
             F.max_by(rec, F.struct(LANDED, FETCH)).alias("__tl_r"),
         )
     )

@@ -110,3 +110,37 @@ def test_fold_then_merge_equals_sequential_merges(spark, target, fetches):
     day = fold_fetches(recs, "id", ["id", "a", "b"])
     got = merge_upsert(spark.createDataFrame(target, SCHEMA), day, "id")
     assert rows(got) == sorted(expected, key=repr)
+
+
+def test_fold_plan_broadcasts_stops_and_shuffles_only_by_key(spark, tmp_root):
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    from tableload.streaming.landing import FETCH, LANDED, fetch_records, fold_fetches
+
+    watched = f"{tmp_root}/landing/users"
+    for i in range(2):
+        write_pages(watched, f"fetch={i:06d}", [
+            {"users": [user(1, f"a{i}", "2024-01-10T00:00:00Z")], "next_page": None, "end_of_stream": True, "page": 1},
+        ])
+    env = USERS.envelope_schema()
+    pages = spark.read.schema(env).json(watched).select(
+        *[F.col(f.name) for f in env.fields],
+        F.col("_metadata.file_path").alias(FETCH), F.col("_metadata.file_modification_time").alias(LANDED),
+    )
+    day = fold_fetches(fetch_records(pages, USERS), USERS.key, USERS.names)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        day.explain()
+    plan = buf.getvalue()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan  # per-fetch stops
+    # records cross the network once, by key; by fetch only the stop rows do
+    import re
+
+    assert len(re.findall(r"Exchange hashpartitioning\(id#\d+L, \d+\)", plan)) == 1
+    assert not re.search(r"hashpartitioning\(id#\d+L, __tl_fetch", plan)
+    for m in re.finditer(r"Exchange hashpartitioning\(__tl_fetch#\d+, \d+\)[^\n]*\n[\s:]*\+- HashAggregate\(keys=\[__tl_fetch#\d+\], functions=\[(\w+)", plan):
+        assert m.group(1) == "partial_min"
+    assert [r["name"] for r in day.collect()] == ["a1"]
