@@ -23,6 +23,7 @@ before or after the merge.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,18 +70,25 @@ def _clustered(df: DataFrame, part_col: str) -> DataFrame:
 
 
 def publish_partitioned(spark: SparkSession, df: DataFrame, name: str, root: str, part_col: str) -> str:
-    """Write all rows as a new partitioned version and (re)create the table over it."""
+    """Write all rows as a new partitioned version and (re)create the table over it.
+
+    The new catalog entry is built under a staging name (create, recover the
+    partitions: a listing of the whole version), and only then swapped in by
+    a drop and a rename, so readers lose the table for two catalog calls, not
+    for the listing. The old version's files stay.
+    """
     df = _partition_order(df, part_col)
     path = version_path(root)
     _clustered(df, part_col).write.mode("errorifexists").partitionBy(part_col).parquet(path)
-    args = {"t": name, "loc": path}
-    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": name})
+    staging = f"{name}__p{uuid.uuid4().hex[:8]}"
     spark.sql(
         f"CREATE TABLE IDENTIFIER(:t) ({_ddl(as_nullable(df.schema))}) USING parquet "
         f"PARTITIONED BY ({q(part_col)}) LOCATION :loc",
-        args=args,
+        args={"t": staging, "loc": path},
     )
-    spark.sql("ALTER TABLE IDENTIFIER(:t) RECOVER PARTITIONS", args={"t": name})
+    spark.sql("ALTER TABLE IDENTIFIER(:t) RECOVER PARTITIONS", args={"t": staging})
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": name})
+    spark.sql("ALTER TABLE IDENTIFIER(:s) RENAME TO IDENTIFIER(:t)", args={"s": staging, "t": name})
     return path
 
 
