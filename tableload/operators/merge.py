@@ -50,9 +50,16 @@ def byte_size(text: str) -> int:
 
 
 def day_keys_broadcast(spark: SparkSession, day_rows: int) -> bool:
-    """Whether ``day_rows`` keys fit under the session's broadcast limit."""
-    limit = byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
-    return limit > 0 and day_rows * KEY_ROW_BYTES <= limit
+    """Whether ``day_rows`` keys fit under the session's broadcast limits.
+
+    Both the planner's limit and AQE's runtime one (when set) must allow it:
+    AQE re-plans the join with its own limit.
+    """
+    limits = [byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))]
+    adaptive = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    if adaptive:
+        limits.append(byte_size(adaptive))
+    return all(limit > 0 and day_rows * KEY_ROW_BYTES <= limit for limit in limits)
 
 
 def _day_columns(day: DataFrame, cols: list[str]) -> DataFrame:

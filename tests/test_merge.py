@@ -160,3 +160,13 @@ def test_big_day_with_hot_target_key(spark):
     agg = r"HashAggregate\(keys=\[__tl_k#\d+L\], functions=\[\]\)"
     assert re.search(agg + r"\s*\n[\s:]*\+- Exchange hashpartitioning[^\n]*\n[\s:]*\+- " + agg, semi)
     assert day_keys_broadcast(spark, 500)
+    adaptive = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not day_keys_broadcast(spark, 500)  # AQE would not broadcast at runtime
+    finally:
+        if adaptive:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", adaptive)
+        else:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert day_keys_broadcast(spark, 500)
