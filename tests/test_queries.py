@@ -23,8 +23,11 @@ def duck():
 
 def test_every_query_has_an_oracle():
     from __spark_entry__ import oracle_sql, queries
+    from tableload.queries import ORACLE, QUERIES
 
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry_runs(spark):
