@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tableload.llm.bpe import encode_documents
-from tableload.llm.common import table
+from tableload.llm.common import LOWER, UPPER, table
 from tableload.llm.fingerprints import edited_neighbours
+from tableload.llm.jaccard_join import near_duplicates
+from tableload.llm.line_dedup import line_report
+from tableload.llm.quality_mcd import quality_verdicts
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -17,14 +20,71 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines every document loses and the digest of what is left."""
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's ids and decoded bytes."""
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep_ids=False)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the robust-outlier verdict of every document."""
+    return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's shingle set and the group its links put it in."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_document_fingerprints": op1_document_fingerprints,
+    "op2_line_dedup": op2_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_quality_rules": op6_quality_rules,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
-ORACLE: dict[str, str] = {}
+_WS = " || ".join(f"chr({n})" for n in (32, 9, 10, 11, 12, 13))
+
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": f"""
+        WITH lines AS (
+          SELECT doc_id, pos, line, translate(trim(line, {_WS}), '{UPPER}', '{LOWER}') AS key
+          FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                       generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)
+        ), hot AS (
+          SELECT key, max(doc_id) AS last FROM lines WHERE length(key) >= 20
+          GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+        ), marked AS (
+          SELECT l.doc_id, l.pos, l.line, h.key IS NOT NULL AND l.doc_id <> h.last AS dropped
+          FROM lines l LEFT JOIN hot h ON l.key = h.key
+        )
+        SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+               sha256(coalesce(string_agg(CASE WHEN dropped THEN NULL ELSE line END, chr(10) ORDER BY pos), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id
+    """,
+    "op9_jaccard_join": f"""
+        WITH RECURSIVE words AS (
+          SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+          FROM documents
+        ), shingles AS (
+          SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))
+                                              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+          FROM words
+        ), sizes AS (
+          SELECT w.doc_id, count(s.s) AS n FROM words w LEFT JOIN shingles s ON s.doc_id = w.doc_id GROUP BY w.doc_id
+        ), both_have AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+        ), links AS (
+          SELECT a, b FROM both_have JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)
+        ), reach AS (
+          SELECT doc_id AS root, doc_id FROM words UNION SELECT r.root, l.b FROM reach r JOIN links l ON l.a = r.doc_id
+        )
+        SELECT z.doc_id, z.n AS n_shingles, min(r.doc_id) AS component_id
+        FROM sizes z JOIN reach r ON r.root = z.doc_id GROUP BY z.doc_id, z.n
+    """,
+}
