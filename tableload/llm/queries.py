@@ -69,10 +69,10 @@ ORACLE: dict[str, str] = {
     """,
     "op9_jaccard_join": f"""
         WITH RECURSIVE words AS (
-          SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+          SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
           FROM documents
         ), shingles AS (
-          SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))
+          SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
                                               WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
           FROM words
         ), sizes AS (
