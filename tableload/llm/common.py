@@ -65,7 +65,7 @@ def long_array(values: list[int]) -> Column:
 
 
 #: Id blocks: rows aimed at, and the most blocks (two longs a block reach the driver).
-BLOCK_ROWS = 64
+BLOCK_ROWS = 256
 MAX_BLOCKS = 65_536
 
 

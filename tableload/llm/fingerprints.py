@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from tableload.llm.common import WS_CHARS, WS_CLASS, block_of, id_bounds, long_array, text_of
 
 SHINGLE = 5
-BINS = 256  # a power of two
-BITS = 8  # 8 bins to a long
+BINS = 512  # a power of two
+BITS = 4  # 16 bins to a long
 PROBES = 24
 
 _SHIFT = 64 - BINS.bit_length()  # hashes have 63 bits, the highest choose the bin

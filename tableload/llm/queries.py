@@ -11,6 +11,7 @@ from tableload.llm.fingerprints import edited_neighbours
 from tableload.llm.jaccard_join import near_duplicates
 from tableload.llm.line_dedup import line_report
 from tableload.llm.quality_mcd import quality_verdicts
+from tableload.llm.suffix_dedup import repeat_report
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -25,6 +26,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes every document loses to 200-byte strings that start elsewhere too, and the digest of what is left."""
+    return repeat_report(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's ids and decoded bytes."""
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep_ids=False)
@@ -43,6 +49,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_line_dedup": op2_line_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_quality_rules": op6_quality_rules,
     "op9_jaccard_join": op9_jaccard_join,
