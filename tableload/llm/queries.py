@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tableload.llm.bpe import encode_documents
+from tableload.llm.chunk_dedup import repeated_spans
 from tableload.llm.common import LOWER, UPPER, table
 from tableload.llm.fingerprints import edited_neighbours
 from tableload.llm.jaccard_join import near_duplicates
@@ -41,6 +42,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated spans of content-defined chunks in every document that has any."""
+    return repeated_spans(table(spark, sf_dir, "documents")).drop("gone")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of every document's shingle set and the group its links put it in."""
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -52,6 +58,7 @@ QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_quality_rules": op6_quality_rules,
+    "op8_chunk_dedup": op8_chunk_dedup,
     "op9_jaccard_join": op9_jaccard_join,
 }
 
