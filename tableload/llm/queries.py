@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tableload.llm.bpe import encode_documents
 from tableload.llm.chunk_dedup import repeated_spans
@@ -11,8 +12,10 @@ from tableload.llm.common import LOWER, UPPER, table
 from tableload.llm.fingerprints import edited_neighbours
 from tableload.llm.jaccard_join import near_duplicates
 from tableload.llm.line_dedup import line_report
+from tableload.llm.pfair_mix import ALPHA, BLOCK_DOCS, TOTAL, mix_schedule
 from tableload.llm.quality_mcd import quality_verdicts
 from tableload.llm.suffix_dedup import repeat_report
+from tableload.llm.warc_audit import audit, record_digests, warc_record
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -37,6 +40,27 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep_ids=False)
 
 
+#: Ids of the pages that share a WARC file, and of every so many the damage that the second copy has.
+FILE_PAGES, FLIP_EVERY, FLIP_AT, CUT_EVERY, CUT_FROM = 1000, 101, 37, 7000, 6990
+
+
+def op5_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged and lost records of a second WARC copy of all pages, found through the trees.
+
+    The copy holds every page again, some with their first byte changed, and
+    some files without their last records.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = pages.withColumn("file", F.floor(F.col("page_id") / FILE_PAGES))
+    head = F.substring("html", 1, 1)
+    flipped = (F.col("page_id") % FLIP_EVERY == FLIP_AT) & (F.octet_length(head) == 1) & (head != "~")
+    copy = pages.where(f"page_id % {CUT_EVERY} < {CUT_FROM}")
+    copy = copy.withColumn("html", F.when(flipped, F.concat(F.lit("~"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
+    record = warc_record("response", F.col("url"), F.col("page_id"), F.col("html"))
+    held = [record_digests(p.withColumn("record", record), "file", "page_id", "record") for p in (pages, copy)]
+    return audit(*held).withColumnRenamed("key", "page_id")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the robust-outlier verdict of every document."""
     return quality_verdicts(table(spark, sf_dir, "documents"))
@@ -52,14 +76,21 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot and place of every document in the mix of its sources."""
+    return mix_schedule(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_line_dedup": op2_line_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_merkle_audit": op5_merkle_audit,
     "op6_quality_rules": op6_quality_rules,
     "op8_chunk_dedup": op8_chunk_dedup,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_pfair_mix": op10_pfair_mix,
 }
 
 _WS = " || ".join(f"chr({n})" for n in (32, 9, 10, 11, 12, 13))
@@ -81,6 +112,48 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(string_agg(CASE WHEN dropped THEN NULL ELSE line END, chr(10) ORDER BY pos), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    "op5_merkle_audit": f"""
+        WITH first_copy AS (
+          SELECT page_id, page_id // {FILE_PAGES} AS file, html,
+                 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+                 || 'WARC-Record-ID: <urn:record:' || coalesce(CAST(page_id AS VARCHAR), '') || '>' || chr(13) || chr(10)
+                 || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+                 || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR) || chr(13) || chr(10) || chr(13) || chr(10) AS head,
+                 chr(13) || chr(10) || chr(13) || chr(10) AS tail
+          FROM pages
+        ), laid AS (
+          SELECT *, strlen(head) + strlen(coalesce(html, '')) + 4 AS length,
+                 CAST(coalesce(sum(strlen(head) + strlen(coalesce(html, '')) + 4)
+                   OVER (PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
+                 page_id % {CUT_EVERY} >= {CUT_FROM} AS cut,
+                 page_id % {FLIP_EVERY} = {FLIP_AT} AND strlen(html[1]) = 1 AND html[1] <> '~' AS flipped
+          FROM first_copy
+        )
+        SELECT file, "offset", CASE WHEN cut THEN 'lost' ELSE 'corrupt' END AS status, page_id, length,
+               sha256(head || coalesce(html, '') || tail) AS expected,
+               CASE WHEN NOT cut THEN sha256(head || '~' || html[2:] || tail) END AS found
+        FROM laid WHERE cut OR flipped
+    """,
+    "op10_pfair_mix": f"""
+        WITH RECURSIVE docs AS (SELECT doc_id, coalesce(source, '') AS source FROM documents),
+        sizes AS (SELECT source, pow(count(*), {ALPHA}) AS w FROM docs GROUP BY source),
+        parts AS (
+          SELECT source, greatest(1, CAST(round(w / (SELECT list_sum(list(w ORDER BY source)) FROM sizes) * {TOTAL}) AS BIGINT)) AS p FROM sizes
+        ), one AS (SELECT list(source ORDER BY source) AS s, list(p ORDER BY source) AS ps, CAST(sum(p) AS BIGINT) AS total FROM parts
+        ), turn AS (
+          SELECT CAST(-1 AS BIGINT) AS tick, list_transform(ps, lambda p: CAST(0 AS BIGINT)) AS had, CAST(0 AS BIGINT) AS chosen FROM one
+          UNION ALL
+          SELECT tick + 1, list_transform(had, lambda h, i: h + CASE WHEN i = pick THEN 1 ELSE 0 END), pick
+          FROM (SELECT tick, had, list_min(list_transform(had, lambda h, i:
+                  CASE WHEN h * total // ps[i] <= tick + 1 THEN ((h + 1) * total + ps[i] - 1) // ps[i] * 1000000 + i END)) % 1000000 AS pick
+                FROM turn, one WHERE tick + 1 < total)
+        ), period AS (
+          SELECT s[chosen] AS source, tick, row_number() OVER (PARTITION BY chosen ORDER BY tick) - 1 AS nth FROM turn, one WHERE tick >= 0
+        ), placed AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS n FROM docs)
+        SELECT d.doc_id, d.source, d.n // {BLOCK_DOCS} AS block,
+               d.n // {BLOCK_DOCS} // p.p * (SELECT total FROM one) + t.tick AS slot, CAST(d.n % {BLOCK_DOCS} AS INTEGER) AS place
+        FROM placed d JOIN parts p ON p.source = d.source JOIN period t ON t.source = d.source AND t.nth = (d.n // {BLOCK_DOCS}) % p.p
+    """,
     "op9_jaccard_join": f"""
         WITH RECURSIVE words AS (
           SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
