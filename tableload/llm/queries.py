@@ -11,6 +11,7 @@ from tableload.llm.chunk_dedup import repeated_spans
 from tableload.llm.common import LOWER, UPPER, table
 from tableload.llm.fingerprints import edited_neighbours
 from tableload.llm.jaccard_join import near_duplicates
+from tableload.llm.license_scan import license_findings
 from tableload.llm.line_dedup import line_report
 from tableload.llm.pfair_mix import ALPHA, BLOCK_DOCS, TOTAL, mix_schedule
 from tableload.llm.quality_mcd import quality_verdicts
@@ -66,6 +67,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence paragraphs of every document that has any, by a classifier trained on a bounded sample."""
+    return license_findings(table(spark, sf_dir, "documents"))
+
+
 def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated spans of content-defined chunks in every document that has any."""
     return repeated_spans(table(spark, sf_dir, "documents")).drop("gone")
@@ -88,6 +94,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_merkle_audit": op5_merkle_audit,
     "op6_quality_rules": op6_quality_rules,
+    "op7_license_scan": op7_license_scan,
     "op8_chunk_dedup": op8_chunk_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_pfair_mix": op10_pfair_mix,
