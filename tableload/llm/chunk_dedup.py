@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from tableload.llm.common import save, text_of
 
-MIN_BYTES = 16
-MAX_BYTES = 128
+MIN_BYTES = 8
+MAX_BYTES = 96
 #: A cut where this many top bits of the hash are zero: 32 bytes apart on average, beyond the least distance.
 CUT_BITS = 5
 #: Bytes a run of repeated chunks needs to be a repeated span.
@@ -88,33 +88,32 @@ def chunks(data: bytes) -> tuple[np.ndarray, list[int], list[int]]:
 
 
 def chunk_rows(docs: DataFrame) -> DataFrame:
-    """(d1, d2, doc_id, no, lo, hi): digest, place and byte range of every chunk."""
+    """(d1, d2, doc_id, lo, hi): digest and byte range of every chunk."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for at in range(0, len(pdf), 500):
-                cols: dict[str, list] = {c: [] for c in ("d1", "d2", "doc_id", "no", "lo", "hi")}
+                cols: dict[str, list] = {c: [] for c in ("d1", "d2", "doc_id", "lo", "hi")}
                 for doc, text in zip(pdf["doc_id"][at : at + 500], pdf["text"][at : at + 500], strict=True):
                     ends, high, low = chunks(text.encode("utf-8", "surrogatepass"))
                     cols["d1"] += high
                     cols["d2"] += low
                     cols["doc_id"] += [doc] * len(ends)
-                    cols["no"] += range(len(ends))
                     cols["lo"] += [0, *ends[:-1].tolist()] if len(ends) else []
                     cols["hi"] += ends.tolist()
                 yield pd.DataFrame(cols)
 
     body = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return body.mapInPandas(run, "d1 long, d2 long, doc_id long, no int, lo int, hi int")
+    return body.mapInPandas(run, "d1 long, d2 long, doc_id long, lo int, hi int")
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, no, lo, hi, holder): chunks found in two documents or more; the first place is the holder."""
-    place = F.struct("doc_id", "no")
-    counted = chunk_rows(docs).groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    often = save(counted.where("first.doc_id <> last.doc_id").select("d1", "d2", "first"), "chunk-often")
+    """(doc_id, lo, hi, holder): chunks found in two documents or more; the first place is the holder."""
+    place = F.struct("doc_id", "lo")
+    counted = chunk_rows(docs).groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max("doc_id").alias("last"))
+    often = save(counted.where("first.doc_id <> last").select("d1", "d2", "first"), "chunk-often")
     met = chunk_rows(docs).join(often, ["d1", "d2"])
-    return met.select("doc_id", "no", "lo", "hi", (place == F.col("first")).alias("holder"))
+    return met.select("doc_id", "lo", "hi", (place == F.col("first")).alias("holder"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -128,20 +127,20 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         for pdf in batches:
             rows = []
             for doc, found in zip(pdf["doc_id"], pdf["found"], strict=True):
-                own = sorted({(f["no"], f["lo"], f["hi"], f["holder"]) for f in found})
+                own = sorted({(f["lo"], f["hi"], f["holder"]) for f in found})
                 at = 0
                 while at < len(own):
                     to = at + 1
-                    while to < len(own) and own[to][0] == own[to - 1][0] + 1:
+                    while to < len(own) and own[to][0] == own[to - 1][1]:
                         to += 1
                     part = own[at:to]
-                    if part[-1][2] - part[0][1] >= MIN_RUN:
-                        gone = [(p[1], p[2]) for p in part if not p[3]]
-                        rows.append((doc, part[0][1], part[-1][2], len(part), sum(h - lo for lo, h in gone), [x for g in gone for x in g]))
+                    if part[-1][1] - part[0][0] >= MIN_RUN:
+                        gone = [(p[0], p[1]) for p in part if not p[2]]
+                        rows.append((doc, part[0][0], part[-1][1], len(part), sum(h - lo for lo, h in gone), [x for g in gone for x in g]))
                     at = to
             yield pd.DataFrame(rows, columns=["doc_id", "span_start", "span_end", "n_chunks", "n_removed", "gone"])
 
-    per = repeated_chunks(docs).groupBy("doc_id").agg(F.collect_list(F.struct("no", "lo", "hi", "holder")).alias("found"))
+    per = repeated_chunks(docs).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi", "holder")).alias("found"))
     return per.mapInPandas(run, "doc_id long, span_start long, span_end long, n_chunks long, n_removed long, gone array<int>")
 
 
