@@ -24,26 +24,24 @@ def record_explode(pages: DataFrame, array_field: str, keep: list[str] | None =
     return pages.select(*[c(k) for k in keep], F.inline(c(array_field)))
 
 
-def flat_names(schema: T.StructType, prefix: str = "") -> list[tuple[str, str]]:
-    """(dotted output name, quoted source path) for every leaf of a nested schema.
+def leaves(schema: T.StructType, path: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], T.DataType]]:
+    """(path, type) of every leaf of a nested schema, a path being its field names from the top.
 
     Structs recurse; arrays, maps and scalars are leaves (lists stay one value).
     """
     out = []
     for f in schema.fields:
-        name = f"{prefix}{f.name}"
         if isinstance(f.dataType, T.StructType) and f.dataType.fields:
-            out.extend(flat_names(f.dataType, name + "."))
+            out.extend(leaves(f.dataType, (*path, f.name)))
         else:
-            out.append((name, name))
+            out.append(((*path, f.name), f.dataType))
     return out
 
 
-def _path(dotted: str) -> F.Column:
-    # a nested path: each level quoted on its own so dots inside names survive
-    parts = dotted.split(".")
-    col = F.col(q(parts[0]))
-    for p in parts[1:]:
+def _at(path: tuple[str, ...]) -> F.Column:
+    # field by field, so a dot inside a name is part of the name
+    col = F.col(q(path[0]))
+    for p in path[1:]:
         col = col.getField(p)
     return col
 
@@ -55,23 +53,14 @@ def record_flatten(records: DataFrame, json_lists: bool = True) -> DataFrame:
     objects is kept as one text value, as in the declared tables).
     """
     cols = []
-    for name, _ in flat_names(records.schema):
-        col = _path(name)
-        dtype = _leaf_type(records.schema, name)
+    for path, dtype in leaves(records.schema):
+        col = _at(path)
         if json_lists and isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
             col = F.to_json(col)
-        cols.append(col.alias(name))
+        cols.append(col.alias(".".join(path)))
     return records.select(*cols)
 
 
-def _leaf_type(schema: T.StructType, dotted: str) -> T.DataType:
-    dtype: T.DataType = schema
-    for p in dotted.split("."):
-        assert isinstance(dtype, T.StructType)
-        dtype = dtype[p].dataType
-    return dtype
-
-
 def conform_columns(df: DataFrame, schema: T.StructType | list[str]) -> DataFrame:
     """Exactly the listed columns, in order: missing -> typed null, extra -> dropped."""
     if isinstance(schema, T.StructType):

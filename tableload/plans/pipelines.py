@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.casts import c
 from ..operators.merge import assert_unique_keys, merge_upsert
 from ..schemas import DEMO_COLUMNS, DEMO_LITERAL_ROWS, DEMO_PARAMS, ObjectSpec
+from ..sources.literal import literal_source
 from ..sources.pages import daily_source, full_source
 from ..sources.stage import stage_and_load, stage_path
 from .buckets import publish_bucketed
@@ -35,17 +36,17 @@ LOAD_ERRORS = (PySparkException, Py4JJavaError, ValueError)
 class LoadPaths:
     """Where one run reads and writes, all under shared storage.
 
-    ``landing/<object>/full`` holds the full extract's pages,
-    ``landing/<object>/ds=<day>`` the day's pages; stages and table versions
-    go to their own roots.
+    ``landing/<object>/full/ds=<day>`` holds the full extract taken by the run
+    of that day, ``landing/<object>/ds=<day>`` the day's pages; stages and
+    table versions go to their own roots.
     """
 
     landing: str
     stage: str
     tables: str
 
-    def landing_full(self, obj: str) -> str:
-        return f"{self.landing}/{obj}/full"
+    def landing_full(self, obj: str, ds: str) -> str:
+        return f"{self.landing}/{obj}/full/ds={ds}"
 
     def landing_day(self, obj: str, ds: str) -> str:
         return f"{self.landing}/{obj}/ds={ds}"
@@ -124,10 +125,14 @@ def apply_day(spark: SparkSession, spec: ObjectSpec, typed_day: DataFrame, paths
     publish_spec(spark, spec, merged, table, root, merged=True)
 
 
-def full_load(spark: SparkSession, spec: ObjectSpec, paths: LoadPaths, table: str,
+def full_load(spark: SparkSession, spec: ObjectSpec, ds: str, paths: LoadPaths, table: str,
               since: str = "1970-01-01") -> LoadResult:
-    """Reload ``table`` from the full extract's pages (creates or resets it)."""
-    wire = full_source(spark, spec, paths.landing_full(spec.name), since)
+    """Reload ``table`` from the full extract that the run of ``ds`` took (creates or resets it).
+
+    Without that extract the load fails and the table stays as it is: an older
+    one would take back the days merged since.
+    """
+    wire = full_source(spark, spec, paths.landing_full(spec.name, ds), since)
     typed = stage_and_load(spark, wire, spec, stage_path(paths.stage, spec.name))
     publish_spec(spark, spec, typed, table, paths.table_root(table))
     return LoadResult(table, "full")
@@ -135,11 +140,11 @@ def full_load(spark: SparkSession, spec: ObjectSpec, paths: LoadPaths, table: st
 
 def load_with_fallback(spark: SparkSession, spec: ObjectSpec, ds: str, paths: LoadPaths, table: str,
                        zone: str = "UTC") -> LoadResult:
-    """Daily merge; on any load failure, a full reload. The error text is kept."""
+    """Daily merge; on any load failure, a full reload from the same run's extract. The error text is kept."""
     try:
         return incremental_load(spark, spec, ds, paths, table, zone)
     except LOAD_ERRORS as e:
-        res = full_load(spark, spec, paths, table)
+        res = full_load(spark, spec, ds, paths, table)
         res.error = f"{type(e).__name__}: {str(e).splitlines()[0][:500]}"
         return res
 
@@ -172,13 +177,9 @@ def load_all_objects(spark: SparkSession, specs: list[ObjectSpec], ds: str, path
 
 
 def demo_statements(ds: str, params: dict | None = None, extra: list[tuple[str, dict]] | None = None):
-    """The demo script: three literal rows and one row of bound values."""
+    """The demo script: the literal rows (frame ``demo_rows``) and one row of bound values."""
     params = params or DEMO_PARAMS
-    cols = ", ".join(DEMO_COLUMNS)
-    stmts = [
-        (f"SELECT * FROM VALUES (:a, :b, :c) AS t({cols})", {"a": a, "b": b, "c": c})
-        for a, b, c in DEMO_LITERAL_ROWS
-    ]
+    stmts = [("SELECT * FROM {demo_rows}", {})]
     stmts.append(
         (f"SELECT :value_1 AS col_1, :value_2 AS col_2, :ds AS col_3",
          {"value_1": params["value_1"], "value_2": params["value_2"], "ds": ds})
@@ -190,5 +191,6 @@ def script_load(spark: SparkSession, ds: str, table: str, root: str, params: dic
                 extra: list[tuple[str, dict]] | None = None,
                 sources: dict[str, DataFrame] | None = None) -> DataFrame:
     """Drop, create, insert literal and bound rows, commit once."""
+    sources = {"demo_rows": literal_source(spark, DEMO_LITERAL_ROWS, DEMO_COLUMNS), **(sources or {})}
     script_commit(spark, demo_statements(ds, params, extra), table, root, sources)
     return spark.table(table)

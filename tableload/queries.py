@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fixtures.landing import land_pages, nest, row_run, to_wire_text_times
+
 from .functions.casts import (
     c,
     day_start,
@@ -34,10 +36,9 @@ from .plans.pipelines import LoadPaths, full_load, incremental_load, load_all_ob
 from .plans.buckets import publish_bucketed
 from .plans.partitions import partition_value, publish_partitioned, upsert_partitions
 from .plans.tables import insert_rows, load_like, publish, table_like, table_recreate
-from .schemas import DEMO_COLUMNS, DEMO_PARAMS, ObjectSpec, parse_columns
+from .schemas import DEMO_COLUMNS, DEMO_LITERAL_ROWS, DEMO_PARAMS, ObjectSpec, object_spec, parse_columns
 from .session import scratch_dir
 from .streaming.landing import drain, stream_load
-from .sources.landing import land_pages, nest, row_run, to_wire_text_times
 from .sources.literal import bound_rows
 from .sources.pages import daily_source, page_source, page_stop, wire_records
 from .sources.stage import csv_stage_scan, csv_stage_write, stage_and_load, stage_path, typed_load
@@ -621,7 +622,7 @@ def q_dated_stage_path(spark, sf_dir):
     text = ev.select(*text_columns(EVENTS_FLAT), F.date_format("ts", "yyyy-MM-dd").alias("ds"))
     csv_stage_write(text, root, partition_by=["ds"])
     schema = EVENTS_FLAT.text_schema().add("ds", T.StringType())
-    day = csv_stage_scan(spark, root, schema).where(F.col("ds") == "2024-01-15")
+    day = csv_stage_scan(spark, root, schema, partition_by=["ds"]).where(F.col("ds") == "2024-01-15")
     return typed_load(day, EVENTS_FLAT)
 
 
@@ -660,21 +661,29 @@ def q_table_like(spark, sf_dir):
     return load_like(typed, schema)
 
 
+_INCR_DAY = "2024-01-16"
+
+
+def _other_days(flat: DataFrame, first: str = _INCR_DAY) -> DataFrame:
+    """All events but those from day ``first`` to the loaded day."""
+    return flat.where((F.col("ts") < day_start(first)) | (F.col("ts") >= end_of_day(_INCR_DAY)))
+
+
 @register("full_load", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def q_full_load(spark, sf_dir):
     paths, name = _paths(spark), _table_name("part")
-    _land(table(spark, sf_dir, "part"), PART, paths.landing_full("part"))
-    full_load(spark, PART, paths, name)
+    _land(table(spark, sf_dir, "part"), PART, paths.landing_full("part", _INCR_DAY))
+    full_load(spark, PART, _INCR_DAY, paths, name)
     return spark.table(name)
 
 
-_INCR_DAY = "2024-01-16"
 
 
 @register(
     "incremental_load",
     f"""
-SELECT {_events_nested_sql_cols()} FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'
+SELECT {_events_nested_sql_cols()} FROM events
+WHERE ts < TIMESTAMP '2024-01-15 00:00:00' OR ts >= TIMESTAMP '2024-01-17 00:00:00'
 UNION ALL
 SELECT event_id, ts + INTERVAL 1 DAY AS ts, event_type AS "actor.type", user_id AS "actor.user.id",
        value + 1 AS value, props
@@ -685,14 +694,13 @@ WHERE ts >= TIMESTAMP '2024-01-16 00:00:00' AND ts < TIMESTAMP '2024-01-17 00:00
 """,
 )
 def q_incremental_load(spark, sf_dir):
-    # full extract of everything before the day; then the day's pages: new
-    # events of 2024-01-16 plus the previous day's events re-sent on the day
-    # with value + 1 (same ids -> updated in place)
+    # full extract of every other day; then the day's pages: the events of
+    # 2024-01-16 plus the previous day's events re-sent on the day with
+    # value + 1 (same ids -> updated in place)
     paths, name = _paths(spark), _table_name("events")
     flat = events_flat(spark, sf_dir)
-    before = flat.where(F.col("ts") < day_start(_INCR_DAY))
-    _land(before, EVENTS, paths.landing_full("events"))
-    full_load(spark, EVENTS, paths, name)
+    _land(_other_days(flat), EVENTS, paths.landing_full("events", _INCR_DAY))
+    full_load(spark, EVENTS, _INCR_DAY, paths, name)
     new = daily_window(flat, "ts", _INCR_DAY)
     resent = daily_window(flat, "ts", "2024-01-15").select(
         "event_id",
@@ -712,7 +720,7 @@ def q_incremental_load(spark, sf_dir):
 def q_load_with_fallback(spark, sf_dir):
     # first run: no target table, so the daily merge fails and the full load builds it
     paths, name = _paths(spark), _table_name("customer")
-    _land(table(spark, sf_dir, "customer"), CUSTOMER, paths.landing_full("customer"))
+    _land(table(spark, sf_dir, "customer"), CUSTOMER, paths.landing_full("customer", _INCR_DAY))
     res = load_with_fallback(spark, CUSTOMER, _INCR_DAY, paths, name)
     return spark.table(name).withColumn("branch", F.lit(res.branch))
 
@@ -720,37 +728,49 @@ def q_load_with_fallback(spark, sf_dir):
 @register(
     "load_all_objects",
     """
-SELECT 'customer' AS object, count(*) AS n_rows FROM customer
-UNION ALL SELECT 'supplier' AS object, count(*) AS n_rows FROM supplier
-UNION ALL SELECT 'part' AS object, count(*) AS n_rows FROM part
+SELECT 'customer' AS object, 'full' AS branch, c_custkey AS id, c_name AS name, c_acctbal AS amount FROM customer
+UNION ALL SELECT 'part', 'full', p_partkey, p_name, p_retailprice FROM part
+UNION ALL SELECT 'events', 'daily', event_id, event_type,
+  CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' AND ts < TIMESTAMP '2024-01-17 00:00:00' THEN value + 1 ELSE value END
+FROM events
 """,
 )
 def q_load_all_objects(spark, sf_dir):
+    # customer and part have no table yet and load in full; events holds all
+    # days, and the day's pages (value + 1) are merged into it
     paths = _paths(spark)
-    specs = [CUSTOMER, SUPPLIER, PART]
-    for spec in specs:
-        _land(table(spark, sf_dir, spec.name), spec, paths.landing_full(spec.name))
+    specs = [CUSTOMER, PART, EVENTS]
     names = {spec.name: _table_name(spec.name) for spec in specs}
+    flat = events_flat(spark, sf_dir)
+    frames = {"customer": table(spark, sf_dir, "customer"), "part": table(spark, sf_dir, "part"), "events": flat}
+    for spec in specs:
+        _land(frames[spec.name], spec, paths.landing_full(spec.name, _INCR_DAY))
+    full_load(spark, EVENTS, _INCR_DAY, paths, names["events"])
+    day = daily_window(flat, "ts", _INCR_DAY).withColumn("value", F.col("value") + 1)
+    _land(day, EVENTS, paths.landing_day("events", _INCR_DAY))
     results = load_all_objects(spark, specs, _INCR_DAY, paths, table_of=lambda s: names[s.name])
     failed = {k: r.error for k, r in results.items() if r.branch == "failed"}
     if failed:
         raise RuntimeError(f"loads failed: {failed}")
-    counts = [
-        spark.table(names[s.name]).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(s.name).alias("object"), "n_rows"
+    shown = {"customer": ("c_custkey", "c_name", "c_acctbal"), "part": ("p_partkey", "p_name", "p_retailprice"),
+             "events": ("event_id", "actor.type", "value")}
+    return union_pages([
+        spark.table(names[o]).select(
+            F.lit(o).alias("object"), F.lit(results[o].branch).alias("branch"),
+            *[c(n).alias(a) for n, a in zip(cols, ("id", "name", "amount"))],
         )
-        for s in specs
-    ]
-    return union_pages(counts)
+        for o, cols in shown.items()
+    ])
+
+
+def _sql_rows(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" for v in r) + ")" for r in rows)
 
 
 @register(
     "script_load",
     f"""
-SELECT * FROM (VALUES ('hard-coded-value-1', 'hard-coded-value-2', 'hard-coded-value-3'),
-                      ('hard-coded-value-4', 'hard-coded-value-5', 'hard-coded-value-6'),
-                      ('hard-coded-value-7', 'hard-coded-value-8', 'hard-coded-value-9'),
-                      ('parameter-value-1', 'parameter-value-2', '{_INCR_DAY}')) AS t(col_1, col_2, col_3)
+SELECT * FROM (VALUES {_sql_rows([*DEMO_LITERAL_ROWS, (*DEMO_PARAMS.values(), _INCR_DAY)])}) AS t({", ".join(DEMO_COLUMNS)})
 UNION ALL
 SELECT c_name AS col_1, 'parameter-value-1' AS col_2, '{_INCR_DAY}' AS col_3 FROM customer
 """,
@@ -768,14 +788,14 @@ def q_script_load(spark, sf_dir):
 
 @register("incremental_stream", ORACLE["incremental_load"])
 def q_incremental_stream(spark, sf_dir):
-    # three fetches land one after the other in a watched folder: everything
-    # before 2024-01-15, then the 15th, then the 16th with the 15th re-sent
-    # (value + 1). The stream merges them fetch by fetch, in landing order.
+    # three fetches land one after the other in a watched folder: every other
+    # day, then the 15th, then the 16th with the 15th re-sent (value + 1).
+    # The stream folds them in landing order; each is a folder of files.
     paths, name = _paths(spark), _table_name("events")
     watched = f"{paths.landing}/events/stream"
     flat = events_flat(spark, sf_dir)
     fetches = [
-        flat.where(F.col("ts") < day_start("2024-01-15")),
+        _other_days(flat, "2024-01-15"),
         daily_window(flat, "ts", "2024-01-15"),
         daily_window(flat, "ts", _INCR_DAY).unionByName(
             daily_window(flat, "ts", "2024-01-15").select(
@@ -789,8 +809,7 @@ def q_incremental_stream(spark, sf_dir):
         ),
     ]
     for i, recs in enumerate(fetches):
-        # each writer task lands its own run of pages as one file, so no fetch
-        # passes through a single task; the last page's file carries the stop
+        # each writer task lands its own file of the fetch's folder
         wire = nest(to_wire_text_times(recs))
         land_pages(wire, EVENTS.name, f"{watched}/fetch={i:06d}", F.floor(c(EVENTS.key) / PAGE_SIZE))
     return drain(spark, stream_load(spark, EVENTS, watched, paths, name), name)
@@ -821,8 +840,8 @@ def q_incremental_load_partitioned(spark, sf_dir):
     spec = EVENTS.with_partition("ds", "ts", "yyyy-MM-dd")
     paths, name = _paths(spark), _table_name("events")
     flat = events_flat(spark, sf_dir)
-    _land(flat.where(F.col("ts") < day_start(_INCR_DAY)), spec, paths.landing_full("events"))
-    full_load(spark, spec, paths, name)
+    _land(_other_days(flat), spec, paths.landing_full("events", _INCR_DAY))
+    full_load(spark, spec, _INCR_DAY, paths, name)
     resent = daily_window(flat, "ts", "2024-01-15").select(
         "event_id",
         F.timestamp_add("DAY", F.lit(1), F.col("ts")).alias("ts"),
@@ -847,9 +866,47 @@ WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00
 def q_daily_source(spark, sf_dir):
     # every landed page is read; the day's records are kept by their clock
     root = _land(events_flat(spark, sf_dir), EVENTS, scratch_dir(spark, "pages"))
+    return daily_source(spark, EVENTS, root, "2024-01-15", by_clock=True).select(*table_columns_from_wire(EVENTS))
+
+
+@register(
+    "daily_source_response",
+    """
+SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE ts END AS ts, event_type AS "actor.type",
+       user_id AS "actor.user.id", value, props
+FROM events
+""",
+)
+def q_daily_source_response(spark, sf_dir):
+    # the day's own landing: every record is the day's, with a clock outside the day or none
+    flat = events_flat(spark, sf_dir).withColumn("ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
+    root = _land(flat, EVENTS, scratch_dir(spark, "pages"))
     return daily_source(spark, EVENTS, root, "2024-01-15").select(*table_columns_from_wire(EVENTS))
 
 
+@register("csv_stage_exact", "SELECT doc_id, '  ' || text || chr(9) || ' ' || chr(10) AS text, lang, source, n_chars FROM documents")
+def q_csv_stage_exact(spark, sf_dir):
+    # blank space and a line break at the ends of a text come back as they were
+    docs = conform_columns(table(spark, sf_dir, "documents"), DOCUMENTS.table_schema())
+    docs = docs.withColumn("text", F.concat(F.lit("  "), "text", F.lit("\t \n")))
+    return stage_and_load(spark, docs, DOCUMENTS, scratch_dir(spark, "stage"))
+
+
+@register("object_guard", "SELECT c_custkey AS id, c_name AS name, CAST(c_nationkey AS BIGINT) AS organization_id FROM customer")
+def q_object_guard(spark, sf_dir):
+    # customers as users, loaded by object name; a name that is not known is refused
+    try:
+        object_spec("invoices")
+    except ValueError:
+        spec = object_spec("users")
+    paths, name = _paths(spark), _table_name("users")
+    users = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("organization_id"))
+    _land(users, spec, paths.landing_full(spec.name, _INCR_DAY))
+    full_load(spark, spec, _INCR_DAY, paths, name)
+    return spark.table(name).select("id", "name", "organization_id")
+
+
 @register("merge_bucketed", _MERGE_CTE + _MERGE_BODY)
 def q_merge_bucketed(spark, sf_dir):
     # orders stored in 16 hash buckets of the key: a day too big to broadcast

@@ -3,21 +3,22 @@
 A spec is an ordered list of flat (possibly dotted) column names, each with a
 *kind* that fixes three things at once:
 
-* the wire type used when reading page JSON (explicit schema, never inferred),
+* the wire type used when reading page JSON (explicit schema, never inferred;
+  text for every scalar),
 * the declared table type after ``typed_load``,
 * the text form used in the CSV stage.
 
 Kinds:
 
-``bigint``   ids and counts; wire bigint, text may be ``123`` or ``123.0``
+``bigint``   ids and counts; text may be ``123`` or ``123.0``
 ``int``      32-bit whole numbers, same text rule
-``double``   wire double
+``double``   double
 ``string``   text, optional length rule
 ``json``     a list of objects kept as its JSON text (wire string: Spark keeps
              the raw JSON of a non-string token when the field is a string)
 ``ntz``      ISO date-time text on the wire, ``timestamp_ntz`` in the table
 ``epoch``    epoch seconds on the wire, ``timestamp_ntz`` in the table
-``boolean``  wire boolean
+``boolean``  boolean
 ``array<bigint>``, ``array<string>``  lists; JSON text in the stage
 """
 
@@ -40,15 +41,8 @@ KINDS = (
     "array<string>",
 )
 
-_WIRE = {
-    "bigint": T.LongType(),
-    "int": T.IntegerType(),
-    "double": T.DoubleType(),
-    "string": T.StringType(),
-    "json": T.StringType(),
-    "ntz": T.StringType(),
-    "epoch": T.LongType(),
-    "boolean": T.BooleanType(),
+# scalars are read as text, whatever token the page holds (123, "123", 123.0), and cast by the typed load
+_WIRE = {k: T.StringType() for k in KINDS if not k.startswith("array<")} | {
     "array<bigint>": T.ArrayType(T.LongType()),
     "array<string>": T.ArrayType(T.StringType()),
 }
@@ -122,6 +116,15 @@ class ObjectSpec:
             raise ValueError(f"partition source {source!r} is not a {self.name} column")
         return replace(self, partition=(name, source, pattern))
 
+    def with_custom_fields(self, parent: str, fields: dict[str, tuple[str, int | None]]) -> "ObjectSpec":
+        """Add one tenant's own fields, ``parent.name`` columns of (kind, max length), in order.
+
+        They are configuration of the caller: the shipped specs hold the
+        columns every tenant has.
+        """
+        own = tuple(Col(f"{parent}.{name}", kind, max_len) for name, (kind, max_len) in fields.items())
+        return replace(self, columns=self.columns + own)
+
     def with_buckets(self, n: int) -> "ObjectSpec":
         if n < 1:
             raise ValueError("bucket count must be positive")
@@ -135,8 +138,8 @@ class ObjectSpec:
         """Nested wire schema of one record, built from the dotted names.
 
         A name that is also the prefix of other names (``photo`` next to
-        ``photo.url``) is read as the struct; the flat ``photo`` column then
-        stays null after conforming.
+        ``photo.url``) is read as its JSON text, which may be an object or a
+        plain value (``wire_records`` takes it apart).
         """
         tree: dict = {}
         leaves: dict[tuple[str, ...], T.DataType] = {}
@@ -159,7 +162,7 @@ class ObjectSpec:
             fields = []
             for key, child in node.items():
                 path = prefix + (key,)
-                if child:
+                if child and path not in leaves:
                     fields.append(T.StructField(key, build(child, path), True))
                 else:
                     fields.append(T.StructField(key, leaves[path], True))
@@ -167,6 +170,15 @@ class ObjectSpec:
 
         return build(tree, ())
 
+    def text_or_object(self) -> dict[str, T.StructType]:
+        """Columns that are a value or an object on the wire, with the object's schema."""
+        out = {}
+        for name in self.names:
+            inner = [c for c in self.columns if c.name.startswith(name + ".")]
+            if inner:
+                out[name] = T.StructType([T.StructField(c.name[len(name) + 1 :], _WIRE[c.kind], True) for c in inner])
+        return out
+
     def envelope_schema(self) -> T.StructType:
         """One landed page: the record array, the link, the stop flag.
 
@@ -273,13 +285,6 @@ notes string
 group_id bigint
 tags array<string>
 deleted_at ntz
-organization_fields.account_manager string 256
-organization_fields.airflow_expertise string 256
-organization_fields.astronomer_product string 256
-organization_fields.cloud_provider string 256
-organization_fields.customer_health string 256
-organization_fields.infra_expertise string 256
-organization_fields.support_level string 256
 """
 )
 
@@ -338,7 +343,7 @@ permanently_deleted boolean
 """
 )
 
-TICKETS = ObjectSpec("tickets", TICKET_COLUMNS, link_field="after_cursor")
+TICKETS = ObjectSpec("tickets", TICKET_COLUMNS, link_field="after_cursor", time_column="generated_timestamp")
 ORGANIZATIONS = ObjectSpec("organizations", ORGANIZATION_COLUMNS)
 USERS = ObjectSpec("users", USER_COLUMNS)
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.casts import c, day_start, end_of_day, from_epoch
+from ..functions.casts import c, day_start, end_of_day, typed_value
 from ..operators.flatten import conform_columns, record_explode, record_flatten
 from ..schemas import ObjectSpec, _WIRE
 
@@ -63,11 +63,25 @@ def page_stop(pages: DataFrame) -> DataFrame:
     return pages.where(stop.isNull() | (F.col("page") <= stop))
 
 
+def flat_records(pages: DataFrame, spec: ObjectSpec, keep: list[str] | None = None) -> DataFrame:
+    """Pages -> records with dotted columns, and the page columns in ``keep``.
+
+    A column that is an object in one record and a plain value in the next
+    (``photo``) gives its dotted columns in the first and its own in the second.
+    """
+    records = record_explode(pages, spec.name, keep)
+    for name, schema in spec.text_or_object().items():
+        is_object = c(name).startswith("{")
+        records = records.withColumns(
+            {f"__tl_{name}": F.when(is_object, F.from_json(c(name), schema)), name: F.when(~is_object, c(name))}
+        )
+    flat = record_flatten(records)
+    return flat.withColumnsRenamed({n: n.removeprefix("__tl_") for n in flat.columns if "." in n and n.startswith("__tl_")})
+
+
 def wire_records(pages: DataFrame, spec: ObjectSpec) -> DataFrame:
     """Pages -> flat records in the spec's column list, wire types."""
-    records = record_explode(pages, spec.name)
-    flat = record_flatten(records)
-    return conform_columns(flat, wire_schema(spec))
+    return conform_columns(flat_records(pages, spec), wire_schema(spec))
 
 
 def wire_schema(spec: ObjectSpec) -> T.StructType:
@@ -75,11 +89,8 @@ def wire_schema(spec: ObjectSpec) -> T.StructType:
 
 
 def record_time(spec: ObjectSpec) -> Column:
-    """The record clock as ``timestamp_ntz`` from its wire form."""
-    kind = spec.kind(spec.time_column)
-    if kind == "epoch":
-        return from_epoch(c(spec.time_column))
-    return c(spec.time_column).cast("timestamp_ntz")
+    """The record clock as ``timestamp_ntz`` from its wire text; a bad clock fails the load."""
+    return typed_value(c(spec.time_column), spec.kind(spec.time_column), spec.time_column)
 
 
 def day_bounds(ds: str, zone: str = "UTC") -> tuple[Column, Column]:
@@ -107,12 +118,20 @@ def full_source(spark: SparkSession, spec: ObjectSpec, path: str, since: str = "
 
 
 def daily_source(spark: SparkSession, spec: ObjectSpec, path: str, ds: str, zone: str = "UTC",
-                 multi_line: bool = False) -> DataFrame:
-    """One day's records (all pages of the day, not just the first)."""
-    if spec.time_column is None:
-        raise ValueError(f"{spec.name} has no clock column; it can only be loaded in full")
+                 multi_line: bool = False, by_clock: bool = False) -> DataFrame:
+    """One day's records (all pages of the day, not just the first).
+
+    ``path`` is the day's own landing: its response is the day, so every record
+    is kept, whatever its clock says. ``by_clock`` is for a landing that is not
+    split by day: records are kept by their clock (those without one too,
+    since they cannot be placed elsewhere).
+    """
     pages = page_stop(page_source(spark, spec, path, multi_line))
     recs = wire_records(pages, spec)
+    if not by_clock:
+        return recs
+    if spec.time_column is None:
+        raise ValueError(f"{spec.name} has no clock column; its landing must be split by day")
     lo, hi = day_bounds(ds, zone)
     t = record_time(spec)
-    return recs.where((t >= lo) & (t < hi))
+    return recs.where(t.isNull() | ((t >= lo) & (t < hi)))

@@ -1,13 +1,12 @@
 """CSV stage: write the conformed text frame, scan it back by position.
 
 Format: ``,`` delimiter, ``"`` quoting with ``""`` as the escaped quote,
-header line, records may span lines (text with newlines). Reading uses
-``multiLine`` (else embedded newlines split records), ``FAILFAST`` (a bad
-value fails instead of becoming null) and ``enforceSchema=False`` (the header
-must match the column contract, so swapped columns fail instead of loading
-into the wrong place). ``multiLine`` makes each file one task, so the writer
-caps rows per file from the contract's row width (``stage_records_per_file``)
-to keep files, and so tasks, bounded.
+header line, one record a line: line breaks inside a value are written as
+escapes (``\\n``, ``\\r``; a backslash as ``\\s``) and put back by the scan, so
+files split by byte range and a task's size does not follow a file's. Reading
+uses ``FAILFAST`` (a bad value fails instead of becoming null) and
+``enforceSchema=False`` (the header must match the column contract, so swapped
+columns fail instead of loading into the wrong place).
 
 An empty string and a null both read back as null (the staged CSV cannot
 tell them apart).
@@ -15,30 +14,30 @@ tell them apart).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.casts import text_columns, typed_columns
+from ..functions.casts import c, text_columns, typed_columns
 from ..schemas import ObjectSpec
 
-CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
-MAX_RECORDS_PER_FILE = 500_000
-MIN_RECORDS_PER_FILE = 1_000
-STAGE_FILE_BYTES = 512 << 20
-# bytes one value of a kind takes in the CSV text, at most (unsized text: a guess)
-_TEXT_WIDTH = {"bigint": 21, "int": 12, "double": 25, "boolean": 6, "ntz": 28, "epoch": 21,
-               "array<bigint>": 512, "array<string>": 512, "string": 4096, "json": 4096}
+# blank space and line breaks at the ends of a value are data: neither side may trim them
+CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"',
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# in this order for writing, in the opposite one for reading
+_ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
 
 
-def stage_records_per_file(spec: ObjectSpec, target_bytes: int = STAGE_FILE_BYTES) -> int:
-    """Rows per stage file so a file stays near ``target_bytes`` or below.
+def _one_line(x: Column) -> Column:
+    for raw, written in _ESCAPES:
+        x = F.replace(x, F.lit(raw), F.lit(written))
+    return x
 
-    A ``multiLine`` CSV file is read by one task, so file size is task size.
-    The row width is an upper bound from the declared lengths (a sized text
-    column counts its limit), so real files come out smaller, never larger.
-    """
-    width = sum((col.max_len or _TEXT_WIDTH[col.kind]) + 3 for col in spec.columns)
-    return max(MIN_RECORDS_PER_FILE, min(MAX_RECORDS_PER_FILE, target_bytes // max(1, width)))
+
+def _as_it_was(x: Column) -> Column:
+    for raw, written in reversed(_ESCAPES):
+        x = F.replace(x, F.lit(written), F.lit(raw))
+    return x
 
 
 def stage_path(root: str, obj: str, ds: str | None = None) -> str:
@@ -50,33 +49,33 @@ def to_stage_text(conformed: DataFrame, spec: ObjectSpec) -> DataFrame:
     return conformed.select(*text_columns(spec))
 
 
-def csv_stage_write(text: DataFrame, path: str, partition_by: list[str] | None = None,
-                    max_records_per_file: int = MAX_RECORDS_PER_FILE) -> str:
+def csv_stage_write(text: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     """Write the stage, replacing what was there.
 
     A stage split by ``partition_by`` (one folder per day) is first clustered
     by those columns (``rebalance`` hint: AQE coalesces small days and splits a
     big one), so each day gets a few files rather than one per task.
     """
+    text = text.select(*[c(n) if n in (partition_by or ()) else _one_line(c(n)).alias(n) for n in text.columns])
     if partition_by:
         text = text.hint("rebalance", *partition_by)
-    w = text.write.mode("overwrite").options(**CSV_OPTIONS).option("maxRecordsPerFile", max_records_per_file)
+    w = text.write.mode("overwrite").options(**CSV_OPTIONS)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
     return path
 
 
-def csv_stage_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a stage as text columns, header checked against ``schema``."""
-    return (
+def csv_stage_scan(spark: SparkSession, path: str, schema: T.StructType, partition_by: list[str] | None = None) -> DataFrame:
+    """Read a stage as text columns, header checked against ``schema``; ``partition_by`` as in the write."""
+    rows = (
         spark.read.schema(schema)
         .options(**CSV_OPTIONS)
-        .option("multiLine", "true")
         .option("mode", "FAILFAST")
         .option("enforceSchema", "false")
         .csv(path)
     )
+    return rows.select(*[c(n) if n in (partition_by or ()) else _as_it_was(c(n)).alias(n) for n in rows.columns])
 
 
 def typed_load(text: DataFrame, spec: ObjectSpec) -> DataFrame:
@@ -86,5 +85,5 @@ def typed_load(text: DataFrame, spec: ObjectSpec) -> DataFrame:
 
 def stage_and_load(spark: SparkSession, conformed: DataFrame, spec: ObjectSpec, path: str) -> DataFrame:
     """Conformed frame -> CSV stage at ``path`` -> typed frame read back."""
-    csv_stage_write(to_stage_text(conformed, spec), path, max_records_per_file=stage_records_per_file(spec))
+    csv_stage_write(to_stage_text(conformed, spec), path)
     return typed_load(csv_stage_scan(spark, path, spec.text_schema()), spec)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tableload.operators.flatten import record_flatten
 from tableload.plans.pipelines import LoadPaths
 from tableload.schemas import Col, ObjectSpec, parse_columns
-from tableload.sources.landing import land_pages, nest, to_wire_text_times
+from fixtures.landing import land_pages, nest, to_wire_text_times
 from tableload.sources.pages import page_source, page_stop, wire_records
 from tableload.sources.stage import csv_stage_scan, csv_stage_write, typed_load
 
@@ -55,7 +55,7 @@ def test_pages_bounded_and_flagged(spark, tmp_root):
     recs = wire_records(page_stop(pages), SPEC)
     assert recs.count() == 2000
     r = recs.where("id = 7").collect()[0]
-    assert r["at"] == "2024-01-01T00:00:07.123456" and r["a.c.d"] == 14  # micros kept on the wire
+    assert r["at"] == "2024-01-01T00:00:07.123456" and r["a.c.d"] == "14"  # micros kept on the wire
 
 
 def test_pandas_style_booleans_and_epochs(spark, tmp_root):
@@ -69,7 +69,7 @@ def test_pandas_style_booleans_and_epochs(spark, tmp_root):
 
 def test_load_paths_layout():
     p = LoadPaths(landing="s3a://b/landing", stage="s3a://b/stage", tables="s3a://b/tables")
-    assert p.landing_full("users") == "s3a://b/landing/users/full"
+    assert p.landing_full("users", "2024-01-16") == "s3a://b/landing/users/full/ds=2024-01-16"
     assert p.landing_day("users", "2024-01-16") == "s3a://b/landing/users/ds=2024-01-16"
     assert p.table_root("users") == "s3a://b/tables/users"
 

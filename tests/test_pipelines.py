@@ -36,7 +36,7 @@ def name():
 
 
 def land_full(root, pages):
-    return write_pages(f"{root}/landing/tickets", "full", pages)
+    return write_pages(f"{root}/landing/tickets/full", "ds=2024-01-16", pages)
 
 
 def land_day(root, ds, pages):
@@ -64,7 +64,7 @@ def test_first_run_falls_back_then_daily_merges(spark, tmp_root):
     res = load_with_fallback(spark, TICKETS, "2024-01-16", p, t)
     assert res.branch == "daily" and res.error is None
     got = {r["id"]: r for r in spark.table(t).collect()}
-    assert sorted(got) == [1, 2, 3, 4, 5]  # 6 is the next day
+    assert sorted(got) == [1, 2, 3, 4, 5, 6]  # the day's response is the day, whatever a clock says
     assert got[2]["status"] is None and got[2]["subject"] == "changed"  # null overwrites
     assert got[3]["status"] == "solved"
     assert got[4]["collaborator_ids"] == [1, 2] and got[4]["via.source.from.name"] == "A"
@@ -75,7 +75,7 @@ def test_bad_day_value_resets_from_full(spark, tmp_root):
     p, t = paths_under(tmp_root), name()
     land_full(tmp_root, [{"tickets": [ticket(1, "2024-01-10T00:00:00Z")], "after_cursor": "c",
                           "end_of_stream": True, "page": 1}])
-    full_load(spark, TICKETS, p, t)
+    full_load(spark, TICKETS, "2024-01-16", p, t)
     land_day(tmp_root, "2024-01-16", [{"tickets": [ticket(2, "2024-01-16T01:00:00Z", subject="s" * 300)],
                                        "after_cursor": "c", "end_of_stream": True, "page": 1}])
     res = load_with_fallback(spark, TICKETS, "2024-01-16", p, t)
@@ -87,7 +87,7 @@ def test_duplicate_day_ids_fail_daily(spark, tmp_root):
     p, t = paths_under(tmp_root), name()
     land_full(tmp_root, [{"tickets": [ticket(1, "2024-01-10T00:00:00Z")], "after_cursor": "c",
                           "end_of_stream": True, "page": 1}])
-    full_load(spark, TICKETS, p, t)
+    full_load(spark, TICKETS, "2024-01-16", p, t)
     land_day(tmp_root, "2024-01-16", [{"tickets": [ticket(7, "2024-01-16T01:00:00Z"), ticket(7, "2024-01-16T02:00:00Z")],
                                        "after_cursor": "c", "end_of_stream": True, "page": 1}])
     with pytest.raises(ValueError, match="duplicate id"):
@@ -121,15 +121,16 @@ def test_failed_publish_keeps_old_version(spark, tmp_root):
 
 def test_load_all_objects(spark, tmp_root):
     p = paths_under(tmp_root)
-    write_pages(f"{tmp_root}/landing/tickets", "full",
+    write_pages(f"{tmp_root}/landing/tickets/full", "ds=2024-01-16",
                 [{"tickets": [ticket(1, "2024-01-10T00:00:00Z")], "after_cursor": "c", "end_of_stream": True, "page": 1}])
-    write_pages(f"{tmp_root}/landing/organizations", "full",
+    write_pages(f"{tmp_root}/landing/organizations/full", "ds=2024-01-16",
                 [{"organizations": [{"id": 5, "name": "Org", "domain_names": ["a.io"],
                                      "organization_fields": {"support_level": "gold"}}],
                   "next_page": None, "end_of_stream": True, "page": 1}])
     # users: no pages landed at all -> that object fails, others still load
     names = {s.name: f"{s.name}_{uuid.uuid4().hex[:8]}" for s in (TICKETS, ORGANIZATIONS, USERS)}
-    res = load_all_objects(spark, [TICKETS, ORGANIZATIONS, USERS], "2024-01-16", p, table_of=lambda s: names[s.name])
+    org_spec = ORGANIZATIONS.with_custom_fields("organization_fields", {"support_level": ("string", 256)})
+    res = load_all_objects(spark, [TICKETS, org_spec, USERS], "2024-01-16", p, table_of=lambda s: names[s.name])
     assert res["tickets"].branch == "full" and res["organizations"].branch == "full"
     assert res["users"].branch == "failed"
     org = spark.table(names["organizations"]).collect()[0]
@@ -175,3 +176,15 @@ def test_partitioned_tickets_rewrite_only_touched_months(spark, tmp_root):
     assert got[4]["created_month"] == "2024-01"
     assert files("2023-11") == before["2023-11"]  # untouched month keeps its files
     assert files("2023-12") != before["2023-12"] and files("2024-01") != before["2024-01"]
+
+
+def test_stale_full_extract_is_not_taken(spark, tmp_root):
+    """A day that was not landed fails, and the table keeps the days merged since the last full extract."""
+    p, t = paths_under(tmp_root), name()
+    land_full(tmp_root, [{"tickets": [ticket(1, "2024-01-10T00:00:00Z")], "after_cursor": "c", "end_of_stream": True, "page": 1}])
+    full_load(spark, TICKETS, "2024-01-16", p, t)
+    land_day(tmp_root, "2024-01-16", [{"tickets": [ticket(2, "2024-01-16T01:00:00Z")], "after_cursor": "c", "end_of_stream": True, "page": 1}])
+    assert load_with_fallback(spark, TICKETS, "2024-01-16", p, t).branch == "daily"
+    with pytest.raises(LOAD_ERRORS):
+        load_with_fallback(spark, TICKETS, "2024-01-17", p, t)
+    assert sorted(r["id"] for r in spark.table(t).collect()) == [1, 2]
