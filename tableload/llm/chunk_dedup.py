@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from tableload.llm.common import save, text_of
 
 MIN_BYTES = 8
-MAX_BYTES = 96
-#: A cut where this many top bits of the hash are zero: 32 bytes apart on average, beyond the least distance.
-CUT_BITS = 5
+MAX_BYTES = 64
+#: A cut where this many top bits of the hash are zero: 16 bytes apart on average, beyond the least distance.
+CUT_BITS = 4
 #: Bytes a run of repeated chunks needs to be a repeated span.
 MIN_RUN = 96
 
