@@ -17,10 +17,9 @@ first size - T + l (``l`` the smaller of the two documents' own choice).
    large, become connected by a linear number of checks.
 5. ``search`` (DivideSkip): a document's rare prefix lists (at most
    ``SHORT_LIST`` entries) are heap-merged, keeping the partners that occur
-   often enough; the long lists are not merged. Partners in the same component
-   need no check. Partners met in long lists only are found by block: the list
-   in blocks of ``SHORT_LIST`` against its later blocks, again only across
-   components.
+   often enough, given the pair's own T and the long lists left out. Partners
+   in the same component need no check. Partners met in long lists only are
+   found by block, from their rarest tokens and only across components.
 6. ``check``: a candidate's tokens are binary-probed in the partner's sorted
    set, which decides exactly.
 
@@ -165,10 +164,10 @@ def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def ranked_sets(sets: DataFrame) -> DataFrame:
-    """(doc_id, size, need, prefix array<long>) of documents that still can link.
+    """(doc_id, size, shared, prefix array<long>) of documents that still can link.
 
-    ``prefix`` is the rarest-first part of the set that step 5 searches, without
-    the tokens nobody else has; ``need`` the tokens of it a partner shares.
+    ``shared`` counts the tokens someone else has; ``prefix`` is the rarest-first
+    part of the set that step 5 searches, without the tokens nobody else has.
     """
     rows = sets.select("doc_id", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
     shared = rows.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1")
@@ -178,7 +177,7 @@ def ranked_sets(sets: DataFrame) -> DataFrame:
     own = search_need(F.col("size"))
     length = F.col("size") - t + own - (F.col("size") - F.size("ranked"))
     prefix = F.transform(F.slice("ranked", F.lit(1), length), lambda x: x["token"])
-    return per.select("doc_id", "size", F.least(own, search_need(t)).alias("need"), prefix.alias("prefix"))
+    return per.select("doc_id", "size", F.size("ranked").alias("shared"), prefix.alias("prefix"))
 
 
 def search_need(size: Column) -> Column:
@@ -186,9 +185,14 @@ def search_need(size: Column) -> Column:
     return F.greatest(F.lit(1), F.least(F.ceil(size / 32), F.ceil(size * NUM / DEN))).cast("int")
 
 
-def fits(a: str, b: str) -> Column:
-    """Two set sizes that a link allows."""
-    return (F.col(a) * DEN >= F.col(b) * NUM) & (F.col(b) * DEN >= F.col(a) * NUM)
+def may_link(size_a: str, shared_a: str, size_b: str, shared_b: str) -> Column:
+    """Whether two sets can link by their sizes and by how many of their tokens anyone shares.
+
+    Neither overlaps more than the tokens it shares with anyone, and a link
+    overlaps at least NUM / (NUM + DEN) of both sizes together.
+    """
+    both = F.least(size_a, shared_a, size_b, shared_b)
+    return both * (NUM + DEN) >= (F.col(size_a) + F.col(size_b)) * NUM
 
 
 def check(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -212,68 +216,97 @@ def check(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def star_links(ranked: DataFrame) -> DataFrame:
     """(a, b) candidates: for each document the two leaders (smallest doc_id of a list) it meets in most lists."""
-    rows = ranked.select("doc_id", "size", F.explode("prefix").alias("token"))
-    lead = rows.groupBy("token").agg(F.min(F.struct("doc_id", "size")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = rows.join(save(lead.select("token", "lead.*").withColumnsRenamed({"doc_id": "a", "size": "a_size"}), "jaccard-lead"), "token")
-    met = met.where(F.col("doc_id") > F.col("a")).where(fits("size", "a_size")).groupBy("a", F.col("doc_id").alias("b")).agg(F.count(F.lit(1)).alias("met"))
+    rows = ranked.select("doc_id", "size", "shared", F.explode("prefix").alias("token"))
+    lead = rows.groupBy("token").agg(F.min(F.struct("doc_id", "size", "shared")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = rows.join(save(lead.select("token", "lead.*").toDF("token", "a", "a_size", "a_shared"), "jaccard-lead"), "token")
+    met = met.where(F.col("doc_id") > F.col("a")).where(may_link("size", "shared", "a_size", "a_shared")).groupBy("a", F.col("doc_id").alias("b")).agg(F.count(F.lit(1)).alias("met"))
     best = met.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("met", "a")), asc=False), 1, 2).alias("best"))
     return best.select(F.explode("best.a").alias("a"), "b")
 
 
-def merged(lists: list[np.ndarray], need: int) -> list[int]:
-    """Heap-merge sorted lists: the values that occur at least ``need`` times."""
-    return [v for v, same in groupby(heapq.merge(*lists)) if sum(1 for _ in same) >= need]
+def merged(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Heap-merge sorted lists: the distinct values and how often each occurs."""
+    met = [(v, sum(1 for _ in same)) for v, same in groupby(heapq.merge(*(x.tolist() for x in lists)))]
+    return np.array([v for v, _ in met], dtype=np.int64), np.array([k for _, k in met], dtype=np.int64)
+
+
+def pair_overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """T of a pair: the least overlap of two linked sets of these sizes."""
+    return -(-NUM * (a + b) // (NUM + DEN))
+
+
+def searched(size: np.ndarray) -> np.ndarray:
+    """Tokens of a set that step 5 searches (``ranked_sets``), those that nobody else has included."""
+    t = -(-NUM * size // DEN)
+    return size - t + np.maximum(1, np.minimum(-(-size // 32), t))
+
+
+def heap_search(mine: DataFrame) -> DataFrame:
+    """(a, b): partners of each document that occur often enough in its short lists.
+
+    A linked pair shares, of the tokens that both search, at least need = the
+    smaller of searched(size) - (size - T), T being the pair's own; of these
+    at most ``long`` lie in lists that were left out.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            a, b = [], []
+            for doc, label, size, shared, long, docs, labels, sizes, holds, lengths in pdf.itertuples(index=False):
+                # later documents of other components, list by list
+                keep = (docs > doc) & (labels != label)
+                ends = np.cumsum(np.r_[0, keep])[np.cumsum(lengths)]
+                docs, sizes, holds = docs[keep], sizes[keep], holds[keep]
+                found, met = merged([x for x in np.split(docs, ends[:-1]) if len(x)])
+                if not len(found):
+                    continue
+                _, at = np.unique(docs, return_index=True)
+                t = pair_overlap(size, sizes[at])
+                need = np.minimum(searched(np.int64(size)) + t - size, searched(sizes[at]) + t - sizes[at])
+                good = (met >= np.maximum(1, need - long)) & (np.minimum(min(size, shared), holds[at]) >= t)
+                a += [doc] * int(good.sum())
+                b += found[good].tolist()
+            yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
+
+    return mine.mapInPandas(run, "a long, b long")
 
 
 def search(ranked: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b), a < b: every pair of different components that shares enough prefix tokens.
+    """(a, b), a < b: every pair of different components that can link by the tokens it shares.
 
     ``labels`` (doc_id, label) holds the components so far.
     """
     at = ranked.join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-    rows = at.select("doc_id", "size", "need", "label", F.explode("prefix").alias("token"))
+    own = ["doc_id", "label", "size", "shared"]
+    rows = at.select(*own, F.posexplode("prefix").alias("pos", "token"))
+    # the place of a token in the whole set's order: tokens that nobody else has come first
+    rows = rows.withColumn("pos", F.col("size") - F.col("shared") + F.col("pos"))
     kinds = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     # a list whose documents are all in one component has nothing left to find
     kinds = save(kinds.where("lo < hi").select("token", "n"), "jaccard-lists")
     rows = save(rows.join(kinds, "token"), "jaccard-open")
 
-    # the long lists of a document, which the merge leaves out, lower the count it asks for
-    short = rows.where(F.col("n") <= SHORT_LIST)
-    skipped = rows.where(F.col("n") > SHORT_LIST).groupBy("doc_id").agg(F.count(F.lit(1)).alias("long"))
-    lists = short.groupBy("token").agg(F.sort_array(F.collect_list("doc_id")).alias("list"))
-    mine = short.join(save(lists, "jaccard-short"), "token").groupBy("doc_id", "need").agg(F.collect_list("list").alias("lists"))
-    mine = mine.join(skipped, "doc_id", "left").withColumn("least", F.greatest(F.lit(1), F.col("need") - F.coalesce("long", F.lit(0))))
-    mine = mine.select("doc_id", "least", F.flatten("lists").alias("flat"), F.transform("lists", lambda x: F.size(x)).alias("sizes"))
+    short, long = rows.where(F.col("n") <= SHORT_LIST), save(rows.where(F.col("n") > SHORT_LIST), "jaccard-long")
+    lists = short.groupBy("token").agg(F.sort_array(F.collect_list(F.struct(*own))).alias("list"))
+    mine = short.join(save(lists, "jaccard-short"), "token").groupBy(*own).agg(F.collect_list("list").alias("lists"))
+    mine = mine.join(long.groupBy("doc_id").agg(F.count(F.lit(1)).alias("long")), "doc_id", "left")
+    mine = mine.withColumns({"flat": F.flatten("lists"), "long": F.coalesce("long", F.lit(0))})
+    mine = mine.select(*own, "long", *[F.col(f"flat.{c}").alias(f"their_{c}") for c in own], F.transform("lists", lambda x: F.size(x)).alias("lengths"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            a, b = [], []
-            for doc, least, flat, sizes in zip(pdf["doc_id"], pdf["least"], pdf["flat"], pdf["sizes"], strict=True):
-                own = np.split(flat, np.cumsum(sizes)[:-1])
-                found = merged([x[np.searchsorted(x, doc, "right") :] for x in own], least)
-                a += [doc] * len(found)
-                b += found
-            yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
-
-    near = mine.mapInPandas(run, "a long, b long")
-
-    # A document with fewer long lists than it needs tokens meets every partner in a short one (the count above).
-    # For the others: a list's members outside its commonest component meet all its members, by block.
-    long = save(rows.where(F.col("n") > SHORT_LIST).join(skipped, "doc_id"), "jaccard-long")
+    # Long lists: a linked pair that shares no short list shares a long one within the first size - T + 1 tokens
+    # of both. A list's members outside its commonest component meet all its members, by block.
     common = long.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(F.max_by("label", "k").alias("main"))
     long = long.join(save(common, "jaccard-common"), "token").withColumn("blocks", F.ceil(F.col("n") / SHORT_LIST).cast("int"))
-    one = ["doc_id", "size", "need", "label", "long"]
-    held = long.select("token", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), "main", F.struct(*one).alias("h"))
-    asks = long.where("label <> main").select("token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.struct(*one).alias("q"))
-    meet = (asks["token"] == held["token"]) & (asks["block"] == held["block"]) & (F.col("q.label") != F.col("h.label")) & fits("q.size", "h.size")
+    one = F.struct(*own, "pos")
+    held = long.select("token", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), "main", one.alias("h"))
+    asks = long.where("label <> main").select("token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), one.alias("q"))
+    t = F.ceil((F.col("q.size") + F.col("h.size")) * NUM / (NUM + DEN))
+    early = (F.col("q.pos") + t <= F.col("q.size")) & (F.col("h.pos") + t <= F.col("h.size"))
+    meet = (asks["token"] == held["token"]) & (asks["block"] == held["block"]) & (F.col("q.label") != F.col("h.label"))
+    meet = meet & early & may_link("q.size", "q.shared", "h.size", "h.shared")
     far = asks.join(held, meet & ((F.col("h.label") == F.col("main")) | (F.col("q.doc_id") < F.col("h.doc_id"))))
-    far = far.select(F.least("q", "h").alias("a"), F.greatest("q", "h").alias("b")).where("a.long >= a.need")
-    far = far.groupBy(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"), F.col("a.need").alias("need")).agg(F.count(F.lit(1)).alias("met"))
-
-    ids = save(at.select("doc_id", "size", "label"), "jaccard-ids")
-    near = near.join(ids.toDF("a", "a_size", "a_label"), "a").join(ids.toDF("b", "b_size", "b_label"), "b")
-    near = near.where("a_label <> b_label").where(fits("a_size", "b_size"))
-    return near.select("a", "b").union(far.where("met >= need").select("a", "b")).distinct()
+    far = far.select(F.least("q.doc_id", "h.doc_id").alias("a"), F.greatest("q.doc_id", "h.doc_id").alias("b"))
+    return heap_search(mine).union(far).distinct()
 
 
 def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
