@@ -49,7 +49,7 @@ LEFT, RIGHT = WINDOW - K, WINDOW
 SHARD_BYTES = 1_000_000
 SHARD_CONTEXTS = SHARD_BYTES // (LEFT + RIGHT)
 #: Bytes of texts handled as one array (a longer text is one array of its own).
-BUFFER = 1 << 20
+BUFFER = 1 << 17
 
 _RNG = np.random.default_rng(41_117)
 _TABLES = _RNG.integers(1, 2**63, (2, 256), dtype=np.uint64)
