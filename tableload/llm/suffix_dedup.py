@@ -16,10 +16,12 @@ So suffixes are sharded by content:
    the same WINDOW bytes as another one, at another place.
 4. A document's repeated windows come together, and the bytes they cover go.
 
-An anchor with more than ``SHARD_CONTEXTS`` different contexts (the edge of a
-passage that a large part of the corpus shares) would make its shard grow with
-the corpus; its contexts are split into their windows instead, which are
-counted by digest (map-side first), spread over all tasks.
+An anchor with more than ``SHARD_CONTEXTS`` different contexts (a line that a
+large part of the corpus shares) would make its shard grow with the corpus. Its
+windows are dealt into classes of ``CLASS`` neighbouring starts; all windows of
+a class hold the same bytes around the anchor, and these are the new shard key.
+A key that is still too frequent (the edge of a long shared passage) has its
+windows counted by digest (map-side first), spread over all tasks.
 
 Cases: null or empty text has no bytes; texts shorter than WINDOW lose nothing;
 windows overlap and may lie in one document; rows that repeat a doc_id must
@@ -48,6 +50,7 @@ K = 64
 LEFT, RIGHT = WINDOW - K, WINDOW
 SHARD_BYTES = 1_000_000
 SHARD_CONTEXTS = SHARD_BYTES // (LEFT + RIGHT)
+CLASS = -(-(LEFT + 1) // 4)
 #: Bytes of texts handled as one array (a longer text is one array of its own).
 BUFFER = 1 << 17
 
@@ -152,6 +155,12 @@ def anchors(docs: DataFrame) -> DataFrame:
     return docs.mapInPandas(run, "a long, c long, doc_id long, pos int")
 
 
+def _hit_rows(pdf: pd.DataFrame, rows: np.ndarray, hits: list[np.ndarray]) -> pd.DataFrame:
+    """(doc_id, pos, hits) of some rows of a shard; the types hold for no rows too."""
+    place = pdf[["doc_id", "pos"]].iloc[rows].reset_index(drop=True)
+    return place.assign(hits=pd.Series(hits, index=place.index, dtype=object))
+
+
 def shard_windows(pdf: pd.DataFrame) -> pd.DataFrame:
     """(doc_id, pos, hits) of one shard's contexts: hits are the repeated window starts, relative to the anchor.
 
@@ -179,8 +188,8 @@ def shard_windows(pdf: pd.DataFrame) -> pd.DataFrame:
     _, doc = np.unique(pdf["doc_id"].to_numpy(), return_inverse=True)
     place = doc[own].astype(np.int64) << 40 | (pdf["pos"].to_numpy()[own] - pdf["lead"].to_numpy()[own] + offset[spot])
     cut = np.flatnonzero(np.r_[True, run[1:] != run[:-1]]) if len(run) else np.empty(0, dtype=np.int64)
-    if not len(cut):
-        return pd.DataFrame({"doc_id": [], "pos": [], "hits": []})
+    if not len(cut):  # no context holds a whole window
+        return _hit_rows(pdf, cut, [])
     # one place may lie in several contexts; a run is repeated when it holds two places
     twice = np.minimum.reduceat(place, cut) != np.maximum.reduceat(place, cut)
     hit = spot[np.repeat(twice, np.diff(np.r_[cut, len(run)]))]
@@ -190,13 +199,7 @@ def shard_windows(pdf: pd.DataFrame) -> pd.DataFrame:
     groups = np.split(offset[hit], edge[1:]) if len(hit) else []
     rows = own[edge]
     lead = pdf["lead"].to_numpy()
-    return pd.DataFrame(
-        {
-            "doc_id": pdf["doc_id"].to_numpy()[rows],
-            "pos": pdf["pos"].to_numpy()[rows],
-            "hits": [(g - lead[r]).astype(np.int32) for g, r in zip(groups, rows, strict=True)],
-        }
-    )
+    return _hit_rows(pdf, rows, [(g - lead[r]).astype(np.int32) for g, r in zip(groups, rows, strict=True)])
 
 
 def removed(data: bytes, starts: np.ndarray) -> tuple[bytes, int, int]:
@@ -232,6 +235,24 @@ def _cut(joined: DataFrame) -> DataFrame:
     return joined.mapInPandas(run, "a long, doc_id long, pos int, lead int, bytes binary")
 
 
+def _by_class(pieces: DataFrame) -> DataFrame:
+    """Contexts of frequent anchors, cut into classes of windows keyed by the bytes that a class's windows share."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for doc, pos, lead, b in zip(pdf["doc_id"], pdf["pos"], pdf["lead"], pdf["bytes"], strict=True):
+                for near in range(0, LEFT + 1, CLASS):
+                    far = min(near + CLASS - 1, LEFT)  # window starts lie this far before the anchor
+                    lo, hi = max(0, lead - far), min(lead - near, len(b) - WINDOW)
+                    if lo <= hi:
+                        core = xxhash.xxh3_64_intdigest(b[lead - near : lead - far + WINDOW], seed=near)
+                        rows.append((core - (1 << 63), doc, pos, lead - lo, b[lo : hi + WINDOW]))
+            yield pd.DataFrame(rows, columns=["a", "doc_id", "pos", "lead", "bytes"])
+
+    return pieces.mapInPandas(run, "a long, doc_id long, pos int, lead int, bytes binary")
+
+
 def _by_digest(pieces: DataFrame) -> DataFrame:
     """(doc_id, pos, hits) of contexts whose anchors are too frequent for one shard: every window counted by digest."""
 
@@ -272,12 +293,20 @@ def repeated_windows(body: DataFrame) -> DataFrame:
         # a left join, so that this and the last step read one shuffle of the texts
         return _cut(body.join(wanted, "doc_id", "left"))
 
-    shards = max(1, -(-mixed.count() * (LEFT + RIGHT) // SHARD_BYTES))
-    sharded = pieces(mixed.where(F.col("kinds") <= SHARD_CONTEXTS)).withColumn("shard", F.pmod(F.xxhash64("a"), F.lit(shards)))
-    hits = sharded.groupBy("shard").applyInPandas(shard_windows, "doc_id long, pos int, hits array<int>")
+    def by_order(rows: DataFrame, n: int) -> DataFrame:
+        shards = max(1, -(-n * (LEFT + RIGHT) // SHARD_BYTES))
+        sharded = rows.withColumn("shard", F.pmod(F.xxhash64("a"), F.lit(shards)))
+        return sharded.groupBy("shard").applyInPandas(shard_windows, "doc_id long, pos int, hits array<int>")
+
+    hits = by_order(pieces(mixed.where(F.col("kinds") <= SHARD_CONTEXTS)), mixed.count())
     hits = hits.unionByName(copies.withColumn("hits", F.lit(None).cast("array<int>")))
     frequent = mixed.where(F.col("kinds") > SHARD_CONTEXTS)
-    return hits if frequent.isEmpty() else hits.unionByName(_by_digest(pieces(frequent)))
+    if frequent.isEmpty():
+        return hits
+    classed = save(_by_class(pieces(frequent)), "anchor-classes")
+    again = save(classed.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_CONTEXTS).select("a"), "anchor-class-often")
+    hits = hits.unionByName(by_order(classed.join(again, "a", "left_anti"), classed.count()))
+    return hits if again.isEmpty() else hits.unionByName(_by_digest(classed.join(again, "a", "left_semi")))
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:

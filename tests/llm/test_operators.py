@@ -92,13 +92,23 @@ def test_suffix_array_and_lcp():
             assert lcp[a] == same
 
 
-@pytest.mark.parametrize("contexts", [suffix_dedup.SHARD_CONTEXTS, 2])
+@pytest.mark.parametrize("contexts", [suffix_dedup.SHARD_CONTEXTS, 8, 2])
 def test_suffix_dedup(docs, texts, contexts, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "SHARD_CONTEXTS", contexts)  # 2: frequent anchors go by window digest
+    monkeypatch.setattr(suffix_dedup, "SHARD_CONTEXTS", contexts)  # fewer: frequent anchors go by class, then by window digest
     got = by_id(suffix_dedup.repeat_report(docs), "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert got == {d: (*r[:3], brute.sha(r[3])) for d, r in brute.without_repeats(texts).items()}
 
 
+def test_suffix_dedup_anchor_without_repeated_window(spark):
+    """Texts that share an anchor's bytes but no whole window: their shard finds nothing."""
+    rng = np.random.default_rng(6)
+    own = ["".join(rng.choice(list("abcdefghijkl"), 300)) for _ in range(2)]
+    shared = "".join(rng.choice(list("mnopqrst"), 150))
+    rows = [(i, t[:150] + shared + t[150:]) for i, t in enumerate(own)]
+    got = suffix_dedup.repeat_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["n_bytes"], r["n_removed"], r["n_spans"]) for r in got] == [(450, 0, 0)] * 2
+
+
 def test_suffix_dedup_odd_rows(empty, repeated):
     assert suffix_dedup.repeat_report(empty).count() == 0
     rows = suffix_dedup.repeat_report(repeated).collect()
