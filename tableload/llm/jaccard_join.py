@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -115,13 +116,20 @@ def hash_prefix(size: int) -> int:
     return min(size, max(size - required(size) + 1, -(-3 * size // 8) + 1)) if size else 0
 
 
+@lru_cache(maxsize=1 << 16)
 def hash_need(size: int) -> int:
-    """Shared tokens within ``hash_prefix`` that a document with any link has."""
+    """Shared tokens within ``hash_prefix`` that a document with any link has.
 
-    def own(s: int) -> int:
-        return hash_prefix(s) - (s - required(s))
-
-    return max(1, min(own(size), own(required(size)))) if size else 1
+    Of a pair that overlaps by o, a prefix shows all but size - o of its tokens
+    from the overlap, the smallest first; the pair shares what the shorter show
+    has. The least of it over every size a partner can have.
+    """
+    if not size:
+        return 1
+    other = np.arange(required(size), DEN * size // NUM + 1)
+    both = pair_overlap(size, other)
+    prefix = np.minimum(other, np.maximum(other - -(-NUM * other // DEN) + 1, -(-3 * other // 8) + 1))
+    return int(np.minimum(hash_prefix(size) - (size - both), prefix - (other - both)).min())
 
 
 def set_rows(docs: DataFrame) -> DataFrame:

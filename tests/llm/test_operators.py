@@ -290,6 +290,24 @@ def test_jaccard_search_without_star(docs, texts, monkeypatch):
         assert by_id(jaccard_join.near_duplicates(docs), "n_shingles", "component_id") == brute.components(texts)
 
 
+def test_jaccard_joins_short_copies(spark):
+    """A 7-word text and the same text plus one word: 3 of 4 shingles are shared, so they link."""
+    rows = []
+    for i in range(40):
+        w = [f"w{i}x{k}" for k in range(8)]
+        rows += [(2 * i, " ".join(w[:7])), (2 * i + 1, " ".join(w))]
+    got = by_id(jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), "n_shingles", "component_id")
+    assert got == {d: (3 + d % 2, d - d % 2) for d in range(80)}
+
+
+def test_jaccard_need_holds_for_every_pair_of_sizes():
+    for a in range(1, 400):
+        for b in range(a, 100 * a // 75 + 1):
+            o = -(-75 * (a + b) // 175)
+            shown = min(jaccard_join.hash_prefix(a) - (a - o), jaccard_join.hash_prefix(b) - (b - o))
+            assert 1 <= max(jaccard_join.hash_need(a), jaccard_join.hash_need(b)) <= shown
+
+
 def test_jaccard_odd_rows(empty, repeated):
     assert jaccard_join.near_duplicates(empty).count() == 0
     rows = jaccard_join.near_duplicates(repeated).collect()
