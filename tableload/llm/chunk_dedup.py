@@ -3,13 +3,14 @@
 A gear rolling hash over the last 64 bytes cuts every text where its top bits
 are zero, at least ``MIN_BYTES`` and at most ``MAX_BYTES`` after the last cut.
 A cut depends on nearby bytes only, so after an insertion the chunks fall into
-step again. Chunks are counted by digest over the whole corpus. A run of
-neighbouring chunks that are all found in other documents too, of at least
-``MIN_RUN`` bytes, is a repeated span. A chunk's first place (smallest doc_id,
-then offset) keeps it; the span's other chunks go.
+step again. From every chunk on, the shortest sequence of chunks with at least
+``MIN_RUN`` bytes is counted by digest over the whole corpus, so a run counts
+only where another document holds it as a whole. Neighbouring sequences that
+other documents hold are one repeated span. A sequence's first place (smallest
+doc_id, then offset) keeps it; elsewhere its bytes go.
 
 Texts are read twice and are shuffled once (only by ``dedup_substrings``); the
-count moves a digest and a place for each chunk, aggregated map-side, so a
+count moves a digest and a place for each sequence, aggregated map-side, so a
 passage that a third of all documents share is one row a task.
 
 Cases: null or empty text has no chunks; a text shorter than MIN_RUN has no
@@ -35,7 +36,7 @@ MIN_BYTES = 8
 MAX_BYTES = 64
 #: A cut where this many top bits of the hash are zero: 16 bytes apart on average, beyond the least distance.
 CUT_BITS = 4
-#: Bytes a run of repeated chunks needs to be a repeated span.
+#: Bytes a sequence of chunks has at least.
 MIN_RUN = 96
 
 _GEAR = np.random.default_rng(77_003).integers(0, 2**63, 256, dtype=np.uint64) << np.uint64(1)
@@ -75,72 +76,89 @@ def chunk_ends(data: np.ndarray) -> np.ndarray:
     return np.array(ends, dtype=np.int64)
 
 
-def chunks(data: bytes) -> tuple[np.ndarray, list[int], list[int]]:
-    """(ends, two 64-bit halves of the digests) of a text's chunks."""
-    ends = chunk_ends(np.frombuffer(data, dtype=np.uint8))
-    high, low, at = [], [], 0
-    for end in ends.tolist():
-        digest = xxhash.xxh3_128_intdigest(data[at:end])
+def sequences(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int], list[int]]:
+    """(edges, first, last, two 64-bit halves of the digests) of a text's sequences: chunks first to last - 1, bytes edges[first] to edges[last]."""
+    edges = np.r_[0, chunk_ends(np.frombuffer(data, dtype=np.uint8))]
+    last = np.searchsorted(edges, edges[:-1] + MIN_RUN)
+    first = np.flatnonzero(last < len(edges))
+    last = last[first]
+    high, low = [], []
+    for lo, hi in zip(edges[first].tolist(), edges[last].tolist(), strict=True):
+        digest = xxhash.xxh3_128_intdigest(data[lo:hi])
         high.append((digest >> 64) - (1 << 63))
         low.append((digest & (1 << 64) - 1) - (1 << 63))
-        at = end
-    return ends, high, low
+    return edges, first, last, high, low
 
 
-def chunk_rows(docs: DataFrame) -> DataFrame:
-    """(d1, d2, doc_id, lo, hi): digest and byte range of every chunk."""
+def sequence_rows(docs: DataFrame) -> DataFrame:
+    """(d1, d2, doc_id, lo, hi, first, last): digest, byte range and chunk numbers (last excluded) of every sequence."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for at in range(0, len(pdf), 500):
-                cols: dict[str, list] = {c: [] for c in ("d1", "d2", "doc_id", "lo", "hi")}
+                cols: dict[str, list] = {c: [] for c in ("d1", "d2", "doc_id", "lo", "hi", "first", "last")}
                 for doc, text in zip(pdf["doc_id"][at : at + 500], pdf["text"][at : at + 500], strict=True):
-                    ends, high, low = chunks(text.encode("utf-8", "surrogatepass"))
+                    edges, first, last, high, low = sequences(text.encode("utf-8", "surrogatepass"))
                     cols["d1"] += high
                     cols["d2"] += low
-                    cols["doc_id"] += [doc] * len(ends)
-                    cols["lo"] += [0, *ends[:-1].tolist()] if len(ends) else []
-                    cols["hi"] += ends.tolist()
+                    cols["doc_id"] += [doc] * len(first)
+                    cols["lo"] += edges[first].tolist()
+                    cols["hi"] += edges[last].tolist()
+                    cols["first"] += first.tolist()
+                    cols["last"] += last.tolist()
                 yield pd.DataFrame(cols)
 
     body = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return body.mapInPandas(run, "d1 long, d2 long, doc_id long, lo int, hi int")
+    return body.mapInPandas(run, "d1 long, d2 long, doc_id long, lo int, hi int, first int, last int")
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, lo, hi, holder): chunks found in two documents or more; the first place is the holder."""
+def repeated_sequences(docs: DataFrame) -> DataFrame:
+    """(doc_id, lo, hi, first, last, holder): sequences found in two documents or more; the first place is the holder."""
     place = F.struct("doc_id", "lo")
-    counted = chunk_rows(docs).groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max("doc_id").alias("last"))
-    often = save(counted.where("first.doc_id <> last").select("d1", "d2", "first"), "chunk-often")
-    met = chunk_rows(docs).join(often, ["d1", "d2"])
-    return met.select("doc_id", "lo", "hi", (place == F.col("first")).alias("holder"))
+    counted = sequence_rows(docs).groupBy("d1", "d2").agg(F.min(place).alias("place"), F.max("doc_id").alias("max_id"))
+    often = save(counted.where("place.doc_id <> max_id").select("d1", "d2", "place"), "chunk-often")
+    met = sequence_rows(docs).join(often, ["d1", "d2"])
+    return met.select("doc_id", "lo", "hi", "first", "last", (place == F.col("place")).alias("holder"))
+
+
+def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The union of sorted byte ranges; ranges that touch become one."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in ranges:
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], hi))
+        else:
+            out.append((lo, hi))
+    return out
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, span_start, span_end, n_chunks, n_removed): the repeated spans of every document that has any.
+    """(doc_id, span_start, span_end, n_chunks, n_removed, gone): the repeated spans of every document that has any.
 
     Byte offsets; n_removed counts the span's bytes that have an earlier place
-    elsewhere and go. A document's chunks come together (bounded by its length).
+    elsewhere and go. A document's sequences come together (bounded by its length).
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for doc, found in zip(pdf["doc_id"], pdf["found"], strict=True):
-                own = sorted({(f["lo"], f["hi"], f["holder"]) for f in found})
-                at = 0
-                while at < len(own):
-                    to = at + 1
-                    while to < len(own) and own[to][0] == own[to - 1][1]:
+                own = sorted({(f["lo"], f["hi"], f["first"], f["last"], f["holder"]) for f in found})
+                gone = merged([(lo, hi) for lo, hi, *_, holder in own if not holder])
+                at = cut = 0
+                for start, end in merged([(lo, hi) for lo, hi, *_ in own]):
+                    first = last = own[at][2]
+                    while at < len(own) and own[at][0] < end:
+                        last = max(last, own[at][3])
+                        at += 1
+                    to = cut
+                    while to < len(gone) and gone[to][0] < end:
                         to += 1
-                    part = own[at:to]
-                    if part[-1][1] - part[0][0] >= MIN_RUN:
-                        gone = [(p[0], p[1]) for p in part if not p[2]]
-                        rows.append((doc, part[0][0], part[-1][1], len(part), sum(h - lo for lo, h in gone), [x for g in gone for x in g]))
-                    at = to
+                    part, cut = gone[cut:to], to
+                    rows.append((doc, start, end, last - first, sum(hi - lo for lo, hi in part), [x for g in part for x in g]))
             yield pd.DataFrame(rows, columns=["doc_id", "span_start", "span_end", "n_chunks", "n_removed", "gone"])
 
-    per = repeated_chunks(docs).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi", "holder")).alias("found"))
+    per = repeated_sequences(docs).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi", "first", "last", "holder")).alias("found"))
     return per.mapInPandas(run, "doc_id long, span_start long, span_end long, n_chunks long, n_removed long, gone array<int>")
 
 

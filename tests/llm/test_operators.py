@@ -261,6 +261,26 @@ def test_chunk_dedup(docs, texts):
         assert len(b) >= chunk_dedup.MIN_RUN and everywhere[b[:64]] > 1 or len(b) < 64
 
 
+def test_chunk_spans_are_held_as_a_whole(spark):
+    """Chunks that are found elsewhere one by one are no repeated span; the same chunks as one run are."""
+    rng = np.random.default_rng(11)
+    data = bytes(rng.integers(97, 123, 2000).astype(np.uint8))
+    edges = np.r_[0, chunk_dedup.chunk_ends(np.frombuffer(data, dtype=np.uint8))].tolist()
+    rows = [(0, data.decode())]
+    for i, (lo, hi) in enumerate(zip(edges, edges[1:])):  # each chunk in a text of its own, among other bytes
+        around = [bytes(rng.integers(65, 91, 200).astype(np.uint8)) for _ in range(2)]
+        before = max(0, lo - 64)
+        rows.append((i + 1, (around[0] + data[before : min(hi + 20, before + chunk_dedup.MIN_RUN - 1)] + around[1]).decode()))
+    single = spark.createDataFrame(rows, "doc_id long, text string")
+    assert chunk_dedup.repeated_spans(single).count() == 0
+    whole = spark.createDataFrame([*rows, (9999, "A" * 70 + data[500:1500].decode())], "doc_id long, text string")
+    spans = {r["doc_id"]: (r["span_start"], r["span_end"], r["n_removed"]) for r in chunk_dedup.repeated_spans(whole).collect()}
+    assert set(spans) == {0, 9999}
+    start, end, gone = spans[9999]
+    assert rows[0][1][spans[0][0] : spans[0][1]] == ("A" * 70 + data[500:1500].decode())[start:end]
+    assert gone == end - start > 800 and spans[0][2] == 0
+
+
 def test_chunk_dedup_cuts_text(docs, texts, empty, repeated):
     left = chunk_dedup.dedup_substrings(docs)
     assert left.columns == docs.columns
