@@ -16,7 +16,7 @@ from tableload.llm.bpe import encode_documents
 from tableload.llm.common import save, table
 from tableload.llm.jaccard_join import keep_one_each
 from tableload.llm.line_dedup import dedup_lines
-from tableload.llm.pfair_mix import mix_documents
+from tableload.llm.pfair_mix import mix_documents, with_slots
 from tableload.llm.quality_mcd import keep_quality
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -45,8 +45,14 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, ids and the digests of ids and decoded bytes."""
-    return encode_documents(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep=("doc_id", "lang", "source"))
+    """doc_id, lang, source, slot, place, n_tokens, ids and the digests of ids and decoded bytes.
+
+    Rows read again from several files come in any order, so the mix is carried
+    as columns: slot and place depend on doc_ids and sources alone and are those
+    that the mix stage ordered by.
+    """
+    placed = with_slots(docs.select("doc_id", "lang", "source", "text")).withColumnsRenamed({"__slot": "slot", "__place": "place"})
+    return encode_documents(placed, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep=("doc_id", "lang", "source", "slot", "place"))
 
 
 STAGES = [

@@ -4,6 +4,8 @@ import brute
 import corpus_pipeline
 import pytest
 
+from tableload.llm import pfair_mix
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -44,6 +46,24 @@ def test_stage_results(spark, stages):
     assert all(coded[d]["decoded_sha256"] == brute.sha(r["text"].encode()) for d, r in mixed.items())
 
 
+def test_output_carries_the_mix(stages):
+    """Rows ordered by slot and place follow the weights to within a block, until a source has run out."""
+    mixed, coded = stages[-2][1], stages[-1][1]
+    rows = sorted((r["slot"], r["place"], r["doc_id"], r["source"] or "") for r in coded.collect())
+    assert len({r[:2] for r in rows}) == len(rows)
+    planned = pfair_mix.mix_schedule(mixed).collect()
+    assert rows == sorted((r["slot"], r["place"], r["doc_id"], r["source"]) for r in planned)
+    parts = {r["source"]: r["parts"] for r in pfair_mix.source_parts(mixed).collect()}
+    total, had = sum(parts.values()), dict.fromkeys(parts, 0)
+    turns = {slot: source for slot, _, _, source in rows}
+    t = 0
+    while t in turns:
+        had[turns[t]] += 1
+        t += 1
+        assert all(abs(had[s] - t * parts[s] / total) < 1 for s in parts)
+    assert t >= len(parts)
+
+
 def test_run_equals_its_stages(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     last = stages[-1][1]
