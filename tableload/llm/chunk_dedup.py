@@ -1,9 +1,10 @@
 """Substring dedup by content-defined chunks.
 
-A gear rolling hash over the last 64 bytes cuts every text where its top bits
-are zero, at least ``MIN_BYTES`` and at most ``MAX_BYTES`` after the last cut.
-A cut depends on nearby bytes only, so after an insertion the chunks fall into
-step again. From every chunk on, the shortest sequence of chunks with at least
+A gear rolling hash over the last ``GRAM`` bytes cuts every text where it is
+smaller than at the ``SIDE`` positions before and not larger than at those
+after, and ``MAX_BYTES`` after the last cut at the latest. Such a cut depends on
+nearby bytes only, so a passage has the same cuts wherever it stands, but for
+``GRAM`` + ``SIDE`` bytes at its start and ``SIDE`` at its end. From every chunk on, the shortest sequence of chunks with at least
 ``MIN_RUN`` bytes is counted by digest over the whole corpus, so a run counts
 only where another document holds it as a whole. Neighbouring sequences that
 other documents hold are one repeated span. A sequence's first place (smallest
@@ -32,48 +33,56 @@ from pyspark.sql import functions as F
 
 from tableload.llm.common import save, text_of
 
-MIN_BYTES = 8
+#: Bytes that the hash at a position depends on.
+GRAM = 8
+#: A cut has the smallest hash among as many positions on each side: 17 bytes apart on average.
+SIDE = 8
 MAX_BYTES = 64
-#: A cut where this many top bits of the hash are zero: 16 bytes apart on average, beyond the least distance.
-CUT_BITS = 4
-#: Bytes a sequence of chunks has at least.
-MIN_RUN = 96
+#: Bytes a sequence of chunks has at least. Passages of 51 words have 101 bytes or more; the cuts' margins take the rest.
+MIN_RUN = 64
 
 _GEAR = np.random.default_rng(77_003).integers(0, 2**63, 256, dtype=np.uint64) << np.uint64(1)
 
 
-def gear_hash(data: np.ndarray) -> np.ndarray:
-    """The gear hash h = (h << 1) + G[byte] at every byte; it depends on the last 64 bytes.
+def gear_hash(data: np.ndarray, gram: int = 64) -> np.ndarray:
+    """The gear hash h = (h << 1) + G[byte] over the last ``gram`` bytes (a power of two, at most 64) at every byte.
 
     Built by doubling: the hash over 2k bytes is that over the last k plus that
     over the k before, shifted by k.
     """
     out, reach = _GEAR[data], 1
-    while reach < 64:
+    while reach < gram:
         longer = out.copy()
         longer[reach:] += out[:-reach] << np.uint64(reach)
         out, reach = longer, reach * 2
     return out
 
 
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Ends of the bytes whose hash is a minimum among its neighbours; the first of equal hashes."""
+    n = len(data)
+    if n <= 2 * SIDE:
+        return np.empty(0, dtype=np.int64)
+    h = gear_hash(data, GRAM)
+    least = h[: n - SIDE + 1].copy()  # of the SIDE hashes from each position on
+    for k in range(1, SIDE):
+        np.minimum(least, h[k : n - SIDE + 1 + k], out=least)
+    middle = h[SIDE : n - SIDE]
+    return np.flatnonzero((middle < least[: n - 2 * SIDE]) & (middle <= least[SIDE + 1 :])) + SIDE + 1
+
+
 def chunk_ends(data: np.ndarray) -> np.ndarray:
     """Ends of the chunks of a text, ascending; the last is the text's length."""
     n = len(data)
-    marks = np.flatnonzero(gear_hash(data) >> np.uint64(64 - CUT_BITS) == 0) + 1
-    ends, at = [], 0
-    for m in marks.tolist():
-        while m - at > MAX_BYTES:
-            at += MAX_BYTES
-            ends.append(at)
-        if m - at >= MIN_BYTES:
-            at = m
-            ends.append(at)
-    while n - at > MAX_BYTES:
-        at += MAX_BYTES
-        ends.append(at)
-    if n > at:
-        ends.append(n)
-    return np.array(ends, dtype=np.int64)
+    if not n:
+        return np.empty(0, dtype=np.int64)
+    ends = np.r_[cuts(data), n]
+    gaps = np.diff(ends, prepend=0)
+    if gaps.max() <= MAX_BYTES:
+        return ends
+    parts = -(-gaps // MAX_BYTES)
+    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts) + 1
+    return np.minimum(np.repeat(ends - gaps, parts) + nth * MAX_BYTES, np.repeat(ends, parts))
 
 
 def sequences(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int], list[int]]:

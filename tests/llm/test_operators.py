@@ -261,6 +261,21 @@ def test_chunk_dedup(docs, texts):
         assert len(b) >= chunk_dedup.MIN_RUN and everywhere[b[:64]] > 1 or len(b) < 64
 
 
+def test_chunk_dedup_catches_short_passages(spark):
+    """Passages of 51 words of 1 to 5 letters, each in two documents."""
+    rng = np.random.default_rng(51)
+
+    def some(n: int) -> str:
+        return " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(1, 6))) for _ in range(n))
+
+    rows = []
+    for i in range(100):
+        passage = some(51)
+        rows += [(2 * i + k, f"{some(60 + k)} {passage} {some(60)}") for k in range(2)]
+    got = {r["doc_id"] for r in chunk_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == set(range(200))
+
+
 def test_chunk_spans_are_held_as_a_whole(spark):
     """Chunks that are found elsewhere one by one are no repeated span; the same chunks as one run are."""
     rng = np.random.default_rng(11)
