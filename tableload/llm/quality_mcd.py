@@ -7,8 +7,9 @@ repeated lines, repeated three-word windows and capital letters). For each
 concentration steps: from two deterministic starts (median and MAD; mean and
 covariance), the ``H_SHARE`` of documents with the smallest Mahalanobis
 distance give the next mean and covariance, ``STEPS`` times, and the start with
-the smaller determinant wins. A document is rejected when its squared distance,
-rescaled so that the group's median is the chi-square median, is over ``CUT``.
+the smaller determinant wins. A document is rejected when its squared distance
+is over ``CUT``; where the group's median is over the chi-square median, the
+distances are scaled down to it (a smaller median comes from the floors and stays).
 
 Each covariance gets ``FLOOR`` squared on its diagonal, the spread that short
 clean texts have anyway, so a group whose statistics are all alike rejects only
@@ -40,6 +41,8 @@ MIN_GROUP = 60
 SALTS = 16
 #: Standard deviation added to every statistic, in the order of STATS.
 FLOOR = (0.06, 0.05, 0.12, 0.2, 0.05)
+#: Deviation of the arcsine repeat shares of clean documents, besides that of counting (1 / (4 n)).
+REPEAT_SPREAD = 0.09
 STATS = ("x0", "x1", "x2", "x3", "x4")
 P = len(STATS)
 #: Chi-square with five degrees of freedom at 0.5, and at 0.9999.
@@ -105,13 +108,20 @@ def text_statistics(docs: DataFrame, *keep: str) -> DataFrame:
 
 
 def with_vector(df: DataFrame) -> DataFrame:
-    """Add the transformed statistics x0..x4."""
+    """Add the transformed statistics x0..x4.
+
+    The repeat shares are scaled, so that their floor stands for a deviation of
+    sqrt(``REPEAT_SPREAD`` ** 2 + 1 / (4 n)) in a document of n lines or words.
+    """
 
     def share(k: str, n: str) -> Column:
         return F.asin(F.sqrt(F.least(F.lit(1.0), (F.col(k) + 0.375) / (F.col(n) + 0.75))))
 
+    def repeats(k: str, n: str, floor: float) -> Column:
+        return share(k, n) * F.lit(floor) / F.sqrt(F.lit(REPEAT_SPREAD**2) + 0.25 / F.greatest(F.col(n), F.lit(1)))
+
     mean_length = F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1))
-    vector = [F.log(mean_length + 1), share("n_symbols", "word_chars"), share("n_dup_lines", "n_words"), share("n_repeat_words", "n_words"), share("n_upper", "word_chars")]
+    vector = [F.log(mean_length + 1), share("n_symbols", "word_chars"), repeats("n_dup_lines", "n_lines", FLOOR[2]), repeats("n_repeat_words", "n_words", FLOOR[3]), share("n_upper", "word_chars")]
     return df.withColumns(dict(zip(STATS, vector, strict=True)))
 
 

@@ -190,6 +190,28 @@ def test_quality_rejects_outliers_only(spark):
     assert all(got[i][0] for i in range(300)) and not any(got[i][0] for i in range(300, 330))
 
 
+def test_quality_rejects_repeats_alone(spark):
+    """30 to 45% repeated windows, or repeated lines, in a group that has none, nothing else being unusual."""
+    rng = np.random.default_rng(8)
+
+    def some(n: int) -> list[str]:
+        return ["".join(rng.choice(list("abcdefgh"), rng.integers(4, 9))) for _ in range(n)]
+
+    clean = [" ".join(some(rng.integers(80, 300))) for _ in range(300)]
+    windows, lines = [], []
+    for k in range(30):
+        w = some(rng.integers(150, 400))
+        m = int(len(w) * (0.3 + 0.005 * k) / 2)
+        windows.append(" ".join([*w[: len(w) - m], *w[:m]]))
+        single = [" ".join(some(2)) for _ in range(100)]
+        lines.append("\n".join([*single, *[single[0]] * 60]))
+    rows = [(i, t, "en", "a") for i, t in enumerate(clean + windows)]
+    got = by_id(quality_mcd.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")), "kept")
+    assert all(got[i][0] for i in range(300)) and not any(got[i][0] for i in range(300, 330))
+    x2 = [r["x2"] for r in quality_mcd.with_vector(quality_mcd.text_statistics(spark.createDataFrame([(t,) for t in [*clean, *lines]], "text string"))).collect()]
+    assert min((x - max(x2[:300])) ** 2 for x in x2[300:]) / quality_mcd.FLOOR[2] ** 2 > quality_mcd.CUT
+
+
 def test_quality_whitening_is_mahalanobis(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(200, 5)) @ rng.normal(size=(5, 5))
