@@ -25,16 +25,3 @@ def tmp_root(spark):
     from tableload.session import scratch_dir
 
     return scratch_dir(spark, "test")
-
-
-def write_pages(root: str, name: str, pages: list[dict]) -> str:
-    """Write hand-made page documents as one JSON-lines file."""
-    import json
-    import os
-
-    path = f"{root}/{name}"
-    os.makedirs(path, exist_ok=True)
-    with open(f"{path}/pages.json", "w") as f:
-        for p in pages:
-            f.write(json.dumps(p) + "\n")
-    return path

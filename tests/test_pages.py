@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import write_pages
+from pages_helper import write_pages
 from tableload.functions.casts import table_columns_from_wire
 from tableload.plans.pipelines import LOAD_ERRORS
 from tableload.operators.flatten import conform_columns, record_explode, record_flatten, union_pages

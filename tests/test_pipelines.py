@@ -5,7 +5,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import write_pages
+from pages_helper import write_pages
 from tableload.plans.pipelines import (
     LOAD_ERRORS,
     LoadPaths,

@@ -2,7 +2,7 @@
 
 import uuid
 
-from conftest import write_pages
+from pages_helper import write_pages
 from tableload.plans.pipelines import LoadPaths
 from tableload.schemas import USERS
 from tableload.streaming.landing import drain, stream_load
