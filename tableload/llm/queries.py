@@ -10,6 +10,7 @@ from tableload.llm.bpe import encode_documents
 from tableload.llm.chunk_dedup import repeated_spans
 from tableload.llm.common import LOWER, UPPER, table
 from tableload.llm.fingerprints import edited_neighbours
+from tableload.llm.hard_negatives import coded, mine, usable
 from tableload.llm.jaccard_join import near_duplicates
 from tableload.llm.license_scan import license_findings
 from tableload.llm.line_dedup import line_report
@@ -87,6 +88,17 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_schedule(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, for each of its five best positives."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    # rint keeps null, NaN and infinite components as they are, floor would cast to long
+    scaled = F.transform("embedding", lambda x: F.lit(256.0) * x.cast("double"))
+    whole = F.transform(scaled, lambda x: F.rint(x) - F.when(F.rint(x) > x, 1.0).otherwise(0.0))
+    rows, dim = coded(usable(vectors, F.col("vec_id"), label, whole))
+    return mine(rows, dim, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_line_dedup": op2_line_dedup,
@@ -98,6 +110,7 @@ QUERIES = {
     "op8_chunk_dedup": op8_chunk_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_pfair_mix": op10_pfair_mix,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 _WS = " || ".join(f"chr({n})" for n in (32, 9, 10, 11, 12, 13))
@@ -161,6 +174,28 @@ ORACLE: dict[str, str] = {
                d.n // {BLOCK_DOCS} // p.p * (SELECT total FROM one) + t.tick AS slot, CAST(d.n % {BLOCK_DOCS} AS INTEGER) AS place
         FROM placed d JOIN parts p ON p.source = d.source JOIN period t ON t.source = d.source AND t.nth = (d.n // {BLOCK_DOCS}) % p.p
     """,
+    "op11_hard_negatives": """
+        WITH taking AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ), scored AS (
+          SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                 CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+          FROM taking a JOIN taking b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+        ), positives AS (
+          SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, p.positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+               n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+         AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+        QUALIFY rank <= 5
+    """,
     "op9_jaccard_join": f"""
         WITH RECURSIVE words AS (
           SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
