@@ -16,6 +16,7 @@ from tableload.llm.license_scan import license_findings
 from tableload.llm.line_dedup import line_report
 from tableload.llm.pfair_mix import ALPHA, BLOCK_DOCS, TOTAL, mix_schedule
 from tableload.llm.quality_mcd import quality_verdicts
+from tableload.llm.spelling_variants import spelling_variants
 from tableload.llm.suffix_dedup import repeat_report
 from tableload.llm.warc_audit import audit, record_digests, warc_record
 
@@ -99,6 +100,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(rows, dim, F.col("vec_id") % 100 == 0)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents, each with its number of near words, its form and its root."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_line_dedup": op2_line_dedup,
@@ -111,6 +117,7 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_pfair_mix": op10_pfair_mix,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 _WS = " || ".join(f"chr({n})" for n in (32, 9, 10, 11, 12, 13))

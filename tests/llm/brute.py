@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -100,3 +101,60 @@ def edf(parts: list[int]) -> list[int]:
         had[i] += 1
         out.append(i)
     return out
+
+
+def spelling(docs: list, least_n: int = 5) -> dict:
+    """word -> (form, root, n, n_near, form_n); docs are (doc_id, text)."""
+    counts = Counter()
+    for d, text in docs:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= 6:
+                counts[run] += 1
+    counts = {w: n for w, n in counts.items() if n >= least_n}
+
+    def near(a, b):
+        if a == b or abs(len(a) - len(b)) > 1:
+            return False
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        a, b = sorted((a, b), key=len)
+        return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    # only words that share a deletion neighbourhood can be near
+    meet = defaultdict(set)
+    for w in counts:
+        for key in {w, *(w[:i] + w[i + 1 :] for i in range(len(w)))}:
+            meet[key].add(w)
+    near_of = defaultdict(set)
+    for group in meet.values():
+        for a in group:
+            near_of[a].update(b for b in group if near(a, b))
+    form = {}
+    for w, n in counts.items():
+        best = min(near_of[w], key=lambda x: (-counts[x], x), default=None)
+        form[w] = best if best is not None and counts[best] >= 5 * n else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {w: (form[w], root(w), n, len(near_of[w]), counts.get(form[w])) for w, n in counts.items()}
+
+
+def hard_negatives(rows: list, k: int = 5) -> set:
+    """(anchor, positive, rank, negative, positive score, negative score); rows are (vec_id, label, whole-number components)."""
+    out = set()
+    for i, (a, la, va) in enumerate(rows):
+        if a % 100:
+            continue
+        others = [(sum(x * y for x, y in zip(va, v)), d, label) for d, label, v in rows if d != a]
+        order = sorted(others, key=lambda r: (-r[0], r[1]))
+        for ps, p, _ in [r for r in order if r[2] == la][:k]:
+            hard = [r for r in order if r[2] != la and 80 * ps <= 100 * r[0] <= 100 * ps][:k]
+            out |= {(a, p, n + 1, d, ps, s) for n, (s, d, _) in enumerate(hard)}
+    return out
