@@ -18,6 +18,7 @@ from tableload.llm.pfair_mix import ALPHA, BLOCK_DOCS, TOTAL, mix_schedule
 from tableload.llm.quality_mcd import quality_verdicts
 from tableload.llm.spelling_variants import spelling_variants
 from tableload.llm.suffix_dedup import repeat_report
+from tableload.llm.toxicity import toxicity
 from tableload.llm.warc_audit import audit, record_digests, warc_record
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -105,6 +106,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and verdict of every document."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_line_dedup": op2_line_dedup,
@@ -118,6 +124,7 @@ QUERIES = {
     "op10_pfair_mix": op10_pfair_mix,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_toxicity": op13_toxicity,
 }
 
 _WS = " || ".join(f"chr({n})" for n in (32, 9, 10, 11, 12, 13))
