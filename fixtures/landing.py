@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableload.functions.casts import c
+from tableload.operators.links import link_key
+from tableload.sources.pages import BLOCK_PAGES, HEADERS, PAGE_BLOCK
 
 #: Seconds spent landing pages so far, so that the bench can time operators apart from their fixtures.
 SPENT = {"sec": 0.0}
@@ -82,9 +84,17 @@ def land_pages(
     link_base: str = "https://example.invalid/api/v2/incremental?start_time=",
     stop_page: int | None = None,
     max_records: int = 1000,
+    request_field: str | None = None,
+    headers: bool = False,
+    blocks: bool = False,
 ) -> str:
     """Group records into pages and write them as JSON documents (JSON lines).
 
+    ``headers`` writes the header set beside them and ``blocks`` one folder for
+    every ``BLOCK_PAGES`` page numbers. With ``request_field`` the pages carry no numbers but
+    opaque cursors: the one they answer and the next one (the last page's leads on
+    to a page not fetched yet).
+
     ``end_of_stream`` is set on the last page, and also on ``stop_page`` when
     given (pages after it then model a later, stale fetch). Each writer task
     lands its pages as one file. Each document holds at most ``max_records``
@@ -101,15 +111,26 @@ def land_pages(
     eos = F.col("page") == last
     if stop_page is not None:
         eos = eos | (F.col("page") == F.lit(stop_page))
-    pages = pages.select(
-        array_field,
-        F.when(eos, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit(link_base), (F.col("page") + 1).cast("string")))
-        .alias(link_field),
-        eos.alias("end_of_stream"),
-        "page",
-    )
+    link = F.when(eos, F.lit(None).cast("string")).otherwise(F.concat(F.lit(link_base), (F.col("page") + 1).cast("string")))
+    place = F.col("page")
+    if request_field:
+        cursor = [F.sha1(F.concat(F.lit("page"), (F.col("page") + step).cast("string"))) for step in (0, 1)]
+        link = cursor[1]
+        first = records.select(F.min(page_of)).scalar()
+        asked = F.when(F.col("page") == first, F.concat(F.lit(link_base), F.lit("0"))).otherwise(F.concat(F.lit(link_base), F.lit("0&cursor="), cursor[0]))
+        place = asked.alias(request_field)
+    block = [F.floor(F.col("page") / BLOCK_PAGES).cast("int").alias(PAGE_BLOCK)] if blocks else []
     began = time.perf_counter()
-    pages.write.mode("errorifexists").json(out_dir)
+    if headers:
+        # the lander keeps a row a document as it writes the page; here they are counted again
+        keys = records.select(page_of.alias("page")).distinct()
+        own = F.lit(None).cast("string") if not request_field else link_key(asked)
+        number = F.col("page") if not request_field else F.col("page") - first
+        keys.select(number.alias("page"), own.alias("own"), eos.alias("end_of_stream")).write.parquet(f"{out_dir}/{HEADERS}")
+    pages = pages.select(array_field, link.alias(link_field), eos.alias("end_of_stream"), place, *block)
+    if blocks:
+        pages.hint("rebalance", PAGE_BLOCK).write.mode("append").partitionBy(PAGE_BLOCK).json(out_dir)
+    else:
+        pages.write.mode("append" if headers else "errorifexists").json(out_dir)
     SPENT["sec"] += time.perf_counter() - began
     return out_dir

@@ -40,7 +40,7 @@ from .schemas import DEMO_COLUMNS, DEMO_LITERAL_ROWS, DEMO_PARAMS, ObjectSpec, o
 from .session import scratch_dir
 from .streaming.landing import drain, stream_load
 from .sources.literal import bound_rows
-from .sources.pages import daily_source, page_source, page_stop, wire_records
+from .sources.pages import daily_source, landed_pages, page_source, wire_records
 from .sources.stage import csv_stage_scan, csv_stage_write, stage_and_load, stage_path, typed_load
 from .operators.merge import (
     assert_unique_keys,
@@ -518,12 +518,12 @@ def events_flat(spark, sf_dir) -> DataFrame:
     )
 
 
-def _land(records: DataFrame, spec: ObjectSpec, out_dir: str, stop_page: int | None = None) -> str:
+def _land(records: DataFrame, spec: ObjectSpec, out_dir: str, stop_page: int | None = None, **how) -> str:
     """Land flat records as page documents of at most PAGE_SIZE ids each."""
     wire = nest(to_wire_text_times(records))
     return land_pages(
         wire, spec.name, out_dir, F.floor(c(spec.key) / PAGE_SIZE), link_field=spec.link_field,
-        stop_page=stop_page,
+        stop_page=stop_page, request_field=spec.request_field, **how,
     )
 
 
@@ -552,11 +552,29 @@ WHERE floor(event_id / {PAGE_SIZE}) <= least(6, (SELECT max(floor(event_id / {PA
 )
 def q_page_stop(spark, sf_dir):
     # page 6 was flagged end_of_stream; later pages belong to a stale fetch
-    root = _land(events_flat(spark, sf_dir), EVENTS, scratch_dir(spark, "pages"), stop_page=6)
-    recs = wire_records(page_stop(page_source(spark, EVENTS, root)), EVENTS)
+    root = _land(events_flat(spark, sf_dir), EVENTS, scratch_dir(spark, "pages"), stop_page=6, headers=True, blocks=True)
+    recs = wire_records(landed_pages(spark, EVENTS, root), EVENTS)
     return recs.select(*table_columns_from_wire(EVENTS))
 
 
+@register(
+    "page_order",
+    f"""
+SELECT event_id, event_id // {PAGE_SIZE} - (SELECT min(event_id // {PAGE_SIZE}) FROM events) AS page, event_type
+FROM events
+""",
+)
+def q_page_order(spark, sf_dir):
+    # the same pages without numbers: each carries the cursor it answers and
+    # the next one; their order comes from following the cursors
+    linked = EVENTS.with_links()
+    root = _land(events_flat(spark, sf_dir), linked, scratch_dir(spark, "pages"))
+    pages = page_source(spark, linked, root)
+    return record_explode(pages, EVENTS.name, keep=["page"]).select(
+        F.col("event_id").cast("bigint").alias("event_id"), "page", F.col("actor.type").alias("event_type")
+    )
+
+
 # --------------------------------------------------------------------------
 # CSV stage and typed load
 # --------------------------------------------------------------------------
@@ -672,7 +690,7 @@ def _other_days(flat: DataFrame, first: str = _INCR_DAY) -> DataFrame:
 @register("full_load", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def q_full_load(spark, sf_dir):
     paths, name = _paths(spark), _table_name("part")
-    _land(table(spark, sf_dir, "part"), PART, paths.landing_full("part", _INCR_DAY))
+    _land(table(spark, sf_dir, "part"), PART, paths.landing_full("part", _INCR_DAY), headers=True)
     full_load(spark, PART, _INCR_DAY, paths, name)
     return spark.table(name)
 

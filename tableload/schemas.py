@@ -89,6 +89,9 @@ class ObjectSpec:
     # optional storage bucketing by the key: a big day's merge then shuffles
     # only the day, never the target
     buckets: int | None = None
+    # page field with the link (or cursor) that a page answers; the pages then
+    # carry no number and are ordered by their links
+    request_field: str | None = None
 
     @property
     def names(self) -> list[str]:
@@ -130,6 +133,10 @@ class ObjectSpec:
             raise ValueError("bucket count must be positive")
         return replace(self, buckets=n)
 
+    def with_links(self, request_field: str = "request") -> "ObjectSpec":
+        """The same object landed without page numbers, in the order of its links."""
+        return replace(self, request_field=request_field)
+
     def text_schema(self) -> T.StructType:
         """All-text schema of the CSV stage, same order."""
         return T.StructType([T.StructField(c.name, T.StringType(), True) for c in self.columns])
@@ -179,21 +186,18 @@ class ObjectSpec:
                 out[name] = T.StructType([T.StructField(c.name[len(name) + 1 :], _WIRE[c.kind], True) for c in inner])
         return out
 
-    def envelope_schema(self) -> T.StructType:
-        """One landed page: the record array, the link, the stop flag.
+    def header_schema(self) -> T.StructType:
+        """A landed page without its records: the link, the stop flag and the page's place.
 
-        ``page`` is the sequence number the lander writes with each page; it
-        orders pages for ``page_stop`` (the API's own links are opaque for
-        cursor-paged objects).
+        ``page`` is the sequence number the lander writes with each page; a
+        spec with a ``request_field`` has the link that the page answers instead.
         """
-        return T.StructType(
-            [
-                T.StructField(self.name, T.ArrayType(self.record_schema()), True),
-                T.StructField(self.link_field, T.StringType(), True),
-                T.StructField("end_of_stream", T.BooleanType(), True),
-                T.StructField("page", T.LongType(), True),
-            ]
-        )
+        place = T.StructField(self.request_field, T.StringType(), True) if self.request_field else T.StructField("page", T.LongType(), True)
+        return T.StructType([T.StructField(self.link_field, T.StringType(), True), T.StructField("end_of_stream", T.BooleanType(), True), place])
+
+    def envelope_schema(self) -> T.StructType:
+        """One landed page: the record array and the header."""
+        return T.StructType([T.StructField(self.name, T.ArrayType(self.record_schema()), True), *self.header_schema().fields])
 
 
 def parse_columns(text: str) -> tuple[Col, ...]:

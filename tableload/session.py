@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _checkpoint_root(spark: SparkSession) -> str | None:
@@ -49,6 +49,22 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tableload/{name}-{uuid.uuid4().hex}"
 
 
+def materialise(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written under the scratch root and read back (its lineage ends there), and the folder."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more, through the file system it lies in."""
+    if not path.startswith(f"{scratch_root(spark)}/tableload/"):
+        raise ValueError(f"not a scratch folder: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8, extra: dict[str, str] | None = None) -> SparkSession:
     """Session used by tests and the bench (local mode, UI off, UTC); ``extra`` adds settings."""
     builder = (

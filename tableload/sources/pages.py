@@ -12,29 +12,37 @@ are read in parallel; ``multi_line`` reads one pretty-printed page per file
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import c, day_start, end_of_day, typed_value
 from ..operators.flatten import conform_columns, record_explode, record_flatten
+from ..operators.links import link_key, order_links
 from ..schemas import ObjectSpec, _WIRE
 
+#: Folder of a landing with its header set; Spark's readers of the pages pass it over.
+HEADERS = "_headers"
+HEADER_ROWS = T.StructType([T.StructField("page", T.LongType()), T.StructField("own", T.StringType()), T.StructField("end_of_stream", T.BooleanType())])
+#: A landing may be split into folders ``page_block=<n>`` of so many page numbers.
+PAGE_BLOCK, BLOCK_PAGES = "page_block", 64
 
-def envelope_guard(pages: DataFrame, array_field: str) -> DataFrame:
+
+def envelope_guard(pages: DataFrame, array_field: str, place: str = "page") -> DataFrame:
     """Fail the load on a page without its record array (a bad response) or
     without its sequence number (it could not be ordered against the stop page,
     and would otherwise be dropped silently)."""
     # guard the columns themselves: a filter on ``page`` (page_stop) then still
     # sees the check, even when Catalyst moves the filter below this projection
-    page = F.when(F.col("page").isNull(), F.raise_error(F.lit("page without a sequence number"))).otherwise(
-        F.col("page")
-    )
-    return pages.withColumn("page", page).withColumn(
+    if place == "page":
+        page = F.when(F.col("page").isNull(), F.raise_error(F.lit("page without a sequence number"))).otherwise(F.col("page"))
+        pages = pages.withColumn("page", page)
+    return pages.withColumn(
         array_field,
         F.when(
             c(array_field).isNull(),
-            F.raise_error(F.concat(F.lit(f"page without '{array_field}' records, page "), F.col("page").cast("string"))),
+            F.raise_error(F.concat(F.lit(f"page without '{array_field}' records, page "), F.coalesce(c(place).cast("string"), F.lit("")))),
         ).otherwise(c(array_field)),
     )
 
@@ -48,19 +56,78 @@ def read_pages(spark: SparkSession, path: str, envelope: T.StructType, multi_lin
     )
 
 
-def page_source(spark: SparkSession, spec: ObjectSpec, path: str, multi_line: bool = False) -> DataFrame:
-    """All landed pages of one object, guarded."""
-    return envelope_guard(read_pages(spark, path, spec.envelope_schema(), multi_line), spec.name)
+def page_headers(pages: DataFrame, spec: ObjectSpec) -> DataFrame:
+    """(page, own, end_of_stream) of every page document.
+
+    Pages without numbers are put in the order of their links; ``own`` is the
+    key of the link that a page answers.
+    """
+    if not spec.request_field:
+        return pages.select("page", F.lit(None).cast("string").alias("own"), "end_of_stream")
+    links = pages.select(link_key(c(spec.request_field)).alias("own"), link_key(c(spec.link_field)).alias("next"), F.col("end_of_stream").alias("ended"))
+    links = links.withColumn("next", F.when(F.col("next") != "", F.col("next")))
+    ends = links.groupBy("own").agg(F.max("ended").alias("end_of_stream"))
+    return order_links(links).join(ends, "own").select("page", "own", "end_of_stream")
+
+
+def store_headers(spark: SparkSession, spec: ObjectSpec, path: str, multi_line: bool = False) -> str:
+    """Write the header set of a landing beside its pages: a few bytes a page, as a lander does that keeps them itself.
+
+    Only for landings that came without one: it takes a scan of the pages
+    (their records are skipped, not parsed).
+    """
+    out = f"{path.rstrip('/')}/{HEADERS}"
+    page_headers(read_pages(spark, path, spec.header_schema(), multi_line), spec).write.mode("overwrite").parquet(out)
+    return out
+
+
+def read_headers(spark: SparkSession, path: str) -> DataFrame | None:
+    """The header set of a landing, or None where it has none."""
+    try:
+        return spark.read.schema(HEADER_ROWS).parquet(f"{path.rstrip('/')}/{HEADERS}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def page_source(spark: SparkSession, spec: ObjectSpec, path: str, multi_line: bool = False, headers: DataFrame | None = None) -> DataFrame:
+    """All landed pages of one object, guarded and numbered.
+
+    A landing without page numbers gets them from the links: from its header
+    set (``headers``), else from the pages' own headers. The numbers are narrow and joined by Spark's own size check,
+    so the records stay where they are unless the landing has very many pages.
+    """
+    pages = envelope_guard(read_pages(spark, path, spec.envelope_schema(), multi_line), spec.name, spec.request_field or "page")
+    if not spec.request_field:
+        return pages
+    if headers is None:
+        headers = page_headers(read_pages(spark, path, spec.header_schema(), multi_line), spec)
+    numbers = headers.select("own", "page")
+    return pages.withColumn("own", link_key(c(spec.request_field))).join(numbers, "own", "left").drop("own")
 
 
-def page_stop(pages: DataFrame) -> DataFrame:
+def page_stop(pages: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """Pages up to and including the first one flagged ``end_of_stream``.
 
     The stop page is a scalar subquery (one aggregate over the page flags,
     planned by Spark as a separate small job); no page is flagged -> keep all.
+    With the landing's header set the flags are read there and the pages are
+    scanned once; folders of page numbers after the stop (``PAGE_BLOCK``) are not read at all.
     """
-    stop = pages.where(F.col("end_of_stream")).select(F.min("page")).scalar()
-    return pages.where(stop.isNull() | (F.col("page") <= stop))
+    flagged = (pages if headers is None else headers).where(F.col("end_of_stream"))
+    stop = flagged.select(F.min("page")).scalar()
+    kept = stop.isNull() | (F.col("page") <= stop)
+    if PAGE_BLOCK in pages.columns:
+        block = flagged.select(F.floor(F.min("page") / BLOCK_PAGES)).scalar()
+        return pages.where(block.isNull() | (F.col(PAGE_BLOCK) <= block)).where(kept)
+    return pages.where(kept)
+
+
+def landed_pages(spark: SparkSession, spec: ObjectSpec, path: str, multi_line: bool = False) -> DataFrame:
+    """The pages of a landing up to its stop, its header set used where it has one."""
+    headers = read_headers(spark, path)
+    return page_stop(page_source(spark, spec, path, multi_line, headers), headers)
 
 
 def flat_records(pages: DataFrame, spec: ObjectSpec, keep: list[str] | None = None) -> DataFrame:
@@ -109,7 +176,7 @@ def full_source(spark: SparkSession, spec: ObjectSpec, path: str, since: str = "
     A record without a clock value cannot be placed in time; a full load
     keeps it rather than dropping it silently.
     """
-    pages = page_stop(page_source(spark, spec, path, multi_line))
+    pages = landed_pages(spark, spec, path, multi_line)
     recs = wire_records(pages, spec)
     if spec.time_column is None:
         return recs
@@ -126,7 +193,7 @@ def daily_source(spark: SparkSession, spec: ObjectSpec, path: str, ds: str, zone
     split by day: records are kept by their clock (those without one too,
     since they cannot be placed elsewhere).
     """
-    pages = page_stop(page_source(spark, spec, path, multi_line))
+    pages = landed_pages(spark, spec, path, multi_line)
     recs = wire_records(pages, spec)
     if not by_clock:
         return recs
