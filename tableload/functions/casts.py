@@ -114,15 +114,78 @@ def array_text(x: Column) -> Column:
     return F.to_json(x)
 
 
+# fixed values: the tokens of a Python literal, its strings' pieces, and words that JSON spells otherwise.
+# Possessive loops: the matcher neither backtracks nor recurses, however long a string is.
+_STRING = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'""" + "|" + r'''"[^"\\]*+(?:\\.[^"\\]*+)*+"'''
+_TOKEN = rf"(?s)({_STRING}|[A-Za-z]+|[+-]?[0-9.][0-9A-Za-z.+-]*|[\[\]{{}}:,]|\s+)"
+_PIECE = r"(?s)(\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\.|[^\\]++)"
+_WORDS = {"None": "null", "True": "true", "False": "false", "null": "null", "true": "true", "false": "false"}
+_SAME_ESCAPES = ("\\\\", '\\"', "\\n", "\\r", "\\t", "\\b", "\\f", "\\/")
+
+
+def _string_json(token: Column) -> Column:
+    """A quoted Python string as a JSON string; null if it holds an escape that neither has."""
+
+    def piece(p: Column) -> Column:
+        code = F.substring(p, 3, 8)
+        return (
+            F.when(~p.startswith("\\"), F.replace(p, F.lit('"'), F.lit('\\"')))
+            .when(p.isin(*_SAME_ESCAPES), p)
+            .when(p == "\\'", F.lit("'"))
+            .when(p.startswith("\\x"), F.concat(F.lit("\\u00"), code))
+            .when(p.startswith("\\u"), p)
+            .when(p.startswith("\\U"), F.decode(F.unhex(code), "UTF-32"))
+        )
+
+    body = F.substring(token, F.lit(2), F.char_length(token) - 2)
+    return F.concat(F.lit('"'), _joined(F.transform(F.regexp_extract_all(body, F.lit(_PIECE), F.lit(1)), piece)), F.lit('"'))
+
+
+def _joined(parts: Column) -> Column:
+    """The parts as one text; null if one of them is null (``array_join`` would skip it)."""
+    return F.when(~F.exists(parts, lambda p: p.isNull()), F.array_join(parts, ""))
+
+
+def python_json(x: Column, whole: bool = False) -> Column:
+    """Text of a Python list or dict, as pandas writes one into a CSV cell -> JSON text; null if it is neither.
+
+    Strings in either quote with Python's escapes, ``None``, ``True``, ``False``;
+    with ``whole``, numbers like ``123.0`` lose their fraction. JSON text comes
+    out as it is. Built-in expressions only: the text is cut into tokens in
+    one pass and each is spelled anew.
+    """
+    tokens = F.regexp_extract_all(x, F.lit(_TOKEN), F.lit(1))
+
+    def spelled(t: Column) -> Column:
+        word = F.create_map(*[F.lit(v) for pair in _WORDS.items() for v in pair])
+        number = F.regexp_replace(t, r"^([+-]?[0-9]+)\.0*$", "$1") if whole else t
+        return (
+            F.when(t.rlike("^['\"]"), _string_json(t))
+            .when(t.rlike("^[A-Za-z]"), F.try_element_at(word, t))
+            .when(t.rlike("^[0-9.+-]"), number)
+            .otherwise(t)
+        )
+
+    # what no token covers is not a literal
+    return F.when(F.array_join(tokens, "") == x, _joined(F.transform(tokens, spelled)))
+
+
 def text_array(x: Column, element: str, label: str) -> Column:
-    """JSON list text -> typed array; text that does not parse fails the load."""
-    parsed = F.from_json(x, f"array<{element}>")
+    """List text -> typed array, as JSON or as Python writes it; text that is neither fails the load."""
+    kind = f"array<{element}>"
+    parsed = F.coalesce(F.from_json(x, kind), F.from_json(python_json(x, whole=element == "bigint"), kind))
     return F.when(
         x.isNotNull() & parsed.isNull(),
         F.raise_error(F.concat(F.lit(f"bad list text in {label}: "), F.substring(x, 1, 200))),
     ).otherwise(parsed)
 
 
+def json_text(x: Column) -> Column:
+    """Text of a list of objects: JSON as it is, Python's form as JSON; other text stays."""
+    as_json = python_json(x)
+    return F.when(F.try_parse_json(x).isNull() & F.try_parse_json(as_json).isNotNull(), as_json).otherwise(x)
+
+
 def length_rule(x: Column, label: str, max_len: int) -> Column:
     """Keep ``x``; fail the load if it is longer than the declared length."""
     return F.when(
@@ -160,7 +223,9 @@ def typed_value(x: Column, kind: str, label: str, max_len: int | None = None) ->
         out = from_epoch(int_text(x, label))
     elif kind.startswith("array<"):
         out = text_array(x, kind[len("array<") : -1], label)
-    else:  # string, json
+    elif kind == "json":
+        out = json_text(x)
+    else:
         out = x
     if max_len is not None and kind in ("string", "json"):
         out = length_rule(out, label, max_len)

@@ -498,6 +498,8 @@ tags array<string>
     time_column=None,
 )
 
+ORDER_NOTES = ObjectSpec("orders", (*ORDER_LISTS.columns, *parse_columns("notes json 200")), key="o_orderkey", time_column=None)
+
 PAGE_SIZE = 1000
 
 
@@ -629,6 +631,37 @@ def q_array_text(spark, sf_dir):
     )
 
 
+@register(
+    "array_text_python",
+    """
+SELECT o_orderkey, to_json([o_orderkey, NULL, o_custkey])::VARCHAR AS ids_json,
+       to_json([o_orderstatus || '''s', NULL, '"' || o_orderpriority || '"', 'A' || chr(10) || chr(92) || 'é'])::VARCHAR AS tags_json,
+       CAST(4 AS INTEGER) AS n_tags, o_orderpriority || '''' AS note
+FROM orders
+""",
+)
+def q_array_text_python(spark, sf_dir):
+    # the same lists as pandas writes them: nullable ids as 123.0, None, either
+    # quote, escapes; a list of objects whose note holds an apostrophe
+    o = table(spark, sf_dir, "orders")
+    tags = r"""["%s's", None, '"%s"', '\x41\n\\\xe9']"""
+    text = o.select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.format_string("[%s.0, None, %s.0]", "o_orderkey", "o_custkey").alias("ids"),
+        F.format_string(tags, "o_orderstatus", "o_orderpriority").alias("tags"),
+        F.format_string("""[{'note': "%s'", 'by': None}]""", "o_orderpriority").alias("notes"),
+    )
+    path = csv_stage_write(text, scratch_dir(spark, "stage"))
+    typed = typed_load(csv_stage_scan(spark, path, ORDER_NOTES.text_schema()), ORDER_NOTES)
+    return typed.select(
+        "o_orderkey",
+        F.to_json("ids").alias("ids_json"),
+        F.to_json("tags").alias("tags_json"),
+        F.size("tags").alias("n_tags"),
+        F.get_json_object("notes", "$[0].note").alias("note"),
+    )
+
+
 @register(
     "dated_stage_path",
     f"SELECT {EVENT_COLS} FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'",
