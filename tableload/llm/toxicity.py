@@ -22,9 +22,10 @@
    with those it helped to fit.
 
 Labels are read from the training rows only, where ``crc32(doc_id as text) mod 4`` is
-not 2; that remainder and the fold choose rows and are not inputs of a score. Counts
-are added up by task before they are shuffled; the driver receives the counts of at most
-BUCKETS buckets (48 MiB), a histogram of token scores, two numbers for ``k`` and at most
+not 2, of about ``TRAIN_ROWS`` labels at most; that remainder, the sample and the fold choose rows and are not
+inputs of a score. The labels are broadcast (the sample is their bound) and texts are
+never shuffled: counts are added up by task before they are; the driver receives the counts of at most
+BUCKETS buckets (12 MiB), a histogram of token scores, two numbers for ``k`` and at most
 ``EVIDENCE_BINS`` bins for the curve.
 
 Cases: null or empty text, or text without tokens, has no segment and gets the
@@ -48,9 +49,11 @@ from pyspark.sql import functions as F
 
 from tableload.llm.common import save, text_of
 
-BUCKETS = 1 << 20
+BUCKETS = 1 << 18
 #: Prefixes of a token that are features beside the token itself, in bytes of UTF-8.
 PREFIXES = (3, 4, 6)
+#: Labels learned from, chosen by a hash of the doc_id where there are more: 2 MiB, so they are sent to the texts and no text moves.
+TRAIN_ROWS = 131_072
 #: Features of the prior, standard errors taken off, and what every token costs.
 PRIOR, Z, DRIFT = 1000.0, 1.0, 0.25
 #: Segments expected by chance, from which on a passage is reported.
@@ -167,8 +170,11 @@ def held_out(doc_id: Column) -> Column:
 def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic, fold): toxic is null where there is no label to learn from."""
     known = labels.where("toxic is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(F.col("toxic") > 0).alias("toxic"))
-    known = known.withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int"))
-    rows = docs.select("doc_id", plain(text_of()).alias("text")).join(known, "doc_id", "left")
+    known = save(known.withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")), "toxicity-labels")
+    n = known.count()
+    if n > TRAIN_ROWS:
+        known = known.where(F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 31)) < int((1 << 31) * TRAIN_ROWS / n))
+    rows = docs.select("doc_id", plain(text_of()).alias("text")).join(F.broadcast(known), "doc_id", "left")
     return rows.select("text", "toxic", "fold")
 
 
