@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import c, q
-from ..operators.merge import day_keys_broadcast, merge_upsert
+from ..operators.merge import day_key_test, merge_upsert
 from .tables import as_nullable, version_path
 
 NO_PARTITION = "none"
@@ -109,19 +109,19 @@ def _written(spark: SparkSession, path: str, part_col: str, schema: T.StructType
     return found
 
 
-def touched_partitions(target: DataFrame, day: DataFrame, key: str, part_col: str,
-                       pre_aggregate: bool = False) -> list[str]:
+def touched_partitions(target: DataFrame, day: DataFrame, key: str, part_col: str, day_rows: int | None = None) -> list[str]:
     """Partitions holding a day key in the target, plus those the day's rows go to.
 
-    ``pre_aggregate`` (a day whose keys are shuffled, not broadcast): distinct
-    (key, partition) pairs map-side first, so a hot target key crosses the
-    network once per task and partition, not once per row.
+    Target keys that the day's filter rejects stay where they are; the others'
+    (key, partition) pairs are made distinct map-side, so a hot target key
+    crosses the network once per task and partition, not once per row.
     """
     day_keys = day.select(c(key).alias("__tl_k")).where(F.col("__tl_k").isNotNull())
-    pairs = target.select(c(key).alias("__tl_k"), c(part_col).alias("__tl_p"))
-    if pre_aggregate:
-        pairs = pairs.where(F.col("__tl_k").isNotNull()).distinct()
-    held = pairs.join(day_keys, "__tl_k", "left_semi").select("__tl_p")
+    pairs = target.select(c(key).alias("__tl_k"), c(part_col).alias("__tl_p")).where(F.col("__tl_k").isNotNull())
+    test = day_key_test(target, day, key, day_rows)
+    if test:
+        pairs = pairs.where(test(F.col("__tl_k")))
+    held = pairs.distinct().join(day_keys, "__tl_k", "left_semi").select("__tl_p")
     parts = held.unionByName(day.select(c(part_col).alias("__tl_p"))).distinct()
     return sorted(r["__tl_p"] for r in parts.collect())
 
@@ -131,8 +131,7 @@ def upsert_partitions(spark: SparkSession, table: str, day: DataFrame, key: str,
     """Merge ``day`` (which carries ``part_col``) into partitioned ``table``; rewrite touched partitions only."""
     target = spark.table(table)
     day = day.select(*[c(n) for n in target.columns])
-    big = day_rows is not None and not day_keys_broadcast(spark, day_rows)
-    touched = touched_partitions(target, day, key, part_col, pre_aggregate=big)
+    touched = touched_partitions(target, day, key, part_col, day_rows)
     if not touched:
         return []
     _check_values(touched)
