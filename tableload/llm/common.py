@@ -97,3 +97,28 @@ def block_of(id_col: Column, bounds: list[tuple[int, int]]) -> Column:
         return F.when(F.get(lows, at + by) <= id_col, at + by).otherwise(at)
 
     return F.aggregate(F.array(*[F.lit(s) for s in reversed(steps)]), F.lit(0), probe)
+
+
+#: Key blocks: rows aimed at, the most blocks, and the accuracy of their bounds.
+KEY_BLOCK_ROWS, MAX_KEY_BLOCKS, BOUND_ACCURACY = 8_192, 2_048, 20_000
+
+
+def key_blocks(rows: DataFrame, col: str) -> tuple[Column, Column]:
+    """(block number, crowded) of a whole-number key: equal-depth ranges in key order, null in block -1.
+
+    The bounds come from one percentile aggregate (at most MAX_KEY_BLOCKS
+    numbers reach the driver); a block holds about KEY_BLOCK_ROWS rows, or a
+    2,048th of a larger table. A key that fills a block alone gets one of its own and
+    is crowded, as null is: its rows need another key to be split by.
+    """
+    key = F.col(col).cast("long")
+    n = rows.select(F.count(key)).first()[0]
+    blocks = max(1, min(MAX_KEY_BLOCKS, -(-n // KEY_BLOCK_ROWS)))
+    if not n or blocks == 1:
+        return F.when(key.isNull(), -1).otherwise(0), key.isNull()
+    at = rows.agg(F.percentile_approx(key, [i / blocks for i in range(1, blocks)], BOUND_ACCURACY)).first()[0]
+    crowded = {a for a, b in zip(at, at[1:]) if a == b}
+    lows = sorted(set(at) | crowded | {k + 1 for k in crowded})
+    bounds = [(lo, lo) for lo in [-(1 << 63), *lows]]
+    alone = F.array_contains(long_array(sorted(crowded)), key) if crowded else F.lit(False)
+    return F.when(key.isNull(), -1).otherwise(block_of(key, bounds)), F.coalesce(alone, F.lit(True))

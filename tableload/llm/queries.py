@@ -44,22 +44,24 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep_ids=False)
 
 
-#: Ids of the pages that share a WARC file, and of every so many the damage that the second copy has.
-FILE_PAGES, FLIP_EVERY, FLIP_AT, CUT_EVERY, CUT_FROM = 1000, 101, 37, 7000, 6990
+#: Ids of the pages that share a WARC file, and of every so many the damage that the second copy has:
+#: a changed first byte, two more bytes, a loss in mid-file, a loss of a file's last records.
+FILE_PAGES, FLIP_EVERY, FLIP_AT, GROW_EVERY, GROW_AT, LOSE_EVERY, LOSE_AT, CUT_EVERY, CUT_FROM = 1000, 101, 37, 307, 111, 211, 53, 7000, 6990
 
 
 def op5_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged and lost records of a second WARC copy of all pages, found through the trees.
 
-    The copy holds every page again, some with their first byte changed, and
-    some files without their last records.
+    The copy holds every page again, some with their first byte changed or two
+    bytes longer, some missing in mid-file, and some files without their last records.
     """
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     pages = pages.withColumn("file", F.floor(F.col("page_id") / FILE_PAGES))
     head = F.substring("html", 1, 1)
     flipped = (F.col("page_id") % FLIP_EVERY == FLIP_AT) & (F.octet_length(head) == 1) & (head != "~")
-    copy = pages.where(f"page_id % {CUT_EVERY} < {CUT_FROM}")
+    copy = pages.where(f"not coalesce(page_id % {CUT_EVERY} >= {CUT_FROM} or page_id % {LOSE_EVERY} = {LOSE_AT}, false)")
     copy = copy.withColumn("html", F.when(flipped, F.concat(F.lit("~"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
+    copy = copy.withColumn("html", F.when(F.col("page_id") % GROW_EVERY == GROW_AT, F.concat(F.coalesce("html", F.lit("")), F.lit("++"))).otherwise(F.col("html")))
     record = warc_record("response", F.col("url"), F.col("page_id"), F.col("html"))
     held = [record_digests(p.withColumn("record", record), "file", "page_id", "record") for p in (pages, copy)]
     return audit(*held).withColumnRenamed("key", "page_id")
@@ -147,26 +149,27 @@ ORACLE: dict[str, str] = {
         FROM marked GROUP BY doc_id
     """,
     "op5_merkle_audit": f"""
-        WITH first_copy AS (
-          SELECT page_id, page_id // {FILE_PAGES} AS file, html,
-                 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
-                 || 'WARC-Record-ID: <urn:record:' || coalesce(CAST(page_id AS VARCHAR), '') || '>' || chr(13) || chr(10)
-                 || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
-                 || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR) || chr(13) || chr(10) || chr(13) || chr(10) AS head,
-                 chr(13) || chr(10) || chr(13) || chr(10) AS tail
+        WITH copies AS (
+          SELECT page_id, page_id // {FILE_PAGES} AS file, url, coalesce(html, '') AS html,
+                 page_id % {CUT_EVERY} >= {CUT_FROM} OR page_id % {LOSE_EVERY} = {LOSE_AT} AS lost,
+                 (CASE WHEN page_id % {FLIP_EVERY} = {FLIP_AT} AND strlen(html[1]) = 1 AND html[1] <> '~' THEN '~' || html[2:] ELSE coalesce(html, '') END)
+                 || (CASE WHEN page_id % {GROW_EVERY} = {GROW_AT} THEN '++' ELSE '' END) AS copy
           FROM pages
+        ), heads AS (
+          SELECT *, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+                 || 'WARC-Record-ID: <urn:record:' || coalesce(CAST(page_id AS VARCHAR), '') || '>' || chr(13) || chr(10)
+                 || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' AS head,
+                 chr(13) || chr(10) || chr(13) || chr(10) AS gap
+          FROM copies
+        ), records AS (
+          SELECT *, head || CAST(strlen(html) AS VARCHAR) || gap || html || gap AS record, head || CAST(strlen(copy) AS VARCHAR) || gap || copy || gap AS other FROM heads
         ), laid AS (
-          SELECT *, strlen(head) + strlen(coalesce(html, '')) + 4 AS length,
-                 CAST(coalesce(sum(strlen(head) + strlen(coalesce(html, '')) + 4)
-                   OVER (PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
-                 page_id % {CUT_EVERY} >= {CUT_FROM} AS cut,
-                 page_id % {FLIP_EVERY} = {FLIP_AT} AND strlen(html[1]) = 1 AND html[1] <> '~' AS flipped
-          FROM first_copy
+          SELECT *, CAST(coalesce(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+          FROM records
         )
-        SELECT file, "offset", CASE WHEN cut THEN 'lost' ELSE 'corrupt' END AS status, page_id, length,
-               sha256(head || coalesce(html, '') || tail) AS expected,
-               CASE WHEN NOT cut THEN sha256(head || '~' || html[2:] || tail) END AS found
-        FROM laid WHERE cut OR flipped
+        SELECT file, "offset", CASE WHEN lost THEN 'lost' ELSE 'corrupt' END AS status, page_id, strlen(record) AS length,
+               sha256(record) AS expected, CASE WHEN NOT lost THEN sha256(other) END AS found
+        FROM laid WHERE lost OR record <> other
     """,
     "op10_pfair_mix": f"""
         WITH RECURSIVE docs AS (SELECT doc_id, coalesce(source, '') AS source FROM documents),

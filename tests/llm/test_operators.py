@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from tableload.llm import bpe, chunk_dedup, fingerprints, jaccard_join, license_scan, line_dedup, pfair_mix, quality_mcd, suffix_array, suffix_dedup, warc_audit
+from tableload.llm import bpe, chunk_dedup, common, fingerprints, jaccard_join, license_scan, line_dedup, pfair_mix, quality_mcd, suffix_array, suffix_dedup, warc_audit
 from tableload.llm.graph import components
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -160,13 +160,68 @@ def test_merkle_audit_finds_damage(spark):
     assert {(r["key"], r["status"]) for r in back} == {(17, "corrupt"), (123, "corrupt"), (298, "extra"), (299, "extra")}
 
 
+def damage(spark, rows, bad):
+    got = warc_audit.audit(replica(spark, rows), replica(spark, bad)).collect()
+    return sorted((str(r["file"]), r["key"] if r["key"] is not None else -1, r["status"]) for r in got)
+
+
+def test_merkle_audit_mid_file(spark):
+    """A loss, a longer record and an insertion in mid-file move all after them; what only moved is sound."""
+    rows = [("f", i, bytes([i % 251]) * (9000 + 37 * i)) for i in range(60)]
+    assert damage(spark, rows, [r for r in rows if r[1] != 4]) == [("f", 4, "lost")]
+    assert damage(spark, rows, [r if r[1] != 20 else (*r[:2], r[2] + b"++") for r in rows]) == [("f", 20, "corrupt")]
+    assert damage(spark, rows, [*rows, ("f", 100, b"new")]) == [("f", 100, "extra")]
+    bad = [r if r[1] != 33 else (*r[:2], b"~" + r[2][1:]) for r in rows if r[1] not in (4, 40)]
+    assert damage(spark, rows, bad) == [("f", 4, "lost"), ("f", 33, "corrupt"), ("f", 40, "lost")]
+    at = {r["key"]: r["offset"] for r in warc_audit.audit(replica(spark, rows), replica(spark, bad)).collect()}
+    assert at == {k: sum(len(r[2]) for r in rows[:k]) for k in (4, 33, 40)}
+
+
+def test_merkle_audit_null_files_and_keys(spark):
+    rows = [(None, i, b"%d" % i * 9) for i in range(5)] + [("a", None, b"x"), ("a", None, b"y"), ("a", 9, b"z")]
+    assert damage(spark, rows, [r if r[1] != 3 else (None, 3, b"~") for r in rows]) == [("None", 3, "corrupt")]
+    assert damage(spark, rows, rows[:5]) == [("a", -1, "lost"), ("a", -1, "lost"), ("a", 9, "lost")]
+    assert damage(spark, rows, [r if r[2] != b"x" else ("a", None, b"w") for r in rows]) == [("a", -1, "extra"), ("a", -1, "lost")]
+
+
+def test_merkle_audit_empty_and_repeated_records(spark):
+    # empty records share an offset
+    rows = [("e", 1, b""), ("e", 2, b""), ("e", 3, None), ("e", 4, b"end")]
+    assert damage(spark, rows, [r if r[1] != 2 else ("e", 2, b"!") for r in rows]) == [("e", 2, "corrupt")]
+    assert damage(spark, rows, [r for r in rows if r[1] != 3]) == [("e", 3, "lost")]
+    # rows that repeat a key are a multiset
+    rows = [("r", 7, b"same")] * 5 + [("r", 7, b"other"), ("r", 8, b"tail")]
+    assert damage(spark, rows, rows[2:]) == [("r", 7, "lost")] * 2
+    assert damage(spark, rows, rows[1:] + [("r", 7, b"new")]) == [("r", 7, "corrupt")]
+    assert damage(spark, rows, rows[2:] + [("r", 7, b"new")]) == [("r", 7, "extra"), ("r", 7, "lost"), ("r", 7, "lost")]
+    offsets = sorted(r["offset"] for r in warc_audit.audit(replica(spark, rows), replica(spark, rows[2:])).collect())
+    alike = 0 if brute.sha(b"same") < brute.sha(b"other") else 5
+    assert offsets == [alike + 12, alike + 16]
+
+
 def test_merkle_audit_odd_rows(spark):
     rows = [("a", 1, None), ("a", 2, b""), ("b", None, b"x"), (None, 4, b"y")]
     one = replica(spark, rows)
     assert warc_audit.audit(one, one).count() == 0
     none = replica(spark, [])
     assert warc_audit.audit(none, none).count() == 0
-    assert warc_audit.audit(one.where("file is not null"), none).count() > 0
+    assert sorted(r["status"] for r in warc_audit.audit(one, none).collect()) == ["lost"] * 4
+    assert sorted(r["status"] for r in warc_audit.audit(none, one).collect()) == ["extra"] * 4
+
+
+def test_merkle_offsets_by_block(spark, monkeypatch):
+    """Offsets through blocks of keys are those of a plain running sum; a frequent key and null are split by digest."""
+    monkeypatch.setattr(common, "KEY_BLOCK_ROWS", 16)
+    rng = np.random.default_rng(5)
+    rows = [(["f", "g", None][i % 3], None if i % 7 == 0 else 50 if i % 3 == 0 else int(rng.integers(0, 200)), bytes(rng.integers(0, 9, rng.integers(0, 40)).tolist())) for i in range(900)]
+    got = replica(spark, rows).collect()
+    for file in ("f", "g", None):
+        order = sorted([r for r in got if r["file"] == file], key=lambda r: (r["key"] is not None, r["key"] or 0, r["digest"]))
+        at = pos = 0
+        for r in order:
+            assert (r["offset"], r["pos"]) == (at, pos)
+            at, pos = at + r["length"] * r["copies"], pos + max(1, r["length"]) * r["copies"]
+        assert sum(r["copies"] for r in order) == 300
 
 
 # 6 quality rules
