@@ -7,7 +7,10 @@ ceil((j + 1) / w). Every slot takes, of the released blocks, the one due first
 blocks to within less than one block.
 
 Weights are whole parts of their sum ``total``, so the schedule repeats every
-``total`` slots. One period is worked out by a fold over its slots; it depends
+``total`` slots; the bound of one block is against these weights. Given parts are taken as they
+are. Those of ``source_parts`` are real weights in parts of about ``TOTAL``, or
+``PARTS_A_SOURCE`` for every source where that is more, so that the part which every
+source gets at least takes little from the others however many there are. One period is worked out by a fold over its slots; it depends
 on the weights alone. A block then finds its slot from its number: block j of a
 source with p parts is block j mod p of period j div p. No pass over the blocks
 in order is needed.
@@ -32,21 +35,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableload.llm.common import block_of, id_bounds, save
+from tableload.llm.common import key_blocks, save
 
 BLOCK_DOCS = 16
-#: Parts that the weights are rounded to (every source gets at least one).
-TOTAL = 512
+#: Parts that real weights are rounded to (every source gets at least one): in all, and for each source where that is more.
+TOTAL, PARTS_A_SOURCE = 512, 16
 #: A source's weight goes with its number of documents to this power.
 ALPHA = 0.7
 
 
 def source_parts(docs: DataFrame, total: int = TOTAL, alpha: float = ALPHA) -> DataFrame:
-    """(source, parts): tempered weights over all documents, in whole parts of about ``total``."""
+    """(source, parts): tempered weights over all documents, in whole parts of about ``total`` or more."""
     sizes = docs.groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(F.pow(F.count(F.lit(1)), F.lit(alpha)).alias("w"))
-    one = sizes.agg(F.sort_array(F.collect_list(F.struct("source", "w"))).alias("s"))
-    one = one.withColumn("sum", F.aggregate("s", F.lit(0.0), lambda a, x: a + x["w"]))
-    return one.select(F.explode("s").alias("s"), "sum").select("s.source", F.greatest(F.lit(1), F.round(F.col("s.w") / F.col("sum") * total)).cast("long").alias("parts"))
+    # one row a source: shares are rounded where they add up, so that they fill the total
+    order = Window.orderBy("source")
+    upto = F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    n = F.count(F.lit(1)).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    sizes = sizes.withColumn("end", F.round(upto * F.greatest(F.lit(total), n * PARTS_A_SOURCE)))
+    return sizes.select("source", F.greatest(F.lit(1), F.col("end") - F.coalesce(F.lag("end").over(order), F.lit(0))).cast("long").alias("parts"))
 
 
 def period(parts: DataFrame) -> DataFrame:
@@ -79,8 +85,8 @@ def with_slots(docs: DataFrame, parts: DataFrame | None = None, block_docs: int
     The rows are shuffled once, by source and id block.
     """
     turns = save(period(parts if parts is not None else source_parts(docs)), "mix-period")
-    bounds = id_bounds(docs, "doc_id")
-    df = docs.withColumns({"__source": F.coalesce("source", F.lit("")), "__chunk": block_of(F.col("doc_id"), bounds)})
+    chunk, _ = key_blocks(docs, "doc_id")
+    df = docs.withColumns({"__source": F.coalesce("source", F.lit("")), "__chunk": chunk})
     sizes = df.groupBy("__source", "__chunk").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("__source").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("__source", "__chunk", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))

@@ -14,7 +14,7 @@ from tableload.llm.hard_negatives import coded, mine, usable
 from tableload.llm.jaccard_join import near_duplicates
 from tableload.llm.license_scan import license_findings
 from tableload.llm.line_dedup import line_report
-from tableload.llm.pfair_mix import ALPHA, BLOCK_DOCS, TOTAL, mix_schedule
+from tableload.llm.pfair_mix import ALPHA, BLOCK_DOCS, PARTS_A_SOURCE, TOTAL, mix_schedule
 from tableload.llm.quality_mcd import quality_verdicts
 from tableload.llm.spelling_variants import spelling_variants
 from tableload.llm.suffix_dedup import repeat_report
@@ -174,8 +174,10 @@ ORACLE: dict[str, str] = {
     "op10_pfair_mix": f"""
         WITH RECURSIVE docs AS (SELECT doc_id, coalesce(source, '') AS source FROM documents),
         sizes AS (SELECT source, pow(count(*), {ALPHA}) AS w FROM docs GROUP BY source),
-        parts AS (
-          SELECT source, greatest(1, CAST(round(w / (SELECT list_sum(list(w ORDER BY source)) FROM sizes) * {TOTAL}) AS BIGINT)) AS p FROM sizes
+ends AS (
+          SELECT source, round(sum(w) OVER (ORDER BY source ROWS UNBOUNDED PRECEDING) / sum(w) OVER () * greatest({TOTAL}, {PARTS_A_SOURCE} * count(*) OVER ())) AS e FROM sizes
+        ), parts AS (
+          SELECT source, CAST(greatest(1, e - coalesce(lag(e) OVER (ORDER BY source), 0)) AS BIGINT) AS p FROM ends
         ), one AS (SELECT list(source ORDER BY source) AS s, list(p ORDER BY source) AS ps, CAST(sum(p) AS BIGINT) AS total FROM parts
         ), turn AS (
           SELECT CAST(-1 AS BIGINT) AS tick, list_transform(ps, lambda p: CAST(0 AS BIGINT)) AS had, CAST(0 AS BIGINT) AS chosen FROM one

@@ -451,6 +451,21 @@ def test_mix_follows_edf_and_stays_within_a_block(spark):
         assert all(abs(had[n] - (t + 1) * parts[n] / len(order)) < 1 for n in names)
 
 
+def test_mix_of_many_sources(spark):
+    """1,001 sources, one with a third of all rows: its share of the slots is its weight, and the small ones take little."""
+    sizes = spark.range(1001).select(F.concat(F.lit("s"), "id").alias("source"), F.when(F.col("id") == 0, 500).otherwise(1).alias("n"))
+    docs = sizes.select("source", F.explode(F.sequence(F.lit(1), F.col("n")))).select("source", F.monotonically_increasing_id().alias("doc_id"))
+    parts = {r["source"]: r["parts"] for r in pfair_mix.source_parts(docs).collect()}
+    total, true = sum(parts.values()), 500**0.7 / (500**0.7 + 1000)
+    assert len(parts) == 1001 and abs(parts["s0"] / total - true) < 0.005 * true
+    # over one period its blocks are within one block of the true weight
+    order = sorted((r["at"], r["source"]) for r in pfair_mix.period(spark.createDataFrame([("big", parts["s0"]), ("rest", total - parts["s0"])], "source string, parts long")).collect())
+    had = 0
+    for t, (_, source) in enumerate(order):
+        had += source == "big"
+        assert abs(had - (t + 1) * true) < 1.5
+
+
 def test_mix_places_every_document_once(docs, texts, empty, repeated):
     rows = pfair_mix.mix_schedule(docs, block_docs=4).collect()
     assert sorted(r["doc_id"] for r in rows) == sorted(texts)

@@ -81,11 +81,11 @@ def test_entry_has_all_queries():
     from __spark_entry__ import oracle_sql, queries
 
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries() and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", ["op2_line_dedup", "op5_merkle_audit", "op9_jaccard_join", "op10_pfair_mix"])
+@pytest.mark.parametrize("name", ["op2_line_dedup", "op5_merkle_audit", "op9_jaccard_join", "op10_pfair_mix", "op11_hard_negatives"])
 def test_queries_match_sql(spark, name):
     import duckdb
     from tools.oracle_check import TABLES, rows_of_duck, rows_of_spark
