@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableload.session import scratch_dir
+from tableload.session import discard, scratch_dir
 
 #: White space and ASCII letters, as character lists and as a regex class.
 WS_CHARS = " \t\n\x0b\x0c\r"
@@ -56,7 +56,20 @@ def save(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def save_over(df: DataFrame, name: str, *old: DataFrame) -> DataFrame:
+    """``save`` a table that takes the place of ``old`` saved ones, whose folders are deleted once it is written.
+
+    Only for tables that nothing else reads any more: not for one that a DataFrame still to be computed is made of.
+    """
+    new = save(df, name)
+    for table in old:
+        discard(df.sparkSession, table.saved_at)
+    return new
 
 
 def long_array(values: list[int]) -> Column:

@@ -13,8 +13,9 @@ doc_id is known when it is settled and later batches need not add it again.
 A key found in at least ``MIN_DOCS`` documents then loses its lines everywhere
 but in its largest doc_id (where all its lines stay).
 
-Only DataFrame functions are used. Texts are shuffled once, to meet the
-positions of their dropped lines; everything before moves hashes only. A hot
+Only DataFrame functions are used. Texts are read twice: to hash their lines to a
+narrow table, from which the batches are cut and the dropped lines found, and
+to be shuffled once, to meet the positions of the lines they lose. A hot
 line is one row after the map-side aggregate; the join of occurrences with
 settled keys is an inner sort-merge join that AQE can split.
 
@@ -29,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableload.llm.common import WS_CHARS, ascii_lower, id_bounds, lines, text_of
+from tableload.llm.common import WS_CHARS, ascii_lower, lines, save, text_of
 from tableload.session import scratch_dir
 
 MIN_CHARS = 20
@@ -83,9 +84,9 @@ class LineRuns:
     def paths(self) -> list[str]:
         return [p for level in self.levels for p in level]
 
-    def add(self, docs: DataFrame, min_chars: int = MIN_CHARS) -> None:
+    def add(self, hashes: DataFrame) -> None:
         """Merge-anti-join one batch's keys with the settled keys of the runs and add the rest as a run."""
-        found = line_hashes(docs, "doc_id", min_chars=min_chars).where("doc_id is not null").select("h1", "h2", "doc_id").distinct()
+        found = hashes.where("doc_id is not null").select("h1", "h2", "doc_id").distinct()
         entries = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last"))
         if self.paths():
             settled = self._read(self.paths()).where(F.col("n") >= self.min_docs).select("h1", "h2").hint("merge")
@@ -97,32 +98,39 @@ class LineRuns:
         return self._merged(self.paths()).where(F.col("n") >= self.min_docs).select("h1", "h2", "last")
 
 
-def index_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> LineRuns:
-    """The index of a whole table, taken in ``batches`` doc_id ranges from the largest ids down."""
-    runs = LineRuns(docs.sparkSession, min_docs=min_docs)
-    bounds = id_bounds(docs, "doc_id", block_rows=1, max_blocks=batches)
-    for k in reversed(range(len(bounds))):
-        part = F.col("doc_id") >= bounds[k][0]
-        if k + 1 < len(bounds):
-            part = part & (F.col("doc_id") < bounds[k + 1][0])
-        runs.add(docs.where(part), min_chars)
+def hashed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(doc_id, text_hash, pos, h1, h2) of every line that can be dropped, written to the scratch folder."""
+    rows = docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64(text_of()).alias("text_hash"))
+    return save(line_hashes(rows, "doc_id", "text_hash", min_chars=min_chars), "line-hashes")
+
+
+def index_lines(hashes: DataFrame, batches: int = BATCHES, min_docs: int = MIN_DOCS) -> LineRuns:
+    """The index of a whole table's line hashes, taken in ``batches`` doc_id ranges from the largest ids down."""
+    runs = LineRuns(hashes.sparkSession, min_docs=min_docs)
+    doc_id = F.col("doc_id").cast("long")
+    low, at = hashes.agg(F.min(doc_id), F.percentile_approx(doc_id, [i / batches for i in range(1, batches)])).first()
+    lows = [] if low is None else sorted({low, *(at or [])})
+    for k in reversed(range(len(lows))):
+        part = doc_id >= lows[k]
+        if k + 1 < len(lows):
+            part = part & (doc_id < lows[k + 1])
+        runs.add(hashes.where(part))
     return runs
 
 
-def dropped_lines(docs: DataFrame, runs: LineRuns, min_chars: int = MIN_CHARS) -> DataFrame:
+def dropped_lines(hashes: DataFrame, runs: LineRuns) -> DataFrame:
     """(doc_id, text_hash, drops): positions of the lines each document loses; documents that lose none are absent."""
-    found = line_hashes(docs.withColumn("text_hash", F.xxhash64(text_of())), "doc_id", "text_hash", min_chars=min_chars)
-    hot = runs.settled()
-    lost = found.join(hot, ["h1", "h2"]).where("doc_id <> last")
+    lost = hashes.join(runs.settled(), ["h1", "h2"]).where("doc_id <> last")
     return lost.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("drops"))
 
 
 def with_kept_text(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """All columns of ``docs`` plus __kept (text left), __n_lines and __n_dropped."""
-    runs = index_lines(docs.select("doc_id", "text"), batches, min_chars, min_docs)
-    if not runs.paths():  # no row has a doc_id
+    hashes = hashed_lines(docs.select("doc_id", "text"), min_chars)
+    runs = index_lines(hashes, batches, min_docs)
+    if not runs.paths():  # no row has a doc_id and a line long enough
         return docs.withColumns({"__kept": text_of(), "__n_lines": F.size(lines(text_of())).cast("long"), "__n_dropped": F.lit(0).cast("long")})
-    drops = dropped_lines(docs.select("doc_id", "text"), runs, min_chars).withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash", "drops": "__drops"})
+    drops = dropped_lines(hashes, runs).withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash", "drops": "__drops"})
     df = docs.join(drops, (F.col("doc_id") == F.col("__id")) & (F.xxhash64(text_of()) == F.col("__hash")), "left")
     df = df.withColumn("__lines", lines(text_of()))
     left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__drops")

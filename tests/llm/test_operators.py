@@ -64,7 +64,7 @@ def test_line_dedup_keeps_columns(docs, texts):
 def test_line_runs_compact(spark):
     lines = [f"a line long enough to count {i % 40}" for i in range(400)]
     rows = [(i, line) for i, line in enumerate(lines)]
-    runs = line_dedup.index_lines(spark.createDataFrame(rows, "doc_id long, text string"), batches=8)
+    runs = line_dedup.index_lines(line_dedup.hashed_lines(spark.createDataFrame(rows, "doc_id long, text string")), batches=8)
     assert len(runs.paths()) == 1 and len(runs.levels) == 4  # 8 batches, fan-out 2
     assert {(r["last"]) for r in runs.settled().collect()} == set(range(360, 400))
 
