@@ -24,9 +24,9 @@ A key that is still too frequent (the edge of a long shared passage) has its
 windows counted by digest (map-side first), spread over all tasks.
 
 Cases: null or empty text has no bytes; texts shorter than WINDOW lose nothing;
-windows overlap and may lie in one document; rows that repeat a doc_id must
-repeat its text and count as one document, but every row is returned; a null
-doc_id is a document of its own that is neither compared nor cut; an empty table
+windows overlap and may lie in one document; every row is a document, whatever
+its doc_id: rows with null or repeated doc_ids are told apart by their texts
+(``keyed_rows``), and a text that several of them hold is repeated as a whole; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -271,12 +271,32 @@ def _by_digest(pieces: DataFrame) -> DataFrame:
     return split.join(save(twice.select("digest"), "anchor-twice"), "digest").groupBy("doc_id", "pos").agg(F.collect_list("hit").alias("hits"))
 
 
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, key, copies): ``key`` is one long a different document, ``copies`` how many rows hold it.
+
+    The doc_id itself where it is unique; then nothing is joined. The others
+    get numbers beyond all doc_ids, one for every (doc_id, text) there is.
+    """
+    body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    ids = save(body.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").select("doc_id"), "suffix-ids")
+    if ids.isEmpty():
+        return body.select("*", F.col("doc_id").alias("key"), F.lit(1).cast("long").alias("copies"))
+    low, high = body.agg(F.min("doc_id"), F.max("doc_id")).first()
+    beyond, way = ((high or 0) + 1, 1) if (high or 0) < 1 << 62 else (low - 1, -1)
+    rows = body.withColumn("digest", F.md5(F.col("text").cast("binary")))
+    same = ids.select(F.col("doc_id").alias("id"))
+    some = rows.join(same, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    some = save(some.withColumn("number", F.lit(beyond) + way * F.monotonically_increasing_id()), "suffix-rows").withColumnsRenamed({"doc_id": "id", "digest": "of"})
+    met = rows.join(some, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left")
+    return met.select("doc_id", "text", F.coalesce("number", "doc_id").alias("key"), F.coalesce("copies", F.lit(1).cast("long")).alias("copies"))
+
+
 def repeated_windows(body: DataFrame) -> DataFrame:
     """(doc_id, pos, hits): anchors in (doc_id, text) rows and their repeated window starts, relative to the anchor.
 
-    hits is null where all windows around the anchor are repeated.
+    hits is null where all windows around the anchor are repeated. Rows with one doc_id hold one text.
     """
-    found = anchors(body.where("doc_id is not null"))
+    found = anchors(body)
     often = save(found.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a"), "anchor-often")
     found = save(found.join(often, "a"), "anchor-found")
     contexts = found.groupBy("a", "c").agg(F.count_distinct("doc_id", "pos").alias("n"), F.min(F.struct("doc_id", "pos")).alias("at"))
@@ -311,22 +331,25 @@ def repeated_windows(body: DataFrame) -> DataFrame:
 
 def repeat_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
-    body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    per = repeated_windows(body).groupBy("doc_id").agg(F.collect_list(F.struct("pos", "hits")).alias("hits"))
+    rows = keyed_rows(docs)
+    body = rows.select(F.col("key").alias("doc_id"), "text", F.col("doc_id").alias("id"), "copies")
+    per = repeated_windows(body.select("doc_id", "text")).groupBy("doc_id").agg(F.collect_list(F.struct("pos", "hits")).alias("hits"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for text, own in zip(pdf["text"], pdf["hits"], strict=True):
+            for text, own, copies in zip(pdf["text"], pdf["hits"], pdf["copies"], strict=True):
                 data = text.encode("utf-8", "surrogatepass")
                 kept, gone, spans = data, 0, 0
-                if own is not None and len(own):
+                if copies > 1 and len(data) >= WINDOW:
+                    kept, gone, spans = b"", len(data), 1
+                elif own is not None and len(own):
                     starts = np.concatenate([_spread(h["hits"], h["pos"], len(data)) for h in own])
                     if len(starts):
                         kept, gone, spans = removed(data, np.unique(starts))
                 rows.append((len(data), gone, spans, hashlib.sha256(kept).hexdigest()))
             out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
-            out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
+            out.insert(0, "doc_id", pdf["id"].astype("Int64").to_numpy(dtype=object, na_value=None))
             yield out
 
     return body.join(per, "doc_id", "left").mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

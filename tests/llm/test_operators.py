@@ -113,7 +113,26 @@ def test_suffix_dedup_odd_rows(empty, repeated):
     assert suffix_dedup.repeat_report(empty).count() == 0
     rows = suffix_dedup.repeat_report(repeated).collect()
     assert len(rows) == 8
-    assert Counter(r["n_removed"] > 0 for r in rows) == {True: 4, False: 4}  # documents 1 (three rows) and 2
+    # every row is a document: document 1 (three rows), 2 and the one without a doc_id hold one text
+    assert Counter(r["n_removed"] > 0 for r in rows) == {True: 5, False: 3}
+
+
+def test_suffix_dedup_repeated_and_null_ids(spark):
+    rng = np.random.default_rng(16)
+
+    def some(n):
+        return "".join(rng.choice(list("abcdefghij"), n))
+
+    passage = some(400)
+    rows = [(7, some(500) + passage), (7, "short " + some(60)), (8, some(300)), (None, passage + some(90)), (None, some(700) + passage + some(40)), (7, some(20) + passage), (9, passage[:150])]
+    rows += [(5, some(250))] * 2 + [(6, "x" * 199)] * 2 + [(None, None), (None, "")]
+    got = suffix_dedup.repeat_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = brute.without_repeats({i: t for i, (_, t) in enumerate(rows)})
+    expected = Counter((d, *want[i][:3], brute.sha(want[i][3])) for i, (d, _) in enumerate(rows))
+    assert Counter(tuple(r) for r in got) == expected
+    # doc_ids at the end of their range leave no numbers beyond
+    edge = [(2**63 - 1, passage), (2**63 - 1, passage + "y"), (3, "z" + passage)]
+    assert [r["n_removed"] for r in suffix_dedup.repeat_report(spark.createDataFrame(edge, "doc_id long, text string")).collect()] == [400] * 3
 
 
 # 4 byte-level BPE
