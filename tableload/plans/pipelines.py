@@ -8,11 +8,15 @@ the stage, not from the pages), and the merged table goes to a new version.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import threading
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import InheritableThread
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.casts import c
 from ..operators.merge import assert_unique_keys, merge_upsert
@@ -22,7 +26,7 @@ from ..sources.pages import daily_source, full_source
 from ..sources.stage import stage_and_load, stage_path
 from .buckets import publish_bucketed
 from .partitions import partition_value, publish_partitioned, upsert_partitions
-from .tables import load_like, publish, same_shape, script_commit, table_like, version_path
+from .tables import as_nullable, load_like, publish, same_shape, script_commit, script_publish, table_like, version_path
 
 try:  # errors raised from the JVM that are not mapped to a Python class
     from py4j.protocol import Py4JJavaError
@@ -60,6 +64,32 @@ class LoadResult:
     table: str
     branch: str  # "daily" or "full"
     error: str | None = None
+    rows: int | None = None  # rows the branch loaded
+    longest: dict[str, int] | None = None  # longest value of every column with a length rule
+
+
+class Seen:
+    """Counts taken while rows are written: no second pass over them.
+
+    ``rows``, and for each column with a length rule its longest value (one
+    beyond the rule fails the load in the same pass).
+    """
+
+    def __init__(self, spec: ObjectSpec):
+        self.limited = [col.name for col in spec.columns if col.max_len is not None]
+        self.observation = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        longest = [F.max(F.char_length(c(n))).alias(f"longest_{i}") for i, n in enumerate(self.limited)]
+        return df.observe(self.observation, F.count(F.lit(1)).alias("rows"), *longest)
+
+    @property
+    def rows(self) -> int:
+        return self.observation.get["rows"]
+
+    @property
+    def longest(self) -> dict[str, int]:
+        return {n: self.observation.get[f"longest_{i}"] or 0 for i, n in enumerate(self.limited)}
 
 
 def incremental_load(spark: SparkSession, spec: ObjectSpec, ds: str, paths: LoadPaths, table: str,
@@ -70,8 +100,8 @@ def incremental_load(spark: SparkSession, spec: ObjectSpec, ds: str, paths: Load
         raise ValueError(f"{table} schema differs from the {spec.name} contract")
     wire = daily_source(spark, spec, paths.landing_day(spec.name, ds), ds, zone)
     typed = stage_and_load(spark, wire, spec, stage_path(paths.stage, spec.name, ds))
-    apply_day(spark, spec, load_like(typed, spec.table_schema()), paths, table)
-    return LoadResult(table, "daily")
+    seen = apply_day(spark, spec, load_like(typed, spec.table_schema()), paths, table)
+    return LoadResult(table, "daily", rows=seen.rows, longest=seen.longest)
 
 
 def with_partition_column(df: DataFrame, spec: ObjectSpec) -> DataFrame:
@@ -99,7 +129,7 @@ def publish_spec(spark: SparkSession, spec: ObjectSpec, df: DataFrame, table: st
 
 
 def apply_day(spark: SparkSession, spec: ObjectSpec, typed_day: DataFrame, paths: LoadPaths, table: str,
-              create_if_missing: bool = False) -> None:
+              create_if_missing: bool = False) -> Seen:
     """Materialise the typed day, check its keys, merge it into ``table``, publish.
 
     Writing the day once as Parquet runs the casts and checks a single time
@@ -107,22 +137,25 @@ def apply_day(spark: SparkSession, spec: ObjectSpec, typed_day: DataFrame, paths
     not the pages and stage behind them.
     """
     day_path = version_path(paths.table_root(f"{table}_daily"))
-    with_partition_column(typed_day, spec).write.mode("errorifexists").parquet(day_path)
-    day = spark.read.parquet(day_path)
+    seen = Seen(spec)
+    keyed = with_partition_column(seen.watch(typed_day), spec)
+    keyed.write.mode("errorifexists").parquet(day_path)
+    day = spark.read.schema(as_nullable(keyed.schema)).parquet(day_path)
     assert_unique_keys(day, spec.key)
-    day_rows = day.count()  # from the Parquet footers; sizes the merge's key side
+    day_rows = seen.rows  # sizes the filter of the day's keys
     root = paths.table_root(table)
     if create_if_missing and not spark.catalog.tableExists(table):
         if spec.partition:
             publish_partitioned(spark, day, table, root, spec.partition[0])
         else:
             publish_spec(spark, spec, day, table, root)
-        return
+        return seen
     if spec.partition:
         upsert_partitions(spark, table, day, spec.key, spec.partition[0], root, day_rows=day_rows)
-        return
+        return seen
     merged = merge_upsert(spark.table(table), day, spec.key, check_unique=False, day_rows=day_rows)
     publish_spec(spark, spec, merged, table, root, merged=True)
+    return seen
 
 
 def full_load(spark: SparkSession, spec: ObjectSpec, ds: str, paths: LoadPaths, table: str,
@@ -134,46 +167,85 @@ def full_load(spark: SparkSession, spec: ObjectSpec, ds: str, paths: LoadPaths,
     """
     wire = full_source(spark, spec, paths.landing_full(spec.name, ds), since)
     typed = stage_and_load(spark, wire, spec, stage_path(paths.stage, spec.name))
-    publish_spec(spark, spec, typed, table, paths.table_root(table))
-    return LoadResult(table, "full")
+    seen = Seen(spec)
+    publish_spec(spark, spec, seen.watch(typed), table, paths.table_root(table))
+    return LoadResult(table, "full", rows=seen.rows, longest=seen.longest)
 
 
 def load_with_fallback(spark: SparkSession, spec: ObjectSpec, ds: str, paths: LoadPaths, table: str,
-                       zone: str = "UTC") -> LoadResult:
-    """Daily merge; on any load failure, a full reload from the same run's extract. The error text is kept."""
+                       zone: str = "UTC", given_up: Callable[[], bool] = lambda: False) -> LoadResult:
+    """Daily merge; on any load failure, a full reload from the same run's extract. The error text is kept.
+
+    A load that was ``given_up`` does not start the reload.
+    """
     try:
         return incremental_load(spark, spec, ds, paths, table, zone)
     except LOAD_ERRORS as e:
+        if given_up():
+            raise
         res = full_load(spark, spec, ds, paths, table)
         res.error = f"{type(e).__name__}: {str(e).splitlines()[0][:500]}"
         return res
 
 
-def load_all_objects(spark: SparkSession, specs: list[ObjectSpec], ds: str, paths: LoadPaths,
-                     table_of=lambda spec: spec.name, parallel: int = 3) -> dict[str, LoadResult]:
-    """The same fallback load for each object; objects are independent.
+class ObjectLoads:
+    """The fallback loads of several objects, running side by side; one's failure or end does not stop the others.
 
-    Their Spark jobs are submitted from separate threads so the cluster runs
-    them side by side; one object's failure does not stop the others. Each
-    thread tags its jobs with a scheduler pool named after the object (used
-    when the cluster runs the FAIR scheduler, so one big object cannot hold
-    every executor) and a job description.
+    At most ``parallel`` run at a time, each in a thread of its own that takes over the caller's
+    job properties. An object's Spark jobs carry its tag (``tag(name)``, unique to
+    the run), a description, and a scheduler pool named after it (used when
+    the cluster runs the FAIR scheduler, so one big object cannot hold every
+    executor).
     """
-    sc = spark.sparkContext
 
-    def one(spec: ObjectSpec):
-        sc.setLocalProperty("spark.scheduler.pool", f"load-{spec.name}")
-        sc.setJobDescription(f"load {spec.name} for {ds}")
-        try:
-            return spec.name, load_with_fallback(spark, spec, ds, paths, table_of(spec))
-        except LOAD_ERRORS as e:
-            return spec.name, LoadResult(table_of(spec), "failed", f"{type(e).__name__}: {e}")
-        finally:
-            sc.setLocalProperty("spark.scheduler.pool", None)
-            sc.setJobDescription(None)
+    def __init__(self, spark: SparkSession, specs: list[ObjectSpec], ds: str, paths: LoadPaths,
+                 table_of=lambda spec: spec.name, parallel: int = 3):
+        self.spark, self.run = spark, uuid.uuid4().hex[:8]
+        self.results: dict[str, LoadResult] = {}
+        self._gone = {spec.name: threading.Event() for spec in specs}
+        self._free = threading.Semaphore(max(1, parallel))
+        self._threads = {
+            spec.name: InheritableThread(target=self._load, args=(spec, ds, paths, table_of(spec)), session=spark) for spec in specs
+        }
+        for thread in self._threads.values():
+            thread.start()
+
+    def tag(self, name: str) -> str:
+        return f"load-{self.run}-{name}"
+
+    def _load(self, spec: ObjectSpec, ds: str, paths: LoadPaths, table: str) -> None:
+        sc, gone = self.spark.sparkContext, self._gone[spec.name]
+        with self._free:
+            if gone.is_set():
+                self.results[spec.name] = LoadResult(table, "cancelled")
+                return
+            sc.addJobTag(self.tag(spec.name))
+            sc.setLocalProperty("spark.scheduler.pool", f"load-{spec.name}")
+            sc.setJobDescription(f"load {spec.name} for {ds}")
+            try:
+                self.results[spec.name] = load_with_fallback(self.spark, spec, ds, paths, table, given_up=gone.is_set)
+            except Exception as e:  # noqa: BLE001 - a thread's error becomes its object's result
+                self.results[spec.name] = LoadResult(table, "cancelled" if gone.is_set() else "failed", f"{type(e).__name__}: {e}")
+
+    def cancel(self, name: str) -> LoadResult:
+        """End one object's load: its running jobs, those it would still start, and its fallback. A table is switched as a whole or not at all."""
+        self._gone[name].set()
+        while self._threads[name].is_alive():
+            self.spark.sparkContext.cancelJobsWithTag(self.tag(name))
+            self._threads[name].join(0.1)
+        return self.results[name]
+
+    def wait(self) -> dict[str, LoadResult]:
+        """Every object's result."""
+        for thread in self._threads.values():
+            thread.join()
+        return {name: self.results[name] for name in self._threads}
 
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        return dict(pool.map(one, specs))
+
+def load_all_objects(spark: SparkSession, specs: list[ObjectSpec], ds: str, paths: LoadPaths,
+                     table_of=lambda spec: spec.name, parallel: int = 3) -> dict[str, LoadResult]:
+    """The same fallback load for each object; objects are independent (``ObjectLoads``)."""
+    return ObjectLoads(spark, specs, ds, paths, table_of, parallel).wait()
 
 
 def demo_statements(ds: str, params: dict | None = None, extra: list[tuple[str, dict]] | None = None):
@@ -194,3 +266,23 @@ def script_load(spark: SparkSession, ds: str, table: str, root: str, params: dic
     sources = {"demo_rows": literal_source(spark, DEMO_LITERAL_ROWS, DEMO_COLUMNS), **(sources or {})}
     script_commit(spark, demo_statements(ds, params, extra), table, root, sources)
     return spark.table(table)
+
+
+#: The demo script as one text: the table dropped and made anew, literal rows, a row of bound values.
+DEMO_SCRIPT = f"""
+BEGIN
+  DECLARE day STRING DEFAULT :ds;
+  DROP TABLE IF EXISTS IDENTIFIER(:target);
+  CREATE TABLE IDENTIFIER(:target) ({", ".join(f"{n} STRING" for n in DEMO_COLUMNS)}) USING parquet;
+  INSERT INTO IDENTIFIER(:target) ({", ".join(DEMO_COLUMNS)})
+    VALUES {", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in DEMO_LITERAL_ROWS)};
+  INSERT INTO IDENTIFIER(:target) ({", ".join(DEMO_COLUMNS)}) SELECT :value_1, :value_2, day;
+END
+"""
+
+
+def script_text_load(spark: SparkSession, text: str, ds: str, table: str, root: str, args: dict | None = None,
+                     sources: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Run a whole script with bound values (``:ds``, those of the demo and ``args``), commit once."""
+    script_publish(spark, text, table, root, {"ds": ds, **DEMO_PARAMS, **(args or {})}, sources)
+    return spark.table(table)

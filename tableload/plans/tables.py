@@ -9,6 +9,7 @@ version are never overwritten under their feet.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 
@@ -116,3 +117,29 @@ def script_commit(spark: SparkSession, statements: list[tuple[str, dict]], name:
         frames.append(spark.sql(sql, args=args or None, **used))
     columns = frames[0].columns
     return publish(spark, insert_rows(frames, columns), name, root)
+
+
+def script_publish(spark: SparkSession, text: str, name: str, root: str, args: dict,
+                   sources: dict[str, DataFrame] | None = None) -> str:
+    """Run a SQL script (one text, ``BEGIN ... END``, with its variables) and publish what it made of its table.
+
+    The script calls its table ``IDENTIFIER(:target)`` and a frame in ``sources``
+    ``IDENTIFIER(:<its name>)``; other ``:name`` markers are bound values. It works on a
+    staging table, which is published with one write after its last
+    statement: a failing statement leaves ``name`` as it was, however many ran before it.
+    """
+    run = uuid.uuid4().hex[:8]
+    staging = f"{name}__s{run}"
+    views = {k: f"tl_{k}_{run}" for k in sources or {}}
+    for k, view in views.items():
+        sources[k].createOrReplaceTempView(view)
+    used = {k: v for k, v in {**args, "target": staging, **views}.items() if re.search(rf":{k}\b", text)}
+    try:
+        spark.sql(text, args=used or None)
+        if not spark.catalog.tableExists(staging):
+            raise ValueError("the script made no table IDENTIFIER(:target)")
+        return publish(spark, spark.table(staging), name, root)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": staging})
+        for view in views.values():
+            spark.catalog.dropTempView(view)

@@ -32,7 +32,16 @@ from .functions.casts import (
 )
 from .operators.flatten import conform_columns, record_explode, record_flatten, union_pages
 from .operators.window import daily_window, since_start
-from .plans.pipelines import LoadPaths, full_load, incremental_load, load_all_objects, load_with_fallback, script_load
+from .plans.pipelines import (
+    DEMO_SCRIPT,
+    LoadPaths,
+    full_load,
+    incremental_load,
+    load_all_objects,
+    load_with_fallback,
+    script_load,
+    script_text_load,
+)
 from .plans.buckets import publish_bucketed
 from .plans.partitions import partition_value, publish_partitioned, upsert_partitions
 from .plans.tables import insert_rows, load_like, publish, table_like, table_recreate
@@ -40,7 +49,7 @@ from .schemas import DEMO_COLUMNS, DEMO_LITERAL_ROWS, DEMO_PARAMS, ObjectSpec, o
 from .session import scratch_dir
 from .streaming.landing import drain, stream_load
 from .sources.literal import bound_rows
-from .sources.pages import daily_source, landed_pages, page_source, wire_records
+from .sources.pages import daily_source, landed_pages, page_source, wire_records, wire_report
 from .sources.stage import csv_stage_scan, csv_stage_write, stage_and_load, stage_path, typed_load
 from .operators.merge import (
     assert_unique_keys,
@@ -559,6 +568,28 @@ def q_page_stop(spark, sf_dir):
     return recs.select(*table_columns_from_wire(EVENTS))
 
 
+# Contract of the next query: props is not in it, so its key k is dropped;
+# note is in it, and no event carries one.
+EVENTS_NOTED = ObjectSpec("events", parse_columns("event_id bigint\nts ntz\nactor.type string 32\nactor.user.id bigint\nvalue double\nnote string 64"), key="event_id", time_column="ts")
+
+
+@register(
+    "wire_report",
+    """
+SELECT unnest(['event_id', 'ts', 'actor.type', 'actor.user.id', 'value', 'props.k', 'note']) AS column_name,
+       unnest(['kept', 'kept', 'kept', 'kept', 'kept', 'extra', 'absent']) AS finding,
+       unnest(['bigint', 'string', 'string', 'bigint', 'number', 'bigint', NULL]) AS wire_type,
+       unnest([count(event_id), count(ts), count(event_type), count(user_id), count(value), count(json_extract(props, '$.k')), 0]) AS n_records
+FROM events
+""",
+)
+def q_wire_report(spark, sf_dir):
+    # what landed pages carry against the columns a load would keep
+    flat = events_flat(spark, sf_dir).withColumn("props", F.from_json("props", "k bigint"))
+    root = _land(flat.select("*", F.col("props.k").alias("props.k")).drop("props"), EVENTS, scratch_dir(spark, "pages"))
+    return wire_report(spark, EVENTS_NOTED, root)
+
+
 @register(
     "page_order",
     f"""
@@ -837,6 +868,15 @@ def q_script_load(spark, sf_dir):
                        sources={"customer": table(spark, sf_dir, "customer")})
 
 
+@register("script_text", ORACLE["script_load"])
+def q_script_text(spark, sf_dir):
+    # the demo script from its text, with one more statement that reads customer
+    root, name = scratch_dir(spark, "tables"), _table_name("demo")
+    more = "INSERT INTO IDENTIFIER(:target) (col_1, col_2, col_3) SELECT c_name, :value_1, day FROM IDENTIFIER(:customer);\nEND"
+    text = more.join(DEMO_SCRIPT.rsplit("END", 1))
+    return script_text_load(spark, text, _INCR_DAY, name, root, sources={"customer": table(spark, sf_dir, "customer")})
+
+
 @register("incremental_stream", ORACLE["incremental_load"])
 def q_incremental_stream(spark, sf_dir):
     # three fetches land one after the other in a watched folder: every other

@@ -57,6 +57,12 @@ def materialise(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of the file system it lies in."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that nothing reads any more, through the file system it lies in."""
     if not path.startswith(f"{scratch_root(spark)}/tableload/"):

@@ -12,21 +12,25 @@ are read in parallel; ``multi_line`` reads one pretty-printed page per file
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import c, day_start, end_of_day, typed_value
-from ..operators.flatten import conform_columns, record_explode, record_flatten
+from ..operators.flatten import conform_columns, leaves, record_explode, record_flatten
 from ..operators.links import link_key, order_links
 from ..schemas import ObjectSpec, _WIRE
+from ..session import path_exists
 
 #: Folder of a landing with its header set; Spark's readers of the pages pass it over.
 HEADERS = "_headers"
 HEADER_ROWS = T.StructType([T.StructField("page", T.LongType()), T.StructField("own", T.StringType()), T.StructField("end_of_stream", T.BooleanType())])
 #: A landing may be split into folders ``page_block=<n>`` of so many page numbers.
 PAGE_BLOCK, BLOCK_PAGES = "page_block", 64
+#: How variants hold JSON numbers with a fraction, by their digits.
+_FRACTIONS = (T.DecimalType, T.DoubleType, T.FloatType)
 
 
 def envelope_guard(pages: DataFrame, array_field: str, place: str = "page") -> DataFrame:
@@ -83,12 +87,8 @@ def store_headers(spark: SparkSession, spec: ObjectSpec, path: str, multi_line:
 
 def read_headers(spark: SparkSession, path: str) -> DataFrame | None:
     """The header set of a landing, or None where it has none."""
-    try:
-        return spark.read.schema(HEADER_ROWS).parquet(f"{path.rstrip('/')}/{HEADERS}")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    folder = f"{path.rstrip('/')}/{HEADERS}"
+    return spark.read.schema(HEADER_ROWS).parquet(folder) if path_exists(spark, folder) else None
 
 
 def page_source(spark: SparkSession, spec: ObjectSpec, path: str, multi_line: bool = False, headers: DataFrame | None = None) -> DataFrame:
@@ -155,6 +155,46 @@ def wire_schema(spec: ObjectSpec) -> T.StructType:
     return T.StructType([T.StructField(col.name, _WIRE[col.kind], True) for col in spec.columns])
 
 
+def wire_keys(records: DataFrame, column: str = "record") -> list[tuple[tuple[str, ...], str]]:
+    """(names from the top, wire type) of every key that some record carries, from one schema aggregate over variants.
+
+    Objects are taken apart, lists are one value, "number" is one with a fraction. A key with different kinds of values has type VARIANT,
+    one that is an object here and a value there is listed as it is, and its members are not.
+    """
+    text = records.agg(F.schema_of_variant_agg(column)).first()[0]
+    if not text.startswith("OBJECT<"):
+        return []
+    struct = T.StructType.fromDDL("r " + re.sub(r"(`[^`]*`)|\bOBJECT<", lambda m: m.group(1) or "STRUCT<", text))[0].dataType
+    return [(path, "number" if isinstance(kind, _FRACTIONS) else kind.simpleString()) for path, kind in leaves(struct)]
+
+
+def wire_report(spark: SparkSession, spec: ObjectSpec, path: str) -> DataFrame:
+    """(column_name, finding, wire_type, n_records) of a landing against the column contract.
+
+    Records are read as variants, so every key there is, is seen: "kept" is a
+    key of the contract that records carry, "extra" one that the load drops, "absent" a column that no
+    record carries (it loads as null). ``n_records`` carry a value that is not null (null for a name with both kinds of quotes). Two aggregates, each
+    of one row a task.
+    """
+    envelope = T.StructType([T.StructField(spec.name, T.ArrayType(T.VariantType()))])
+    records = spark.read.schema(envelope).option("mode", "FAILFAST").json(path).select(F.explode(c(spec.name)).alias("record"))
+    found = wire_keys(records)
+
+    def held(path: tuple[str, ...]) -> Column:
+        if any("'" in x and '"' in x for x in path):  # no path can be written for such a name
+            return F.lit(None).cast("long")
+        steps = "".join(f"['{x}']" if "'" not in x else f'["{x}"]' for x in path)
+        value = F.try_variant_get("record", "$" + steps, "variant")
+        return F.count_if(value.isNotNull() & ~F.is_variant_null(value))
+
+    counts = records.agg(*[held(path).alias(str(i)) for i, (path, _) in enumerate(found)]).first() if found else ()
+    found = [(".".join(path), kind) for path, kind in found]
+    names = set(spec.names)
+    rows = [(name, "kept" if name in names else "extra", kind, n) for (name, kind), n in zip(found, counts, strict=True)]
+    rows += [(name, "absent", None, 0) for name in spec.names if name not in {n for n, _ in found}]
+    return spark.createDataFrame(rows, "column_name string, finding string, wire_type string, n_records long")
+
+
 def record_time(spec: ObjectSpec) -> Column:
     """The record clock as ``timestamp_ntz`` from its wire text; a bad clock fails the load."""
     return typed_value(c(spec.time_column), spec.kind(spec.time_column), spec.time_column)
