@@ -31,7 +31,7 @@ def table_buckets(spark: SparkSession, name: str) -> tuple[int, list[str]] | Non
 
 
 def publish_bucketed(spark: SparkSession, df: DataFrame, name: str, root: str, key: str, buckets: int,
-                     cluster: bool = True) -> str:
+                     cluster: bool = True, mark: str = "") -> str:
     """Write ``df`` bucketed by ``key`` as a new version and point table ``name`` at it.
 
     ``cluster``: hash-partition the rows by ``key`` into ``buckets``
@@ -44,7 +44,7 @@ def publish_bucketed(spark: SparkSession, df: DataFrame, name: str, root: str, k
     its scan's bucketing), so the merge passes ``cluster=False`` and its
     target is never shuffled.
     """
-    path = version_path(root)
+    path = version_path(root, mark)
     staging = f"{name}__w{uuid.uuid4().hex[:8]}"
     if cluster:
         df = df.hint("rebalance", int(buckets), key)

@@ -69,7 +69,7 @@ def _clustered(df: DataFrame, part_col: str) -> DataFrame:
     return df.hint("rebalance", part_col)
 
 
-def publish_partitioned(spark: SparkSession, df: DataFrame, name: str, root: str, part_col: str) -> str:
+def publish_partitioned(spark: SparkSession, df: DataFrame, name: str, root: str, part_col: str, mark: str = "") -> str:
     """Write all rows as a new partitioned version and (re)create the table over it.
 
     The new catalog entry is built under a staging name (create, recover the
@@ -78,7 +78,7 @@ def publish_partitioned(spark: SparkSession, df: DataFrame, name: str, root: str
     for the listing. The old version's files stay.
     """
     df = _partition_order(df, part_col)
-    path = version_path(root)
+    path = version_path(root, mark)
     _clustered(df, part_col).write.mode("errorifexists").partitionBy(part_col).parquet(path)
     staging = f"{name}__p{uuid.uuid4().hex[:8]}"
     spark.sql(
@@ -109,6 +109,12 @@ def _written(spark: SparkSession, path: str, part_col: str, schema: T.StructType
     return found
 
 
+def marked_partitions(rows: DataFrame, part_col: str, mark: str) -> set[str]:
+    """Partition values whose files lie in a version folder that ends with ``mark`` (from the file listing)."""
+    found = re.compile(rf"{re.escape(mark)}/{re.escape(part_col)}=([^/]+)/")
+    return {m.group(1) for f in rows.inputFiles() if (m := found.search(f))}
+
+
 def touched_partitions(target: DataFrame, day: DataFrame, key: str, part_col: str, day_rows: int | None = None) -> list[str]:
     """Partitions holding a day key in the target, plus those the day's rows go to.
 
@@ -127,17 +133,26 @@ def touched_partitions(target: DataFrame, day: DataFrame, key: str, part_col: st
 
 
 def upsert_partitions(spark: SparkSession, table: str, day: DataFrame, key: str, part_col: str,
-                      root: str, day_rows: int | None = None) -> list[str]:
-    """Merge ``day`` (which carries ``part_col``) into partitioned ``table``; rewrite touched partitions only."""
+                      root: str, day_rows: int | None = None, mark: str = "") -> list[str]:
+    """Merge ``day`` (which carries ``part_col``) into partitioned ``table``; rewrite touched partitions only.
+
+    A merge with a ``mark`` that broke off is taken up where it stopped:
+    partitions that already lie in a folder so marked hold their part of the
+    day and are left alone, and so are the day's rows that belong there.
+    """
     target = spark.table(table)
     day = day.select(*[c(n) for n in target.columns])
     touched = touched_partitions(target, day, key, part_col, day_rows)
+    done = marked_partitions(target.where(c(part_col).isin(touched)), part_col, mark) if mark and touched else set()
+    touched = [v for v in touched if v not in done]
     if not touched:
         return []
     _check_values(touched)
     old = target.where(c(part_col).isin(touched))
     merged = _partition_order(merge_upsert(old, day, key, check_unique=False, day_rows=day_rows), part_col)
-    path = version_path(root)
+    if done:
+        merged = merged.where(~c(part_col).isin(sorted(done)))
+    path = version_path(root, mark)
     _clustered(merged, part_col).write.mode("errorifexists").partitionBy(part_col).parquet(path)
     written = _written(spark, path, part_col, as_nullable(merged.schema))
     existing = table_partitions(spark, table, part_col)

@@ -112,7 +112,7 @@ def with_partition_column(df: DataFrame, spec: ObjectSpec) -> DataFrame:
 
 
 def publish_spec(spark: SparkSession, spec: ObjectSpec, df: DataFrame, table: str, root: str,
-                 merged: bool = False) -> None:
+                 merged: bool = False, mark: str = "") -> None:
     """Publish all rows: one version folder, partitioned or bucketed if the spec says so.
 
     ``merged``: ``df`` is a merge over the bucketed table, already partitioned
@@ -121,20 +121,21 @@ def publish_spec(spark: SparkSession, spec: ObjectSpec, df: DataFrame, table: st
     if spec.partition and spec.buckets:
         raise ValueError(f"{spec.name}: choose a partition or buckets, not both")
     if spec.partition:
-        publish_partitioned(spark, with_partition_column(df, spec), table, root, spec.partition[0])
+        publish_partitioned(spark, with_partition_column(df, spec), table, root, spec.partition[0], mark)
     elif spec.buckets:
-        publish_bucketed(spark, df, table, root, spec.key, spec.buckets, cluster=not merged)
+        publish_bucketed(spark, df, table, root, spec.key, spec.buckets, cluster=not merged, mark=mark)
     else:
-        publish(spark, df, table, root)
+        publish(spark, df, table, root, mark)
 
 
 def apply_day(spark: SparkSession, spec: ObjectSpec, typed_day: DataFrame, paths: LoadPaths, table: str,
-              create_if_missing: bool = False) -> Seen:
+              create_if_missing: bool = False, mark: str = "") -> Seen:
     """Materialise the typed day, check its keys, merge it into ``table``, publish.
 
     Writing the day once as Parquet runs the casts and checks a single time
     and cuts the lineage: the merge below re-reads files on shared storage,
-    not the pages and stage behind them.
+    not the pages and stage behind them. ``mark`` names the merge in the new
+    version's folder, so that it can be told that it was done (``version_path``).
     """
     day_path = version_path(paths.table_root(f"{table}_daily"))
     seen = Seen(spec)
@@ -146,15 +147,15 @@ def apply_day(spark: SparkSession, spec: ObjectSpec, typed_day: DataFrame, paths
     root = paths.table_root(table)
     if create_if_missing and not spark.catalog.tableExists(table):
         if spec.partition:
-            publish_partitioned(spark, day, table, root, spec.partition[0])
+            publish_partitioned(spark, day, table, root, spec.partition[0], mark)
         else:
-            publish_spec(spark, spec, day, table, root)
+            publish_spec(spark, spec, day, table, root, mark=mark)
         return seen
     if spec.partition:
-        upsert_partitions(spark, table, day, spec.key, spec.partition[0], root, day_rows=day_rows)
+        upsert_partitions(spark, table, day, spec.key, spec.partition[0], root, day_rows=day_rows, mark=mark)
         return seen
     merged = merge_upsert(spark.table(table), day, spec.key, check_unique=False, day_rows=day_rows)
-    publish_spec(spark, spec, merged, table, root, merged=True)
+    publish_spec(spark, spec, merged, table, root, merged=True, mark=mark)
     return seen
 
 

@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 from ..operators.flatten import conform_columns
 
 
-def version_path(root: str) -> str:
-    return f"{root.rstrip('/')}/v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+def version_path(root: str, mark: str = "") -> str:
+    """A fresh version folder; ``mark`` (letters, digits, ``-``) ends its name and is switched to with the data."""
+    return f"{root.rstrip('/')}/v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}{mark}"
 
 
 def table_location(spark: SparkSession, name: str) -> str | None:
@@ -33,14 +34,14 @@ def table_location(spark: SparkSession, name: str) -> str | None:
     return None
 
 
-def publish(spark: SparkSession, df: DataFrame, name: str, root: str) -> str:
+def publish(spark: SparkSession, df: DataFrame, name: str, root: str, mark: str = "") -> str:
     """Write ``df`` as a new version under ``root`` and point table ``name`` at it.
 
     Same schema: ``ALTER TABLE ... SET LOCATION`` (one catalog call). Changed
     schema (a reset): the external table entry is dropped and created again;
     data folders outlive the drop.
     """
-    path = version_path(root)
+    path = version_path(root, mark)
     df.write.mode("errorifexists").parquet(path)
     schema = as_nullable(df.schema)  # what Parquet stores; no footer re-read, no inference job
     if spark.catalog.tableExists(name):

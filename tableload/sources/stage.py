@@ -49,14 +49,19 @@ def to_stage_text(conformed: DataFrame, spec: ObjectSpec) -> DataFrame:
     return conformed.select(*text_columns(spec))
 
 
-def csv_stage_write(text: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Write the stage, replacing what was there.
+def breakable(spec: ObjectSpec) -> list[str]:
+    """Columns whose values may hold line breaks: text and lists. A number or time with one fails the load anyway."""
+    return [col.name for col in spec.columns if col.kind in ("string", "json") or col.kind.startswith("array<")]
+
+
+def csv_stage_write(text: DataFrame, path: str, partition_by: list[str] | None = None, escaped: list[str] | None = None) -> str:
+    """Write the stage, replacing what was there; line breaks are escaped in the ``escaped`` columns (all when not given).
 
     A stage split by ``partition_by`` (one folder per day) is first clustered
     by those columns (``rebalance`` hint: AQE coalesces small days and splits a
     big one), so each day gets a few files rather than one per task.
     """
-    text = text.select(*[c(n) if n in (partition_by or ()) else _one_line(c(n)).alias(n) for n in text.columns])
+    text = text.select(*[_one_line(c(n)).alias(n) if _is_escaped(n, partition_by, escaped) else c(n) for n in text.columns])
     if partition_by:
         text = text.hint("rebalance", *partition_by)
     w = text.write.mode("overwrite").options(**CSV_OPTIONS)
@@ -66,8 +71,13 @@ def csv_stage_write(text: DataFrame, path: str, partition_by: list[str] | None =
     return path
 
 
-def csv_stage_scan(spark: SparkSession, path: str, schema: T.StructType, partition_by: list[str] | None = None) -> DataFrame:
-    """Read a stage as text columns, header checked against ``schema``; ``partition_by`` as in the write."""
+def _is_escaped(name: str, partition_by: list[str] | None, escaped: list[str] | None) -> bool:
+    return name not in (partition_by or ()) and (escaped is None or name in escaped)
+
+
+def csv_stage_scan(spark: SparkSession, path: str, schema: T.StructType, partition_by: list[str] | None = None,
+                   escaped: list[str] | None = None) -> DataFrame:
+    """Read a stage as text columns, header checked against ``schema``; ``partition_by`` and ``escaped`` as in the write."""
     rows = (
         spark.read.schema(schema)
         .options(**CSV_OPTIONS)
@@ -75,7 +85,7 @@ def csv_stage_scan(spark: SparkSession, path: str, schema: T.StructType, partiti
         .option("enforceSchema", "false")
         .csv(path)
     )
-    return rows.select(*[c(n) if n in (partition_by or ()) else _as_it_was(c(n)).alias(n) for n in rows.columns])
+    return rows.select(*[_as_it_was(c(n)).alias(n) if _is_escaped(n, partition_by, escaped) else c(n) for n in rows.columns])
 
 
 def typed_load(text: DataFrame, spec: ObjectSpec) -> DataFrame:
@@ -85,5 +95,6 @@ def typed_load(text: DataFrame, spec: ObjectSpec) -> DataFrame:
 
 def stage_and_load(spark: SparkSession, conformed: DataFrame, spec: ObjectSpec, path: str) -> DataFrame:
     """Conformed frame -> CSV stage at ``path`` -> typed frame read back."""
-    csv_stage_write(to_stage_text(conformed, spec), path)
-    return typed_load(csv_stage_scan(spark, path, spec.text_schema()), spec)
+    escaped = breakable(spec)
+    csv_stage_write(to_stage_text(conformed, spec), path, escaped=escaped)
+    return typed_load(csv_stage_scan(spark, path, spec.text_schema(), escaped=escaped), spec)

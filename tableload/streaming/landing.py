@@ -23,13 +23,19 @@ the batch, and its aggregates combine map-side.
 
 The stream checkpoint records which files were merged, so a restart continues
 where it stopped. A batch that is run again is skipped when the table already
-carries its number: the number of the last merged batch is a table property.
-(Merging keyed rows twice changes nothing, but rows with a null key would be
-inserted again.) The first batch creates the table when it does not exist yet.
+holds it: the number of the stream's last merged batch ends the name of the
+table's version folder, so it is switched to with the data. (Merging keyed rows
+twice changes nothing, but rows with a null key would be inserted again.) A
+partitioned table's folders carry it partition by partition: a batch that broke off is
+taken up with the partitions it had not reached, and a table property
+says that it reached all. The first batch creates the table when it does not exist yet.
 """
 
 from __future__ import annotations
 
+import re
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,10 +47,11 @@ from ..plans.pipelines import LoadPaths, apply_day
 from ..schemas import ObjectSpec
 from ..sources.pages import envelope_guard, flat_records, wire_schema
 from ..sources.stage import stage_and_load
+from ..plans.tables import table_location
 
 FETCH = "__tl_fetch"  # folder of the fetch a page came from
 LANDED = "__tl_landed"  # modification time of the page's file
-BATCH = "tableload.stream.batch"  # table property: checkpoint and number of the last merged batch
+BATCH = "tableload.stream.batch"  # property of a partitioned table: mark of the last batch merged into all its partitions
 
 
 def fetch_stop(pages: DataFrame) -> DataFrame:
@@ -98,23 +105,35 @@ def fetch_records(pages: DataFrame, spec: ObjectSpec) -> DataFrame:
     return conform_columns(flat, schema)
 
 
+def batch_mark(stream: str, batch_id: int | str) -> str:
+    """End of a version folder's name: which stream's batch it holds."""
+    return f"-s{zlib.crc32(stream.encode()):08x}b{batch_id}"
+
+
+def merged_batch(spark: SparkSession, table: str, stream: str) -> int:
+    """The last batch of the stream that the whole table holds, -1 before the first."""
+    said = [table_location(spark, table) or ""]
+    said += [r["value"] for r in spark.sql("SHOW TBLPROPERTIES IDENTIFIER(:t)", args={"t": table}).collect() if r["key"] == BATCH]
+    ends = [re.search(batch_mark(stream, r"(\d+)$"), s) for s in said]
+    return max([int(m.group(1)) for m in ends if m], default=-1)
+
+
 def merge_fetches(spark: SparkSession, spec: ObjectSpec, pages: DataFrame, paths: LoadPaths, table: str,
                   batch_id: int, stream: str = "") -> None:
     """One micro-batch: pages of the fetches landed since the last one -> one merged version.
 
     ``stream`` names the checkpoint whose batch numbers these are.
     """
-    if spark.catalog.tableExists(table):
-        last = [r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if r["key"] == BATCH]
-        name, _, number = last[0].rpartition("#") if last else ("", "", "-1")
-        if last and name == stream and int(number) >= batch_id:
-            return
+    if spark.catalog.tableExists(table) and merged_batch(spark, table, stream) >= batch_id:
+        return
     records = fetch_records(pages, spec)
     day = fold_fetches(records, spec.key, spec.names, spec.kind(spec.key))
     stage = f"{paths.stage}/{spec.name}/batch={batch_id:010d}"
     typed = stage_and_load(spark, day, spec, stage)
-    apply_day(spark, spec, typed, paths, table, create_if_missing=True)
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BATCH}' = '{stream}#{batch_id}')")
+    mark = batch_mark(stream, batch_id)
+    apply_day(spark, spec, typed, paths, table, create_if_missing=True, mark=mark)
+    if spec.partition:
+        spark.sql(f"ALTER TABLE IDENTIFIER(:t) SET TBLPROPERTIES ('{BATCH}' = '{mark}')", args={"t": table})
 
 
 def stream_load(spark: SparkSession, spec: ObjectSpec, landing_dir: str, paths: LoadPaths, table: str,

@@ -130,6 +130,65 @@ def test_repeated_batch_is_merged_once(spark, tmp_root):
     assert sorted(r["name"] for r in spark.table(table).collect()) == ["a", "n", "n"]
 
 
+def broken_off(spark, tmp_root, monkeypatch, spec, name, fail_at):
+    """A first batch, then a second one that fails at catalog call ``fail_at`` of its publish and is run again."""
+    from pyspark.sql import functions as F
+
+    from tableload.plans import partitions
+    from tableload.sources.pages import read_pages
+    from tableload.streaming.landing import FETCH, LANDED, merge_fetches
+
+    paths = LoadPaths(landing=f"{tmp_root}/landing", stage=f"{tmp_root}/stage", tables=f"{tmp_root}/tables")
+    table = f"users_{uuid.uuid4().hex[:8]}"
+
+    def batch(number, rows):
+        path = write_pages(f"{tmp_root}/landing/{name}", f"fetch={number}", [{"users": rows, "end_of_stream": True, "page": 0}])
+        pages = read_pages(spark, path, USERS.envelope_schema()).withColumns({FETCH: F.lit(f"fetch={number}"), LANDED: F.current_timestamp()})
+        return lambda: merge_fetches(spark, spec, pages, paths, table, number, "ckpt")
+
+    def made(i, n, month):
+        return {**user(i, n, "2024-03-01T00:00:00Z"), "created_at": f"2024-{month:02d}-10T00:00:00Z"}
+
+    batch(0, [made(1, "a", 1), made(2, "b", 2), made(None, "n0", 1)])()
+    second = batch(1, [made(1, "a2", 2), made(2, "b2", 1), made(3, "c", 3), made(None, "n1", 1), made(None, "n2", 2)])
+    calls, sql = [], type(spark).sql
+
+    def failing(self, text, *a, **k):
+        if "LOCATION" in text or "TBLPROPERTIES (" in text:
+            calls.append(text)
+            if len(calls) == fail_at:
+                raise RuntimeError("the driver is gone")
+        return sql(self, text, *a, **k)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    try:
+        second()
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(type(spark), "sql", sql)
+    assert partitions  # the module whose calls fail
+    second()
+    second()
+    return sorted((r["name"], str(r["created_at"])[:7]) for r in spark.table(table).collect()), len(calls)
+
+
+AFTER = [("a2", "2024-02"), ("b2", "2024-01"), ("c", "2024-03"), ("n0", "2024-01"), ("n1", "2024-01"), ("n2", "2024-02")]
+
+
+def test_batch_number_is_switched_with_the_data(spark, tmp_root, monkeypatch):
+    """No crash, then one at any catalog call: rows without a key are in once."""
+    for fail_at in (0, 1, 2):
+        got, calls = broken_off(spark, tmp_root, monkeypatch, USERS, f"plain{fail_at}", fail_at)
+        assert got == AFTER and calls == 1
+
+
+def test_broken_off_batch_is_taken_up_by_partition(spark, tmp_root, monkeypatch):
+    spec = USERS.with_partition("created_month", "created_at", "yyyy-MM")
+    for fail_at in (2, 3, 4):
+        got, calls = broken_off(spark, tmp_root, monkeypatch, spec, f"parts{fail_at}", fail_at)
+        assert got == AFTER and calls == fail_at
+
+
 # Folding fetches, then one merge == merging the fetches one after the other.
 from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
