@@ -315,6 +315,38 @@ def test_license_scan(spark, corpus):
     assert {r["doc_id"] for r in got} == set(notes)
 
 
+def test_license_scan_wrapped_notices(spark, corpus):
+    """Every family's longest notice, wrapped as a comment; one inside a line of 5,000 words; held against a template search."""
+    import re
+    import textwrap
+
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(list("abcdefghijkl"), rng.integers(2, 8))) for _ in range(3000)]
+
+    def some(n):
+        return " ".join(rng.choice(words, n))
+
+    marks = ["# ", "// ", " * ", "-- "]
+    texts, where = {}, {}
+    for i, family in enumerate(license_scan.FAMILIES):
+        notice = max(license_scan.NOTICES[family], key=len)
+        comment = textwrap.wrap(notice, 68, initial_indent=marks[i % 4], subsequent_indent=marks[i % 4])
+        before = textwrap.wrap(some(30 * i), 70)
+        texts[5000 + i] = "\n".join([*before, "", *comment, "", *textwrap.wrap(some(150), 70)])
+        where[5000 + i] = (len(before) + 1, family)
+    long = max(license_scan.NOTICES["mit"], key=len)
+    texts[5100], where[5100] = some(2500) + " " + long + " " + some(2500), (0, "mit")
+    rows = [(r[0], r[1]) for r in corpus] + [(900, some(4000))] + list(texts.items())
+    got = license_scan.license_findings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["paragraph"], r["family"]) for r in got if r["confirmed"]} == {(d, *w) for d, w in where.items()}
+    assert len([r for r in got if r["confirmed"]]) == 13
+    # the share of the notice's three-word n-grams, by brute force over the whole text
+    for r in got:
+        held = set(license_scan._grams(re.sub(r"[^a-z0-9]+", " ", (texts.get(r["doc_id"]) or "").lower())))
+        shares = [len(held & set(license_scan._grams(t))) / max(1, len(license_scan._grams(t))) for t in license_scan.NOTICES.get(r["family"], [])]
+        assert r["likeness"] <= max(shares, default=0) + 1e-9 and (not r["confirmed"] or max(shares) == 1)
+
+
 def test_license_scan_odd_rows(empty, repeated):
     assert license_scan.license_findings(empty).count() == 0
     assert license_scan.license_findings(repeated).count() == 0
