@@ -55,7 +55,7 @@ def hot_keys(rows: DataFrame, key: str, parts: int | None = None, least: int = H
     """
     if parts is None:
         parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if isinstance(rows.schema[key].dataType, (T.FloatType, T.DoubleType, T.BinaryType)) or not isinstance(rows.schema[key].dataType, T.AtomicType):
+    if not isinstance(rows.schema[key].dataType, (*_EXACT, T.DecimalType, T.StringType)):
         return {}
     top, n = rows.agg(F.expr(f"approx_top_k({q(key)}, {HOT_KEYS}, {TRACKED})"), F.count(F.lit(1))).first()
     share = max(n / parts, least)
