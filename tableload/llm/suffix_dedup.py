@@ -292,7 +292,7 @@ def keyed_rows(docs: DataFrame) -> DataFrame:
 
 
 def repeated_windows(body: DataFrame) -> DataFrame:
-    """(doc_id, pos, hits): anchors in (doc_id, text) rows and their repeated window starts, relative to the anchor.
+    """(doc_id, pos, hits): anchors in rows with doc_id and text and their repeated window starts, relative to the anchor.
 
     hits is null where all windows around the anchor are repeated. Rows with one doc_id hold one text.
     """
@@ -333,7 +333,8 @@ def repeat_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
     rows = keyed_rows(docs)
     body = rows.select(F.col("key").alias("doc_id"), "text", F.col("doc_id").alias("id"), "copies")
-    per = repeated_windows(body.select("doc_id", "text")).groupBy("doc_id").agg(F.collect_list(F.struct("pos", "hits")).alias("hits"))
+    # the same columns as there, so that both joins read one shuffle of the texts
+    per = repeated_windows(body).groupBy("doc_id").agg(F.collect_list(F.struct("pos", "hits")).alias("hits"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
