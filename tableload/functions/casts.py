@@ -7,6 +7,8 @@ loads the data: no extra pass, no driver round trip.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -120,9 +122,16 @@ _STRING = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'""" + "|" + r'''"[^"\\]*+(?:\\.[^"\\]*+
 _TOKEN = rf"(?s)({_STRING}|[A-Za-z]+|[+-]?[0-9.][0-9A-Za-z.+-]*|[\[\]{{}}:,]|\s+)"
 _PIECE = r"(?s)(\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\.|[^\\]++)"
 _WORDS = {"None": "null", "True": "true", "False": "false", "null": "null", "true": "true", "false": "false"}
+# signs of Python's form: they decide which form is tried first (a failed parse is slow), not what comes out
+_PYTHON = r"'|None|True|False|[0-9]\.0*[,\]]"
 _SAME_ESCAPES = ("\\\\", '\\"', "\\n", "\\r", "\\t", "\\b", "\\f", "\\/")
 
 
+def _once(x: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(x)`` with ``x`` computed once a row, however often ``use`` names it."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
 def _string_json(token: Column) -> Column:
     """A quoted Python string as a JSON string; null if it holds an escape that neither has."""
 
@@ -137,13 +146,18 @@ def _string_json(token: Column) -> Column:
             .when(p.startswith("\\U"), F.decode(F.unhex(code), "UTF-32"))
         )
 
+    def quoted(body: Column) -> Column:
+        # most strings hold no escape and are one piece
+        pieces = F.transform(F.regexp_extract_all(body, F.lit(_PIECE), F.lit(1)), piece)
+        return F.when(~body.contains("\\"), F.replace(body, F.lit('"'), F.lit('\\"'))).otherwise(_joined(pieces))
+
     body = F.substring(token, F.lit(2), F.char_length(token) - 2)
-    return F.concat(F.lit('"'), _joined(F.transform(F.regexp_extract_all(body, F.lit(_PIECE), F.lit(1)), piece)), F.lit('"'))
+    return F.concat(F.lit('"'), _once(body, quoted), F.lit('"'))
 
 
 def _joined(parts: Column) -> Column:
     """The parts as one text; null if one of them is null (``array_join`` would skip it)."""
-    return F.when(~F.exists(parts, lambda p: p.isNull()), F.array_join(parts, ""))
+    return _once(parts, lambda a: F.when(~F.exists(a, lambda p: p.isNull()), F.array_join(a, "")))
 
 
 def python_json(x: Column, whole: bool = False) -> Column:
@@ -167,23 +181,24 @@ def python_json(x: Column, whole: bool = False) -> Column:
         )
 
     # what no token covers is not a literal
-    return F.when(F.array_join(tokens, "") == x, _joined(F.transform(tokens, spelled)))
+    return _once(tokens, lambda a: F.when(F.array_join(a, "") == x, _joined(F.transform(a, spelled))))
 
 
 def text_array(x: Column, element: str, label: str) -> Column:
     """List text -> typed array, as JSON or as Python writes it; text that is neither fails the load."""
     kind = f"array<{element}>"
-    parsed = F.coalesce(F.from_json(x, kind), F.from_json(python_json(x, whole=element == "bigint"), kind))
-    return F.when(
-        x.isNotNull() & parsed.isNull(),
-        F.raise_error(F.concat(F.lit(f"bad list text in {label}: "), F.substring(x, 1, 200))),
-    ).otherwise(parsed)
+    bad = F.raise_error(F.concat(F.lit(f"bad list text in {label}: "), F.substring(x, 1, 200)))
+    as_json = F.from_json(x, kind)
+    as_python = F.from_json(python_json(x, whole=element == "bigint"), kind)
+    parsed = F.when(x.rlike(_PYTHON), F.coalesce(as_python, as_json)).otherwise(F.coalesce(as_json, as_python))
+    return F.coalesce(parsed, F.when(x.isNotNull(), bad).cast(kind))
 
 
 def json_text(x: Column) -> Column:
     """Text of a list of objects: JSON as it is, Python's form as JSON; other text stays."""
-    as_json = python_json(x)
-    return F.when(F.try_parse_json(x).isNull() & F.try_parse_json(as_json).isNotNull(), as_json).otherwise(x)
+    as_json = _once(python_json(x), lambda y: F.when(F.try_parse_json(y).isNotNull(), y))
+    # JSON comes out of ``python_json`` as it is, so text that holds Python's signs need not be tried as JSON
+    return F.when(~x.rlike(_PYTHON) & F.try_parse_json(x).isNotNull(), x).otherwise(F.coalesce(as_json, x))
 
 
 def length_rule(x: Column, label: str, max_len: int) -> Column:

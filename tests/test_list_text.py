@@ -95,3 +95,23 @@ def test_stage_written_by_pandas(spark, tmp_root):
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([("[]",)], "x string").select(text_array(F.col("x"), "string", "tags"))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_each_step_is_computed_once(spark):
+    """Tokens and pieces occur once in the expression, and the likely form is tried first: named twice, each level doubles the work."""
+    df = spark.createDataFrame([("[]",)], "x string")
+
+    def plan(y):
+        return df.select(y.alias("y"))._jdf.queryExecution().analyzed().toString()
+
+    assert plan(python_json(F.col("x"))).count("regexp_extract_all") == 2
+    for y in (json_text(F.col("x")), text_array(F.col("x"), "string", "tags")):
+        assert plan(y).count("regexp_extract_all") <= 4
+
+
+def test_either_form_first(spark):
+    """JSON text that holds signs of Python's form comes out as JSON; Python's form without any does too."""
+    rows = ['["None", "it\'s", "1.0]"]', "[1.50, 2]", '{"a": "True"}', "['a', None]", "[None]"]
+    assert column(spark, rows, json_text(F.col("x"))) == [*rows[:3], '["a", null]', "[null]"]
+    assert column(spark, [rows[0], rows[3], "[]"], text_array(F.col("x"), "string", "tags")) == [["None", "it's", "1.0]"], ["a", None], []]
+    assert column(spark, ["[5.0, 6]", "[5, 6]", "[5.0,null]"], text_array(F.col("x"), "bigint", "ids")) == [[5, 6], [5, 6], [5, None]]
