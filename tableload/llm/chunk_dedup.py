@@ -10,9 +10,10 @@ only where another document holds it as a whole. Neighbouring sequences that
 other documents hold are one repeated span. A sequence's first place (smallest
 doc_id, then offset) keeps it; elsewhere its bytes go.
 
-Texts are read twice and are shuffled once (only by ``dedup_substrings``); the
-count moves a digest and a place for each sequence, aggregated map-side, so a
-passage that a third of all documents share is one row a task.
+Texts are read once and are shuffled only by ``dedup_substrings``; the count
+moves a digest and a place for each sequence, once. A passage that a third of
+all documents share has a row for each of them in its digest's task, which are
+sorted and read in order (spilled, not held); its other sequences lie in other tasks.
 
 Cases: null or empty text has no chunks; a text shorter than MIN_RUN has no
 repeated span; repeats within one document only are left; rows that repeat a doc_id must
@@ -28,10 +29,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableload.llm.common import save, text_of
+from tableload.llm.common import text_of
 
 #: Bytes that the hash at a position depends on.
 GRAM = 8
@@ -122,12 +123,27 @@ def sequence_rows(docs: DataFrame) -> DataFrame:
 
 
 def repeated_sequences(docs: DataFrame) -> DataFrame:
-    """(doc_id, lo, hi, first, last, holder): sequences found in two documents or more; the first place is the holder."""
-    place = F.struct("doc_id", "lo")
-    counted = sequence_rows(docs).groupBy("d1", "d2").agg(F.min(place).alias("place"), F.max("doc_id").alias("max_id"))
-    often = save(counted.where("place.doc_id <> max_id").select("d1", "d2", "place"), "chunk-often")
-    met = sequence_rows(docs).join(often, ["d1", "d2"])
-    return met.select("doc_id", "lo", "hi", "first", "last", (place == F.col("place")).alias("holder"))
+    """(doc_id, lo, hi, first, last, holder): sequences found in two documents or more; the first place is the holder.
+
+    A sequence is one row of five numbers in the only shuffle: windows over its digest tell
+    how many documents hold it and which place is the first.
+    """
+    packed = sequence_rows(docs).select("d1", "d2", "doc_id", _pair("lo", "hi").alias("bytes"), _pair("first", "last").alias("chunks"))
+    held = Window.partitionBy("d1", "d2")
+    met = packed.withColumn("min_id", F.min("doc_id").over(held)).withColumn("max_id", F.max("doc_id").over(held)).where("min_id <> max_id")
+    met = met.withColumn("at", F.min(F.when(F.col("doc_id") == F.col("min_id"), F.col("bytes"))).over(held))
+    ends = [c for name, lo, hi in (("bytes", "lo", "hi"), ("chunks", "first", "last")) for c in _unpair(name, lo, hi)]
+    return met.select("doc_id", *ends, ((F.col("doc_id") == F.col("min_id")) & (F.col("bytes") == F.col("at"))).alias("holder"))
+
+
+def _pair(lo: str, hi: str) -> Column:
+    """Two ints as one long, ordered by the first: the start and the (short) length."""
+    return F.shiftleft(F.col(lo).cast("long"), 32) + (F.col(hi) - F.col(lo))
+
+
+def _unpair(pair: str, lo: str, hi: str) -> list[Column]:
+    start = F.shiftright(F.col(pair), 32)
+    return [start.cast("int").alias(lo), (start + F.col(pair).bitwiseAND(0xFFFFFFFF)).cast("int").alias(hi)]
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
