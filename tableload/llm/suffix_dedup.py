@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableload.llm.common import save, text_of
@@ -296,17 +296,17 @@ def repeated_windows(body: DataFrame) -> DataFrame:
 
     hits is null where all windows around the anchor are repeated. Rows with one doc_id hold one text.
     """
-    found = anchors(body)
-    often = save(found.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a"), "anchor-often")
-    found = save(found.join(often, "a"), "anchor-found")
+    # one shuffle of the anchors, whatever their number: counted beside its own rows, no anchor is looked for again
+    same = Window.partitionBy("a")
+    found = anchors(body).withColumn("n", F.count(F.lit(1)).over(same)).where("n > 1").drop("n")
+    found = save(found, "anchor-found")
     contexts = found.groupBy("a", "c").agg(F.count_distinct("doc_id", "pos").alias("n"), F.min(F.struct("doc_id", "pos")).alias("at"))
     contexts = save(contexts.select("a", "c", "n", "at.*"), "anchor-contexts")
     # a context found at two places: its windows are repeated at all its places, without any ordering
     copies = found.join(contexts.where("n > 1").select("a", "c"), ["a", "c"]).select("doc_id", "pos").distinct()
 
-    groups = contexts.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
-    groups = save(groups.where("kinds > 1 and least = 1").select("a", "kinds"), "anchor-groups")
-    mixed = save(contexts.join(groups, "a").select("a", "kinds", "doc_id", "pos"), "anchor-mixed")
+    mixed = contexts.withColumn("kinds", F.count(F.lit(1)).over(same)).withColumn("least", F.min("n").over(same))
+    mixed = save(mixed.where("kinds > 1 and least = 1").select("a", "kinds", "doc_id", "pos"), "anchor-mixed")
 
     def pieces(rows: DataFrame) -> DataFrame:
         wanted = rows.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "a")).alias("want"))
