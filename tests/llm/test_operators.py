@@ -347,6 +347,21 @@ def test_license_scan_wrapped_notices(spark, corpus):
         assert r["likeness"] <= max(shares, default=0) + 1e-9 and (not r["confirmed"] or max(shares) == 1)
 
 
+def test_license_scan_trains_on_all_windows(spark):
+    """Every different window of the corpus is trained on or calibrates, those of a repeated text once."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghijkl"), rng.integers(2, 8))) for _ in range(500)] + ["the", "of", "and", "license"]
+    texts = [list(rng.choice(words, 4000)) for _ in range(40)]
+    texts += [texts[0], texts[1][:960]]
+    size, step = license_scan.WINDOW, license_scan.STRIDE
+    different = {tuple(t[i : i + size]) for t in texts for i in range(0, max(len(t) - (size - step), 1), step)}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    trained = license_scan.train(docs)[0].summary.predictions.where(f"label = {license_scan.NONE}").count() - 1
+    assert len(different) > 3000 and 0.45 * len(different) < trained < 0.55 * len(different)
+    rows = license_scan.none_rows(license_scan.windows(docs))
+    assert (rows.count(), rows.where("not held").count()) == (len(different), trained)
+
+
 def test_license_scan_odd_rows(empty, repeated):
     assert license_scan.license_findings(empty).count() == 0
     assert license_scan.license_findings(repeated).count() == 0
