@@ -92,7 +92,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
     start = F.struct(F.lit(0).alias("line"), F.array().cast("array<int>").alias("at"))
     ends = F.aggregate("cut", start, lambda a, x: F.struct((a["line"] + lines_in(x["head"])).alias("line"), F.concat(a["at"], F.array(a["line"])).alias("at")))
-    one = docs.select("doc_id", marked.alias("all")).where(F.exists("all", lambda w: w != BREAK)).select("doc_id", cut.alias("cut"))
+    one = docs.select("doc_id", marked.alias("all")).select("doc_id", cut.alias("cut"))
     one = one.select("doc_id", F.posexplode(F.arrays_zip(F.col("cut"), ends["at"].alias("line"))).alias("window", "one"))
     one = one.select("doc_id", "window", "one.line", F.concat("one.cut.head", "one.cut.tail").alias("marked"))
     return one.withColumn("words", F.array_remove("marked", BREAK)).where(F.size("words") > 0)
