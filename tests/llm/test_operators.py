@@ -404,6 +404,11 @@ def test_chunk_dedup(docs, texts):
         assert len(b) >= chunk_dedup.MIN_RUN and everywhere[b[:64]] > 1 or len(b) < 64
 
 
+def test_chunk_dedup_makes_sequences_once(docs):
+    plan = chunk_dedup.repeated_sequences(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") == 1 and "Join" not in plan
+
+
 def test_chunk_dedup_catches_short_passages(spark):
     """Passages of 51 words of 1 to 5 letters, each in two documents."""
     rng = np.random.default_rng(51)
