@@ -109,6 +109,13 @@ def test_suffix_dedup_anchor_without_repeated_window(spark):
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"]) for r in got] == [(450, 0, 0)] * 2
 
 
+def test_suffix_dedup_looks_for_anchors_once(docs, monkeypatch):
+    plans, save = {}, suffix_dedup.save
+    monkeypatch.setattr(suffix_dedup, "save", lambda df, name: plans.update({name: df._jdf.queryExecution().optimizedPlan().toString()}) or save(df, name))
+    suffix_dedup.repeated_windows(docs.where("doc_id is not null and text is not null"))
+    assert plans["anchor-found"].count("MapInPandas") == 1 and not any("Join" in plans[n] for n in ("anchor-found", "anchor-mixed"))
+
+
 def test_suffix_dedup_odd_rows(empty, repeated):
     assert suffix_dedup.repeat_report(empty).count() == 0
     rows = suffix_dedup.repeat_report(repeated).collect()
