@@ -20,6 +20,9 @@ An anchor with more than ``SHARD_CONTEXTS`` different contexts (a line that a
 large part of the corpus shares) would make its shard grow with the corpus. Its
 windows are dealt into classes of ``CLASS`` neighbouring starts; all windows of
 a class hold the same bytes around the anchor, and these are the new shard key.
+Its contexts are cut where the texts lie (``frequent_pieces``): texts are looked
+through once more for these few anchors, and only what is cut is shuffled. So
+the texts are shuffled once, however many contexts frequent anchors have.
 A key that is still too frequent (the edge of a long shared passage) has its
 windows counted by digest (map-side first), spread over all tasks.
 
@@ -100,14 +103,19 @@ def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
     return out
 
 
+def _gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the K bytes from every place on (fewer at the end)."""
+    here = np.arange(len(data))
+    return _span_hash(_sums(data, 0), here, np.minimum(here + K, len(data)), 0) | np.uint64(1)
+
+
 def buffer_anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document number, position, anchor hash, context hash) of the anchors of some texts of at least WINDOW bytes."""
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     ends = np.cumsum([len(t) for t in texts])
     doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     end, here = ends[doc], np.arange(len(data))
-    sums = _sums(data, 0)
-    gram = _span_hash(sums, here, np.minimum(here + K, len(data)), 0) | np.uint64(1)
+    gram = _gram_hashes(data)
     inside = here + WINDOW <= end  # a whole window of one text starts here
     width = WINDOW - K + 1
     least = np.where(inside, _sliding(gram, width, np.minimum), np.uint64(0))
@@ -155,6 +163,30 @@ def anchors(docs: DataFrame) -> DataFrame:
     return docs.mapInPandas(run, "a long, c long, doc_id long, pos int")
 
 
+def frequent_pieces(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """(a, doc_id, pos, lead, bytes): the contexts of the anchors whose hashes are ``frequent``, at every place."""
+    wanted = np.sort(frequent)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for ids, texts in _buffers(pdf):
+                # most texts have no such gram; anchors are chosen in the others only
+                gram = _gram_hashes(np.frombuffer(b"".join(texts), dtype=np.uint8))
+                at = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, gram), len(wanted) - 1)] == gram)
+                some = np.unique(np.searchsorted(np.cumsum([len(t) for t in texts]), at, side="right"))
+                if not len(some):
+                    continue
+                number, pos, a, _ = buffer_anchors([texts[i] for i in some])
+                keep = np.isin(a.view(np.uint64), wanted)
+                for i, p, h in zip(some[number[keep]], pos[keep].tolist(), a[keep].tolist(), strict=True):
+                    lo = max(0, p - LEFT)
+                    rows.append((h, int(ids[i]), p, p - lo, texts[i][lo : p + RIGHT]))
+            yield pd.DataFrame(rows, columns=["a", "doc_id", "pos", "lead", "bytes"])
+
+    return docs.select("doc_id", "text").mapInPandas(run, "a long, doc_id long, pos int, lead int, bytes binary")
+
+
 def _hit_rows(pdf: pd.DataFrame, rows: np.ndarray, hits: list[np.ndarray]) -> pd.DataFrame:
     """(doc_id, pos, hits) of some rows of a shard; the types hold for no rows too."""
     place = pdf[["doc_id", "pos"]].iloc[rows].reset_index(drop=True)
@@ -321,9 +353,12 @@ def repeated_windows(body: DataFrame) -> DataFrame:
     hits = by_order(pieces(mixed.where(F.col("kinds") <= SHARD_CONTEXTS)), mixed.count())
     hits = hits.unionByName(copies.withColumn("hits", F.lit(None).cast("array<int>")))
     frequent = mixed.where(F.col("kinds") > SHARD_CONTEXTS)
-    if frequent.isEmpty():
+    # one long for more than SHARD_CONTEXTS contexts
+    often = np.array([r["a"] for r in frequent.select("a").distinct().collect()], dtype=np.int64).view(np.uint64)
+    if not len(often):
         return hits
-    classed = save(_by_class(pieces(frequent)), "anchor-classes")
+    chosen = frequent_pieces(body, often).join(frequent.select("a", "doc_id", "pos"), ["a", "doc_id", "pos"], "left_semi")
+    classed = save(_by_class(chosen.select("doc_id", "pos", "lead", "bytes")), "anchor-classes")
     again = save(classed.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_CONTEXTS).select("a"), "anchor-class-often")
     hits = hits.unionByName(by_order(classed.join(again, "a", "left_anti"), classed.count()))
     return hits if again.isEmpty() else hits.unionByName(_by_digest(classed.join(again, "a", "left_semi")))

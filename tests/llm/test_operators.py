@@ -116,6 +116,27 @@ def test_suffix_dedup_looks_for_anchors_once(docs, monkeypatch):
     assert plans["anchor-found"].count("MapInPandas") == 1 and not any("Join" in plans[n] for n in ("anchor-found", "anchor-mixed"))
 
 
+def test_suffix_dedup_shuffles_no_text_for_frequent_anchors(docs, monkeypatch):
+    plans, save = {}, suffix_dedup.save
+    monkeypatch.setattr(suffix_dedup, "SHARD_CONTEXTS", 8)
+    monkeypatch.setattr(suffix_dedup, "save", lambda df, name: plans.update({name: df._jdf.queryExecution().optimizedPlan().toString()}) or save(df, name))
+    suffix_dedup.repeated_windows(docs.where("doc_id is not null and text is not null"))
+    assert "Join LeftSemi" in plans["anchor-classes"] and "Join LeftOuter" not in plans["anchor-classes"]
+
+
+def test_suffix_dedup_frequent_pieces(docs, texts):
+    """The contexts of some anchors are those that the anchors' own places give, whatever texts lie beside theirs."""
+    body = docs.where("text is not null")
+    every = suffix_dedup.anchors(body.select("doc_id", "text")).collect()
+    wanted = {r["a"] for r in sorted(every, key=lambda r: r["c"])[::9]}
+    got = suffix_dedup.frequent_pieces(body, np.array(sorted(wanted), dtype=np.int64).view(np.uint64)).collect()
+    expected = []
+    for r in every:
+        data, lo = texts[r["doc_id"]].encode(), max(0, r["pos"] - suffix_dedup.LEFT)
+        expected.append((r["a"], r["doc_id"], r["pos"], r["pos"] - lo, data[lo : r["pos"] + suffix_dedup.RIGHT]))
+    assert Counter((*r[:4], bytes(r[4])) for r in got) == Counter(e for e in expected if e[0] in wanted)
+
+
 def test_suffix_dedup_odd_rows(empty, repeated):
     assert suffix_dedup.repeat_report(empty).count() == 0
     rows = suffix_dedup.repeat_report(repeated).collect()
