@@ -4,7 +4,9 @@ A paragraph is a window of ``WINDOW`` words, taken every ``STRIDE`` words over t
 text whatever its line breaks and comment marks, so any ``STRIDE`` words in a row, as a
 wrapped notice or in the middle of a very long line, lie in one of them. (Words are runs
 of letters and digits, lower-cased.) Its features are its distinct one- and
-two-word n-grams that some notice holds, hashed to ``FEATURES`` columns. A multinomial logistic
+two-word n-grams that some notice holds, hashed to ``FEATURES`` columns. Only the columns
+that these n-grams have are kept (some 300): the others are zero in every row, and the
+coefficients and their gradients, which the driver holds, would be 50 times as large. A multinomial logistic
 regression with an L1 share, so that most weights are zero, tells the licence
 families of ``license_texts`` and "none" apart.
 
@@ -34,10 +36,10 @@ finds nothing; other columns are ignored.
 from __future__ import annotations
 
 import re
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -98,6 +100,17 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return one.withColumn("words", F.array_remove("marked", BREAK)).where(F.size("words") > 0)
 
 
+@cache
+def columns() -> tuple[list[str], dict[str, str]]:
+    """An n-gram of every feature column that some notice's n-gram is hashed to, in order, and of the n-grams hashed to another's column that other one."""
+    hashed = HashingTF(numFeatures=FEATURES)
+    at = {g: hashed.indexOf(g) for n in (1, 2) for g in NOTICE_GRAMS[n]}
+    first = {}
+    for g, i in at.items():
+        first.setdefault(i, g)
+    return [first[i] for i in sorted(first)], {g: first[i] for g, i in at.items() if first[i] != g}
+
+
 def with_features(df: DataFrame) -> DataFrame:
     """Add threes (the three-word n-grams of notices that the words hold) and the hashed one- and two-word ones."""
 
@@ -111,9 +124,12 @@ def with_features(df: DataFrame) -> DataFrame:
     df = df.withColumn("known", of_notices(F.col("words"), 1))
     df = df.withColumn("twos", of_notices(next_to("known", 1), 2))
     df = df.withColumn("threes", F.array_distinct(F.array_compact(of_notices(next_to("twos", 2), 3))))
+    names, shared = columns()
     df = df.withColumn("grams", F.array_distinct(F.array_compact(F.concat("known", "twos"))))
-    hashed = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True).transform(df)
-    return hashed.drop("known", "twos", "grams")
+    if shared:
+        df = df.withColumn("grams", F.transform("grams", lambda x: reduce(lambda out, g: F.when(x == g, shared[g]).otherwise(out), shared, x)))
+    found = CountVectorizerModel.from_vocabulary(names, "grams", "features", binary=True).transform(df)
+    return found.drop("known", "twos", "grams")
 
 
 def windows(docs: DataFrame) -> DataFrame:

@@ -390,6 +390,23 @@ def test_license_scan_trains_on_all_windows(spark):
     assert (rows.count(), rows.where("not held").count()) == (len(different), trained)
 
 
+def test_license_scan_features_are_the_used_hash_columns(spark):
+    """The vectors are those that hashing gives, without the columns that no notice's n-gram has."""
+    from pyspark.ml.feature import HashingTF
+
+    notices = [t for f in license_scan.FAMILIES for t in license_scan.NOTICES[f]]
+    rows = license_scan.paragraphs(spark.createDataFrame([*enumerate(notices), (100, "words of none 2 of this program, a clause license under the"), (101, "zz")], "doc_id long, text string"))
+    hashed = HashingTF(inputCol="grams", outputCol="features", numFeatures=license_scan.FEATURES, binary=True)
+    known = {g for n in (1, 2) for g in license_scan.NOTICE_GRAMS[n]}
+    used = sorted({hashed.indexOf(g) for g in known})
+    got = {(r["doc_id"], r["window"]): (r["words"], r["features"]) for r in license_scan.with_features(rows).collect()}
+    assert len(got) == rows.count() >= 26
+    for words, vector in got.values():
+        grams = {" ".join(words[i : i + n]) for n in (1, 2) for i in range(len(words) - n + 1)} & known
+        assert vector.size == len(used) < 400
+        assert {used[i]: v for i, v in zip(vector.indices, vector.values, strict=True)} == {hashed.indexOf(g): 1.0 for g in grams}
+
+
 def test_license_scan_odd_rows(empty, repeated):
     assert license_scan.license_findings(empty).count() == 0
     assert license_scan.license_findings(repeated).count() == 0
